@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,9 +25,15 @@ def union_classes(df: DataFrame, classes: Sequence[str] = CLASSES, label: str =
     return out
 
 
-def limit_class(df: DataFrame, rows: int, key: str, label: str = "label") -> DataFrame:
-    """At most so many rows of each class, the first in hash order."""
-    return first_of_group(df, label, key, lambda n, largest: F.lit(rows))
+def limit_class(
+    df: DataFrame, rows: int | Callable[[Column, Column], Column], key: str, label: str = "label"
+) -> DataFrame:
+    """At most so many rows of each class, the first in hash order.
+
+    ``rows`` may be a function of the class's and the largest class's row count.
+    """
+    quota = rows if callable(rows) else lambda n, largest: F.lit(rows)
+    return first_of_group(df, label, key, quota)
 
 
 def repeat_rows(df: DataFrame, copies: Column, key: str, most: int) -> DataFrame:

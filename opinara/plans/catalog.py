@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from opinara.plans import scalars, storage
+from opinara.plans import profiles, reports, scalars, storage, training_data
 from opinara.plans.registry import Query
 
-MODULES = (storage, scalars)
+MODULES = (storage, scalars, reports, profiles, training_data)
 
 CATALOG: dict[str, Query] = {}
 for module in MODULES:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.operators import panels
 from opinara.operators.filters import recent
 from opinara.operators.projections import snippets
-from opinara.plans.fixtures import predictions, reviews, sql
+from opinara.plans.fixtures import predictions, sql
 from opinara.plans.registry import Registry
 from opinara.plans.scalars import BIN_NO_SQL, CARD_COLUMNS, CARD_SQL, LENGTH_BIN_SQL
 
@@ -156,8 +156,6 @@ select *, row_number() over (order by panel, sort_no, key) as place from (
 )
 def ordered_panels(spark, sf_dir):
     """The key-ordered panels in one scan, numbered in the order they are shown."""
-    from pyspark.sql import Window
-
     df = predictions(spark, sf_dir, "label", "processed_ts", "reviewTime", "overall", "asin", "reviewerName", "reviewText")
     shown = panels.all_panels(df).filter(F.col("panel").isin("day", "length", "rating"))
     number = F.when(F.col("panel") == "rating", F.coalesce(F.col("key").try_cast("double"), F.lit(-1.0))).otherwise(0.0)
@@ -201,14 +199,10 @@ def stats_overview(spark, sf_dir):
     return panels.label_totals(predictions(spark, sf_dir, "label"))
 
 
-@QUERIES.add("newest", sql("""
-select doc_id, processed_ts, row_number() over (order by processed_ts desc, doc_id) as place from predictions
-"""))
+@QUERIES.add("newest", sql("select doc_id, processed_ts, label from predictions order by processed_ts desc, doc_id"))
 def newest(spark, sf_dir):
-    """The whole table, newest first, with each row's place in it."""
-    from opinara.operators.ranking import with_place
-
-    return with_place(predictions(spark, sf_dir, "doc_id", "processed_ts"), [F.desc("processed_ts"), F.col("doc_id")])
+    """The whole table, newest first: sorted by ranges, so no task holds all of it."""
+    return panels.newest_first(predictions(spark, sf_dir, "doc_id", "processed_ts", "label"), "doc_id")
 
 
 @QUERIES.add(
