@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from opinara.plans import profiles, reports, scalars, storage, training_data
+from opinara.plans import profiles, reports, scalars, storage, streams, text_models, training_data
 from opinara.plans.registry import Query
 
-MODULES = (storage, scalars, reports, profiles, training_data)
+MODULES = (storage, scalars, reports, profiles, training_data, text_models, streams)
 
 CATALOG: dict[str, Query] = {}
 for module in MODULES:
