@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinara.functions.text import clean_train
 from opinara.models.features import class_names
 from opinara.operators.filters import coalesce_text
-from opinara.operators.projections import with_cleaned, without_model_columns
+from opinara.operators.projections import without_model_columns
 from opinara.schema import UNKNOWN
 
 
-def score_reviews(df: DataFrame, model: PipelineModel) -> DataFrame:
+def score_reviews(
+    df: DataFrame, model: PipelineModel, clean: Callable[[Column], Column] = clean_train
+) -> DataFrame:
     """Add ``label`` and ``confidence`` to every row that has text.
 
     One ``transform`` serves all rows. The label is looked up among the names the
-    model was trained with, so it never depends on the order of class sizes.
+    model was trained with, so it never depends on the order of class sizes. The
+    text is cleaned as for training; ``clean`` may name another cleaner.
     """
-    ready = with_cleaned(coalesce_text(df)).drop("label")
+    ready = coalesce_text(df).withColumn("cleaned_reviews", clean(F.col("reviewText"))).drop("label")
     scored = model.transform(ready)
     names = F.array(*[F.lit(n) for n in class_names(model)])
     label = F.coalesce(F.get(names, F.col("prediction").cast("int")), F.lit(UNKNOWN))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.records import field_or
+from opinara.functions.ratings import sentiment_code, sentiment_text
 from opinara.functions.text import clean_train, snippet
 from opinara.schema import KEPT_FIELDS, REVIEW, UNKNOWN
 
@@ -39,6 +40,18 @@ def with_cleaned(df: DataFrame, column: str = "reviewText") -> DataFrame:
     return df.withColumn("cleaned_reviews", clean_train(F.col(column)))
 
 
+def with_sentiment(df: DataFrame, null_rating: str = "positive") -> DataFrame:
+    """Add ``sentiment`` and ``label`` from the rating.
+
+    A missing rating counts as positive, or its row goes with ``null_rating="drop"``.
+    """
+    if null_rating not in ("positive", "drop"):
+        raise ValueError("null_rating is positive or drop")
+    rated = df.filter(F.col("overall").isNotNull()) if null_rating == "drop" else df
+    coded = rated.withColumn("sentiment", sentiment_code(F.col("overall")))
+    return coded.withColumn("label", sentiment_text(F.col("sentiment")))
+
+
 def training_columns(df: DataFrame) -> DataFrame:
     return df.select("cleaned_reviews", "label")
 

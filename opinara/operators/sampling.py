@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from opinara.operators.filters import of_class
 from opinara.operators.ranking import first_of_group, group_cuts, hash_order, mark_first
 from opinara.schema import CLASSES
+from opinara.session import stored
 
 SEED = 42
 CHUNK = 10_000
@@ -18,11 +20,7 @@ SPLITS = (("train", 80), ("val", 90), ("test", 100))  # name, upper bound in hun
 
 def union_classes(df: DataFrame, classes: Sequence[str] = CLASSES, label: str = "label") -> DataFrame:
     """The table put together from its classes."""
-    parts = [of_class(df, c, label) for c in classes]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, [of_class(df, c, label) for c in classes])
 
 
 def limit_class(
@@ -80,9 +78,8 @@ def balance_sampled(df: DataFrame, key: str, classes: Sequence[str] = CLASSES, l
     if not smaller:
         return kept
     drawn = [of_class(named, c, label).sample(True, largest / n, seed) for c, n in smaller.items()]
-    sampled = drawn[0]
-    for part in drawn[1:]:
-        sampled = sampled.unionByName(part)
+    # Written once: a sample drawn anew after a lost task could differ.
+    sampled = stored(reduce(DataFrame.unionByName, drawn), "sampled")
     numbered = sampled.withColumn("copy", F.row_number().over(Window.partitionBy(key).orderBy(label)).cast("bigint"))
     numbered = numbered.withColumn("_copy_key", F.concat_ws("#", F.col(key).cast("string"), F.col("copy").cast("string")))
     cut = first_of_group(numbered, label, "_copy_key", lambda n, _: F.lit(largest)).drop("_copy_key")
@@ -102,8 +99,9 @@ def downsample(df: DataFrame, of: str, drop: int | float, key: str, label: str =
 
 
 def split_random(df: DataFrame, seed: int = SEED) -> dict[str, DataFrame]:
-    """80/10/10 by Spark's random split. The result depends on the partitioning."""
-    train, rest = df.randomSplit([0.8, 0.2], seed)
+    """80/10/10 by Spark's random split. The result depends on the partitioning, so
+    the rows are written first: every part then draws from the same partitions."""
+    train, rest = stored(df, "to-split").randomSplit([0.8, 0.2], seed)
     val, test = rest.randomSplit([0.5, 0.5], seed)
     return {"train": train, "val": val, "test": test}
 

@@ -8,7 +8,7 @@ from opinara.plans.fixtures import as_event_predictions, reviews, sql, table
 from opinara.plans.registry import Registry
 from opinara.plans.reports import COUNTS_SQL
 from opinara.plans.storage import REVIEW_FIELDS, SENT_AT
-from opinara.plans.text_models import fitted
+from opinara.plans.text_models import SCORED_VIEWS, fitted
 from opinara.session import work_folder
 from opinara.sources.messages import file_stream, parse_messages, send_to_files, to_messages
 from opinara.sources.sinks import batch_sink, latest_rows
@@ -30,7 +30,7 @@ def _messages(spark, sf_dir):
 def _scored(spark, sf_dir, send, runs: int = 1):
     """Run the scoring stream ``runs`` times from one checkpoint; ``send`` provides input before each."""
     paths = {n: work_folder(spark, f"stream-{n}") for n in ("messages", "predictions", "rejects", "checkpoint")}
-    model = fitted(spark, sf_dir, "Logistic Regression", quick=True)
+    model = fitted(spark, sf_dir, "Naive Bayes")
     for run in range(runs):
         send(run, paths["messages"])
         stream = file_stream(spark, paths["messages"])
@@ -41,11 +41,20 @@ def _scored(spark, sf_dir, send, runs: int = 1):
     return paths
 
 
-@QUERIES.add("stream_score")
+@QUERIES.add(
+    "stream_score",
+    sql(
+        f"""
+select asin, "reviewTime", "reviewerID", summary, timestamp '{SENT_AT}' as processed_ts, s.label, s.confidence
+from scored s join reviews using (doc_id)
+""",
+        **SCORED_VIEWS,
+    ),
+)
 def stream_score(spark, sf_dir):
     paths = _scored(spark, sf_dir, lambda run, path: send_to_files(_messages(spark, sf_dir), path))
     return scan_predictions(spark, paths["predictions"]).select(
-        "asin", "reviewTime", "reviewerID", "summary", "processed_ts", "label", F.round("confidence", 6).alias("confidence")
+        "asin", "reviewTime", "reviewerID", "summary", "processed_ts", "label", F.round("confidence", 4).alias("confidence")
     )
 
 
