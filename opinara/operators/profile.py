@@ -82,11 +82,16 @@ def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label)
 
 
-def with_range(df: DataFrame, value: Column, bins: int) -> DataFrame:
-    """``value`` with the range to bin and its bin, keeping the other columns."""
-    valued = df.withColumn("value", value.cast("double"))
-    ends = valued.agg(F.struct(F.min("value").alias("low"), F.max("value").alias("high")))
-    ranged = valued.filter(F.col("value").isNotNull()).withColumn("_ends", ends.scalar())
+def value_counts(df: DataFrame, value: Column, *keys: str) -> DataFrame:
+    """Rows per distinct value: the value, costly or not, is worked out once per row."""
+    values = df.select(value.cast("double").alias("value"), *keys).groupBy("value", *keys)
+    return values.agg(F.count(F.lit(1)).alias("n")).filter(F.col("value").isNotNull())
+
+
+def with_bins(counts: DataFrame, bins: int) -> DataFrame:
+    """Add the range to bin, ``low`` and ``high``, and the value's ``bin``."""
+    ends = counts.agg(F.struct(F.min("value").alias("low"), F.max("value").alias("high"))).scalar()
+    ranged = counts.withColumn("_ends", ends)
     low, high = bin_range(F.col("_ends.low"), F.col("_ends.high"))
     ranged = ranged.withColumns({"low": low, "high": high}).drop("_ends")
     return ranged.withColumn("bin", bin_no(F.col("value"), F.col("low"), F.col("high"), bins))
@@ -94,8 +99,7 @@ def with_range(df: DataFrame, value: Column, bins: int) -> DataFrame:
 
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """Equal-width bins over the value range, empty ones included."""
-    ranged = with_range(df.select(value.alias("value")), F.col("value"), bins)
-    counts = ranged.groupBy("low", "high", "bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = with_bins(value_counts(df, value), bins).groupBy("low", "high", "bin").agg(F.sum("n").alias("n"))
     by_bin = counts.groupBy("low", "high").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("n_of"))
     filled = by_bin.select("low", "high", "n_of", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     low, high, bin_ = F.col("low"), F.col("high"), F.col("bin")
@@ -110,14 +114,16 @@ def density(df: DataFrame, value: Column, points: int = GRID) -> DataFrame:
     The bandwidth follows Scott's rule. Equal values are counted first, so the
     work is distinct values times grid points, summed within tasks.
     """
-    values = df.select(value.cast("double").alias("value")).filter(F.col("value").isNotNull())
-    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    summary = values.agg(
+    counts = value_counts(df, value)
+    mean = counts.agg(F.sum(F.col("n") * F.col("value")) / F.sum("n")).scalar()
+    off = counts.withColumn("off", F.col("value") - mean)
+    deviation = F.sqrt(F.sum(F.col("n") * F.col("off") * F.col("off")) / (F.sum("n") - 1))
+    summary = off.agg(
         F.struct(
-            F.count("value").alias("rows"),
+            F.sum("n").alias("rows"),
             F.min("value").alias("low"),
             F.max("value").alias("high"),
-            (F.stddev_samp("value") * F.pow(F.count("value").cast("double"), F.lit(-0.2))).alias("width"),
+            (deviation * F.pow(F.sum("n").cast("double"), F.lit(-0.2))).alias("width"),
         )
     ).scalar()
     spread = counts.withColumn("s", summary).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
@@ -129,5 +135,4 @@ def density(df: DataFrame, value: Column, points: int = GRID) -> DataFrame:
 
 def binned_scatter(df: DataFrame, value: Column, against: str, bins: int) -> DataFrame:
     """Rows per bin and value of the other column."""
-    ranged = with_range(df.select(value.alias("value"), against), F.col("value"), bins)
-    return ranged.groupBy("bin", against).agg(F.count(F.lit(1)).alias("n"))
+    return with_bins(value_counts(df, value, against), bins).groupBy("bin", against).agg(F.sum("n").alias("n"))

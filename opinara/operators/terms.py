@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.functions.text import clean_train, drop_stop_words, ml_tokens
+from opinara.functions.text import STOP_WORDS, clean_train, ml_tokens
 from opinara.operators.ranking import first_of_group
 from opinara.session import stored
 
@@ -17,31 +17,33 @@ MIN_DF = 2
 VOCABULARY = 262144
 
 
-def document_words(df: DataFrame, *keys: str, column: str = "reviewText") -> DataFrame:
-    """Each document's filtered words, as the training stages see them, next to its keys."""
-    return df.select(*keys, drop_stop_words(ml_tokens(clean_train(F.col(column)))).alias("words"))
+def count_words(df: DataFrame, *keys: str, column: str = "reviewText") -> DataFrame:
+    """Occurrences ``tf`` of each ``term`` in each document, as a written table.
+
+    The texts are read and cut into words only here. Each document also has one
+    row without a term, so that documents without words are not lost. A task
+    counts its documents' words before the shuffle.
+    """
+    words = F.array_append(ml_tokens(clean_train(F.col(column))), F.lit(None).cast("string"))
+    found = df.select(*keys, F.explode(words).alias("term"))
+    kept = found.filter(F.col("term").isNull() | ~F.col("term").isin(STOP_WORDS))
+    return stored(kept.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf")), "word-counts")
 
 
-def raw_counts(words: DataFrame, *keys: str) -> DataFrame:
-    """Occurrences of each word in each document; a task counts its documents before the shuffle."""
-    return words.select(*keys, F.explode("words").alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
+def documents(counts: DataFrame, *keys: str) -> DataFrame:
+    """The keys of all counted documents."""
+    return counts.filter(F.col("term").isNull()).select(*keys)
 
 
-def vocabulary(words: DataFrame, min_df: int = MIN_DF, size: int = VOCABULARY) -> DataFrame:
+def vocabulary(counts: DataFrame, min_df: int = MIN_DF, size: int = VOCABULARY) -> DataFrame:
     """``term, df, total`` of the most frequent terms found in enough documents, as a written table.
 
-    Words are counted straight from the documents, so a task sends one row per
-    distinct word and a frequent word is no hot key. Beyond ``size`` terms, a
-    threshold on the total is found from the number of terms per total, and
-    terms right at it are cut in hash order; nothing sorts the terms themselves.
+    Beyond ``size`` terms, a threshold on the total is found from the number of
+    terms per total, and terms right at it are cut in hash order; nothing sorts
+    the terms themselves.
     """
-    seen = F.transform("words", lambda w: F.struct(w.alias("term"), F.lit(1).alias("total"), F.lit(0).alias("df")))
-    once = F.transform(
-        F.array_distinct("words"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("total"), F.lit(1).alias("df"))
-    )
-    per_term = words.select(F.inline(F.concat(seen, once))).groupBy("term").agg(
-        F.sum("df").alias("df"), F.sum("total").alias("total")
-    )
+    named = counts.filter(F.col("term").isNotNull())
+    per_term = named.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     terms = stored(per_term.filter(F.col("df") >= min_df), "terms")
     if terms.count() <= size:
         return terms
@@ -55,16 +57,15 @@ def vocabulary(words: DataFrame, min_df: int = MIN_DF, size: int = VOCABULARY) -
     return stored(above.unionByName(at_edge), "vocabulary")
 
 
-def term_counts(words: DataFrame, *keys: str, min_df: int = MIN_DF, size: int = VOCABULARY) -> DataFrame:
+def term_counts(counts: DataFrame, *keys: str, min_df: int = MIN_DF, size: int = VOCABULARY) -> DataFrame:
     """Keys, ``term`` and ``tf`` for the terms of the vocabulary."""
-    known = vocabulary(words, min_df, size).select("term")
-    return raw_counts(words, *keys).join(known, "term").select(*keys, "term", "tf")
+    known = vocabulary(counts, min_df, size).select("term")
+    return counts.join(known, "term").select(*keys, "term", "tf")
 
 
-def tfidf(words: DataFrame, *keys: str, min_df: int = MIN_DF, size: int = VOCABULARY) -> DataFrame:
+def tfidf(counts: DataFrame, *keys: str, min_df: int = MIN_DF, size: int = VOCABULARY) -> DataFrame:
     """Keys, ``term, tf, df`` and ``weight``: the count times ``ln((documents + 1) / (df + 1))``."""
-    known = vocabulary(words, min_df, size).select("term", "df")
-    documents = words.agg(F.count(F.lit(1))).scalar()
-    weighted = known.withColumn("idf", F.log((documents + 1) / (F.col("df") + 1)))
-    joined = raw_counts(words, *keys).join(weighted, "term")
-    return joined.select(*keys, "term", "tf", "df", (F.col("tf") * F.col("idf")).alias("weight"))
+    known = vocabulary(counts, min_df, size).select("term", "df")
+    rows = documents(counts, *keys).agg(F.count(F.lit(1))).scalar()
+    weighted = known.withColumn("idf", F.log((rows + 1) / (F.col("df") + 1)))
+    return counts.join(weighted, "term").select(*keys, "term", "tf", "df", (F.col("tf") * F.col("idf")).alias("weight"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions.ratings import sentiment_code, sentiment_text
+from opinara.sources.tables import spread
 
 DAY = 86400
 FIRST_DAY = 1356998400
@@ -87,6 +88,8 @@ def predictions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     made = _prediction_columns()
     wanted = list(columns) or [c for c in made if c != "helpful"]
     docs = table(spark, sf_dir, "documents")
+    if "reviewText" in wanted:
+        docs = spread(docs, "doc_id")
     if "overall" in wanted:
         docs = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     if "reviewerName" in wanted:

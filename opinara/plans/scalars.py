@@ -17,7 +17,10 @@ from opinara.schema import CLASSES_FR
 QUERIES = Registry()
 
 TOKENS_SQL = r"""list_filter(string_split_regex(lower("reviewText"), '[\s\x0B]+'), lambda t: t <> '')"""
-WHITE_SQL = text.WHITE.replace(r"\s", r"\s\x0B")
+# Python's white space, one by one.
+WHITE_SQL = (
+    r"\s\x0B\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 
 
 def _serve_tokens_sql() -> str:

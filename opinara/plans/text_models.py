@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from opinara.plans.registry import Registry, sql_list
 from opinara.plans.storage import CLEAN_SQL, SPLIT_SQL
 from opinara.functions.ratings import sentiment_code, sentiment_text
 from opinara.functions.text import STOP_WORDS
-from opinara.session import stored, work_folder
+from opinara.session import work_folder
 
 QUERIES = Registry()
 
@@ -47,30 +48,29 @@ def _texts(spark, sf_dir, *columns: str) -> DataFrame:
     return with_text(reviews(spark, sf_dir, "doc_id", "reviewText", *columns))
 
 
-def _words(spark, sf_dir) -> DataFrame:
-    return terms.document_words(_texts(spark, sf_dir, "label"), "doc_id", "label")
-
-
 @QUERIES.add("term_counts", sql("select doc_id, term, tf from raw join vocabulary using (term)", **WORDS_VIEWS))
 def term_counts(spark, sf_dir):
-    return terms.term_counts(_words(spark, sf_dir), "doc_id")
+    return terms.term_counts(terms.count_words(_texts(spark, sf_dir), "doc_id"), "doc_id")
 
 
 @QUERIES.add("tfidf", sql("select doc_id, term, tf, df, round(weight, 6) as weight from weights", **WORDS_VIEWS))
 def tfidf(spark, sf_dir):
-    weights = terms.tfidf(_words(spark, sf_dir), "doc_id")
+    weights = terms.tfidf(terms.count_words(_texts(spark, sf_dir), "doc_id"), "doc_id")
     return weights.withColumns({"weight": F.round("weight", 6), "df": F.col("df").cast("bigint")})
 
 
-@QUERIES.add("hashing_tf", sql("select doc_id, len(words)::double as n_words from words", **WORDS_VIEWS))
+@QUERIES.add(
+    "hashing_tf", sql("select label, sum(len(words))::double as n_words from words group by label", **WORDS_VIEWS)
+)
 def hashing_tf(spark, sf_dir):
     """Hashed counts add up to the number of words, whichever words share a slot."""
-    df = with_cleaned(_texts(spark, sf_dir))
+    df = with_cleaned(_texts(spark, sf_dir, "label"))
     words = Tokenizer(inputCol="cleaned_reviews", outputCol="words").transform(df)
     words = StopWordsRemover(inputCol="words", outputCol="filtered_words").transform(words)
     hashed = features.hashing_stage().transform(words)
-    total = F.aggregate(vector_to_array("hashing_features"), F.lit(0.0), lambda acc, x: acc + x)
-    return hashed.select("doc_id", total.alias("n_words"))
+    slots = hashed.groupBy("label").agg(Summarizer.sum(F.col("hashing_features")).alias("slots"))
+    total = F.aggregate(vector_to_array("slots"), F.lit(0.0), lambda acc, x: acc + x)
+    return slots.select("label", F.round(total).alias("n_words"))
 
 
 @QUERIES.add(
@@ -102,7 +102,8 @@ NB_VIEWS = {
 @QUERIES.add("train_nb", sql("select label, term, round(theta, 6) as theta from smoothed", **NB_VIEWS))
 def train_nb(spark, sf_dir):
     """Naive Bayes weights as joins and sums; equal to those of Spark ML's estimator."""
-    weights = terms.tfidf(_words(spark, sf_dir), "doc_id", "label")
+    counts = terms.count_words(_texts(spark, sf_dir, "label"), "doc_id", "label")
+    weights = terms.tfidf(counts, "doc_id", "label")
     return bayes.class_weights(weights).withColumn("theta", F.round("theta", 6))
 
 
@@ -124,18 +125,13 @@ where place = 1
 )
 def score_nb(spark, sf_dir):
     """Every review scored by the naive Bayes weights."""
-    weights = stored(terms.tfidf(_words(spark, sf_dir), "doc_id", "label"), "weights")
-    docs = _texts(spark, sf_dir, "label")
+    counts = terms.count_words(_texts(spark, sf_dir, "label"), "doc_id", "label")
+    weights = terms.tfidf(counts, "doc_id", "label")
+    docs = terms.documents(counts, "doc_id", "label")
     scored = bayes.score(weights, bayes.class_weights(weights), bayes.class_priors(docs), docs, "doc_id")
     return scored.withColumn("confidence", F.round("confidence", 4))
 
 
-EVALUATED_SQL = {
-    "pairs": """select case when overall < 3 then 'negative' when overall = 3 then 'neutral' else 'positive' end as truth,
-        label as predicted from predictions""",
-}
-
-
 def _metrics_sql(source: str, key: str) -> dict[str, str]:
     return {
         "classes": f"""select {key}, truth as c, count(*) as actual, count(*) filter (where truth = predicted) as hits
@@ -304,18 +300,21 @@ def cross_validate(spark, sf_dir):
 @QUERIES.add(
     "feature_model",
     sql(
-        "select doc_id, coalesce(sum(tf), 0)::double as n_words from cleaned left join "
-        "(select r.doc_id, tf from raw r join trained using (term)) using (doc_id) group by doc_id",
+        "select term, sum(tf)::double as total from raw join trained using (term) group by term",
         **WORDS_VIEWS,
-        trained=f"""select term from raw where {SPLIT_SQL} = 'train' group by term having count(*) >= 2""",
+        trained=f"select term from raw where {SPLIT_SQL} = 'train' group by term having count(*) >= 2",
     ),
 )
 def feature_model(spark, sf_dir):
-    """The text stages taken out of a full model, run over all reviews."""
+    """The text stages taken out of a full model: each of their terms counted over all reviews."""
     stages = features.feature_model(fitted(spark, sf_dir, "Naive Bayes"))
-    df = stages.transform(with_cleaned(_texts(spark, sf_dir)))
-    total = F.aggregate(vector_to_array("raw_features"), F.lit(0.0), lambda acc, x: acc + x)
-    return df.select("doc_id", total.alias("n_words"))
+    counted = stages.transform(with_cleaned(_texts(spark, sf_dir)))
+    totals = counted.agg(Summarizer.sum(F.col("raw_features")).alias("totals"))
+    by_place = totals.select(F.posexplode(vector_to_array("totals")).alias("place", "total"))
+    by_place = by_place.withColumn("total", F.round("total"))
+    # The fitted vocabulary is on the driver and has a fixed largest size.
+    names = spark.createDataFrame(list(enumerate(stages.stages[2].vocabulary)), "place int, term string")
+    return by_place.join(names, "place").select("term", "total")
 
 
 # The same model in SQL: trained on the training split, run over all reviews with text.

@@ -22,6 +22,16 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A table in fewer splits than the cluster can work on, spread by a unique key.
+
+    For a plain scan whose rows are costly to work on, such as a few files of long
+    texts. A table in many splits, as any large one is, stays as it lies.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= 2 * cores else scan.repartition(cores, key)
+
+
 def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Replace the table at ``path``."""
     writer = df.write.mode("overwrite")
