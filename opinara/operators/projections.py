@@ -62,11 +62,11 @@ def without_model_columns(df: DataFrame) -> DataFrame:
 
 def prediction_documents(df: DataFrame, processed_ts: Column | None = None, is_realtime: bool = True) -> DataFrame:
     """The stored form of scored reviews. ``processed_ts`` stands in for the clock."""
-    clock = F.localtimestamp() if processed_ts is None else processed_ts
+    clock = F.current_timestamp() if processed_ts is None else processed_ts
     kept = [field_or(df, name, None).cast(REVIEW[name].dataType).alias(name) for name in KEPT_FIELDS]
     return df.select(
         *kept,
-        clock.cast("timestamp_ntz").alias("processed_ts"),
+        clock.cast("timestamp").alias("processed_ts"),
         F.coalesce("label", F.lit(UNKNOWN)).alias("label"),
         F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
         F.lit(is_realtime).alias("is_realtime"),

@@ -172,7 +172,8 @@ select asin, helpful_votes, total_votes, overall, "reviewText", "reviewTime", "r
 
 def _flat_documents(df):
     votes = [F.get("helpful", F.lit(i)).alias(n) for i, n in enumerate(("helpful_votes", "total_votes"))]
-    return df.select(*[c for c in df.columns if c not in ("helpful", "kafka_timestamp")], *votes)
+    flat = df.select(*[c for c in df.columns if c not in ("helpful", "kafka_timestamp")], *votes)
+    return flat.withColumn("processed_ts", F.col("processed_ts").cast("timestamp_ntz"))
 
 
 @QUERIES.add("enrich_predictions", sql(DOCUMENTS_SQL))

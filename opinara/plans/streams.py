@@ -34,7 +34,7 @@ def _scored(spark, sf_dir, send, runs: int = 1):
     for run in range(runs):
         send(run, paths["messages"])
         stream = file_stream(spark, paths["messages"])
-        clock = F.lit(SENT_AT).cast("timestamp_ntz")
+        clock = F.lit(SENT_AT).cast("timestamp")
         start_scoring(
             stream, model, paths["predictions"], paths["rejects"], paths["checkpoint"], NOW, clock
         ).awaitTermination()
@@ -54,7 +54,8 @@ from scored s join reviews using (doc_id)
 def stream_score(spark, sf_dir):
     paths = _scored(spark, sf_dir, lambda run, path: send_to_files(_messages(spark, sf_dir), path))
     return scan_predictions(spark, paths["predictions"]).select(
-        "asin", "reviewTime", "reviewerID", "summary", "processed_ts", "label", F.round("confidence", 4).alias("confidence")
+        "asin", "reviewTime", "reviewerID", "summary", F.col("processed_ts").cast("timestamp_ntz").alias("processed_ts"),
+        "label", F.round("confidence", 4).alias("confidence")
     )
 
 

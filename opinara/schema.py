@@ -45,7 +45,9 @@ KEPT_FIELDS = [f.name for f in REVIEW.fields if f.name != "sentiment"]
 PREDICTION = T.StructType(
     [f for f in REVIEW.fields if f.name != "sentiment"]
     + [
-        T.StructField("processed_ts", T.TimestampNTZType()),
+        # With a zone: only such times are compared within Parquet files, so that
+        # a filter on recent rows skips the others.
+        T.StructField("processed_ts", T.TimestampType()),
         T.StructField("label", T.StringType()),
         T.StructField("confidence", T.DoubleType()),
         T.StructField("is_realtime", T.BooleanType()),

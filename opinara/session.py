@@ -22,6 +22,8 @@ def build_session(app: str = "opinara", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Times with statistics, which the older default form lacks.
+        "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
         # Window state beyond the heap goes to local disk, backed by the checkpoint.
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

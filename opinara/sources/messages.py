@@ -11,6 +11,8 @@ from opinara.functions.records import field_or, typed
 from opinara.schema import MESSAGE_DEFAULTS, REVIEW
 
 CORRUPT = "_corrupt"
+# Fields that are made numbers, whatever they arrive as.
+NUMBERS = ("overall", "unixReviewTime", "sentiment")
 
 
 def normalised(df: DataFrame) -> DataFrame:
@@ -31,9 +33,10 @@ def message_records(df: DataFrame, sent_at: Column | None = None) -> DataFrame:
     types = {f.name: f.dataType.simpleString() for f in REVIEW}
     fields = []
     for name, default in MESSAGE_DEFAULTS.items():
-        value = field_or(df, name, default)
-        if name in ("overall", "unixReviewTime", "sentiment"):
-            value = typed(value, types[name], default)
+        if name in NUMBERS and name in df.columns:
+            value = typed(F.col(name), types[name], default)
+        else:
+            value = field_or(df, name, default)
         fields.append(value.cast(types[name]).alias(name))
     sent = iso(F.current_timestamp()) if sent_at is None else sent_at
     return df.select(*fields, sent.alias("kafka_timestamp"))

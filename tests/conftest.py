@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import time
 
 import pytest
 
@@ -9,6 +10,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from opinara.session import build_session  # noqa: E402
 
+# Python shows times with a zone in its own; the sessions here run in UTC.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 SMALL = "/root/testdata/sf0.001"
 
 
