@@ -120,8 +120,9 @@ def all_panels(df: DataFrame, rows: int = 10) -> DataFrame:
     for i, p in enumerate(panels):
         which = F.when(F.col("gid") == every - 2 ** (len(panels) - 1 - i), p).otherwise(which)
     long = counts.select(which.alias("panel"), F.coalesce(*cols).alias("key"), *reversed(CLASSES), "total", "newest")
-    rank = F.row_number().over(Window.partitionBy("panel").orderBy(F.desc("total"), F.desc("newest"), "key"))
-    keyed = long.filter(F.col("key").isNotNull())
-    topped = keyed.filter(F.col("panel").isin("product", "reviewer")).withColumn("rank", rank).filter(F.col("rank") <= rows)
-    whole = keyed.filter(~F.col("panel").isin("product", "reviewer")).withColumn("rank", F.lit(None).cast("int"))
-    return whole.unionByName(topped)
+    # A key of a whole panel is a group of its own, so the limit keeps all of them.
+    limited = F.col("panel").isin("product", "reviewer")
+    group = Window.partitionBy("panel", F.when(~limited, F.col("key")))
+    rank = F.row_number().over(group.orderBy(F.desc("total"), F.desc("newest"), "key"))
+    ranked = long.filter(F.col("key").isNotNull()).withColumn("rank", rank).filter(F.col("rank") <= rows)
+    return ranked.withColumn("rank", F.when(limited, F.col("rank")))

@@ -27,9 +27,11 @@ def group_cuts(
     """Where in hash order each group's first ``quota`` rows end, one row per group.
 
     ``quota`` gets the group's row count and the largest group's row count.
-    Rows fall into buckets by the first digits of their hash, and bucket counts
-    show which bucket the quota ends in (null where the group has no more rows).
-    The table is written, so the planner broadcasts it by its true size.
+    ``key`` must be unique, and ``group`` must have few values, as class labels
+    have. Rows fall into buckets by the first digits of their hash, and bucket
+    counts show which bucket the quota ends in; only that one, of 65,536, is
+    sorted. All this reads only the two columns. The result is written, so the
+    planner broadcasts it by its true size.
     """
     bucket = F.substring(hash_order(key), 1, hex_digits).alias("_bucket")
     per_bucket = df.groupBy(group, bucket).agg(F.count(F.lit(1)).alias("_rows"))
@@ -49,25 +51,27 @@ def group_cuts(
         F.max(F.when(ends_here, F.col("_bucket"))).alias("_cut"),
         F.max(F.when(ends_here, F.col("_quota") - F.col("_before"))).alias("_left"),
     )
-    return stored(cuts, "group-cuts")
+    cuts = stored(cuts, "group-cuts")
+
+    inside = df.select(group, key, hash_order(key).alias("_hash"), bucket).join(cuts.filter(F.col("_left") > 0), group)
+    inside = inside.filter(F.col("_bucket") == F.col("_cut"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy("_hash", key))
+    last = inside.withColumn("_place", place).filter(F.col("_place") == F.col("_left"))
+    last = last.select(group, F.col("_hash").alias("_last"), F.col(key).alias("_last_key"))
+    # Where the bucket gives no row, its own digits come before all hashes in it.
+    upto = F.coalesce("_last", "_cut").alias("_upto")
+    return stored(cuts.join(last, group, "left").select(group, "group_rows", "largest_rows", upto, "_last_key"), "cuts")
 
 
-def mark_first(df: DataFrame, group: str, key: str, cuts: DataFrame, hex_digits: int = HEX_DIGITS) -> DataFrame:
+def mark_first(df: DataFrame, group: str, key: str, cuts: DataFrame) -> DataFrame:
     """Add ``chosen`` (is the row among its group's first?), ``group_rows`` and ``largest_rows``.
 
-    ``key`` must be unique, and ``group`` must have few values, as class labels
-    have. Only the bucket a quota ends in, one in 65,536, is sorted; all other
-    rows are decided where they are, without a shuffle.
+    One pass: each row is compared with its group's last chosen row.
     """
     order = hash_order(key)
-    marked = df.withColumn("_bucket", F.substring(order, 1, hex_digits)).join(cuts, group)
-    at_cut = F.coalesce(F.col("_bucket") == F.col("_cut"), F.lit(False))
-    decided = marked.filter(~at_cut).withColumn(
-        "chosen", F.col("_cut").isNull() | (F.col("_bucket") < F.col("_cut"))
-    )
-    place = F.row_number().over(Window.partitionBy(group).orderBy(order, key))
-    sorted_cut = marked.filter(at_cut).withColumn("chosen", place <= F.col("_left"))
-    return decided.unionByName(sorted_cut).drop("_bucket", "_cut", "_left")
+    before = (order < F.col("_upto")) | ((order == F.col("_upto")) & (F.col(key) <= F.col("_last_key")))
+    chosen = F.col("_upto").isNull() | F.coalesce(before, F.lit(False))
+    return df.join(cuts, group).withColumn("chosen", chosen).drop("_upto", "_last_key")
 
 
 def first_of_group(df: DataFrame, group: str, key: str, quota: Callable[[Column, Column], Column]) -> DataFrame:

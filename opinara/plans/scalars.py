@@ -13,6 +13,7 @@ from opinara.plans.fixtures import event_predictions, predictions, reviews, sql
 from opinara.plans.registry import Registry, sql_list
 from opinara.plans.storage import CLEAN_SQL
 from opinara.schema import CLASSES_FR
+from opinara.session import stored
 
 QUERIES = Registry()
 
@@ -92,6 +93,7 @@ select doc_id, '' as folded from served where len(coalesce(tokens, [])) = 0
 def lemma_fold(spark, sf_dir):
     df = reviews(spark, sf_dir, "doc_id", "reviewText")
     served = df.select("doc_id", F.coalesce(text.serve_tokens(F.col("reviewText")), F.array().cast("array<string>")).alias("tokens"))
+    served = stored(served, "served")
     folded = fold_lemmas(served, "doc_id", plural_lemmas(served), candidate=F.col("token").endswith("s"))
     return folded.select("doc_id", F.array_join("tokens", " ").alias("folded"))
 
@@ -151,9 +153,9 @@ def length_bin(spark, sf_dir):
 @QUERIES.add("parse_helpful", sql("select doc_id, helpful_votes, total_votes from reviews"))
 def parse_helpful(spark, sf_dir):
     df = predictions(spark, sf_dir, "doc_id", "helpful_votes", "total_votes")
-    stored = df.select("doc_id", F.format_string("[%d, %d]", "helpful_votes", "total_votes").alias("helpful"))
-    votes = ratings.parse_helpful(stored)
-    return stored.select(
+    texts = df.select("doc_id", F.format_string("[%d, %d]", "helpful_votes", "total_votes").alias("helpful"))
+    votes = ratings.parse_helpful(texts)
+    return texts.select(
         "doc_id", ratings.helpful_votes(votes).alias("helpful_votes"), ratings.total_votes(votes).alias("total_votes")
     )
 

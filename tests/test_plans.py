@@ -64,6 +64,7 @@ def test_top_rows_need_no_full_sort(stored):
 def test_all_panels_scan_once_and_limit_before_ranking(stored):
     text = plan(panels.all_panels(stored))
     assert "WindowGroupLimit" in text
+    assert text.count("FileScan") == 1
 
 
 def test_counts_are_combined_before_the_shuffle(stored):

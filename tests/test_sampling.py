@@ -30,7 +30,7 @@ def md5(key):
 def test_marks_the_first_in_hash_order(spark, hex_digits, quota):
     df = labelled(spark, {"a": 300, "b": 100, "c": 5})
     cuts = group_cuts(df, "label", "id", lambda n, largest: F.lit(quota), hex_digits)
-    marked = mark_first(df, "label", "id", cuts, hex_digits).collect()
+    marked = mark_first(df, "label", "id", cuts).collect()
     assert len(marked) == 405
     for label, n in {"a": 300, "b": 100, "c": 5}.items():
         mine = [r for r in marked if r.label == label]
