@@ -6,8 +6,12 @@ rating neither touches ``labels`` nor shuffles the texts.
 
 from __future__ import annotations
 
+import json
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from opinara.functions.ratings import sentiment_code, sentiment_text
 from opinara.sources.tables import spread
@@ -17,8 +21,15 @@ FIRST_DAY = 1356998400
 REVIEWERS = 150
 
 
+@cache
+def _schema(sf_dir: str, name: str) -> str:
+    """The declared schema of a table, read from its files once."""
+    return SparkSession.active().read.parquet(f"{sf_dir}/{name}.parquet").schema.json()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    schema = StructType.fromJson(json.loads(_schema(sf_dir, name)))
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _unix_time(doc_id: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.operators import panels
@@ -145,24 +145,22 @@ def sentiment_by_length(spark, sf_dir):
 @QUERIES.add(
     "ordered_panels",
     sql(f"""
-select *, row_number() over (order by panel, sort_no, key) as place from (
-  select 'day' as panel, 0.0::double as sort_no, "reviewTime" as key, {COUNTS_SQL}
-  from predictions where {KNOWN_SQL} and "reviewTime" <> '' group by 3
-  union all select 'length', 0.0::double, {LENGTH_BIN_SQL}, {COUNTS_SQL}
-  from predictions where {KNOWN_SQL} and "reviewText" <> '' group by 3
-  union all select 'rating', coalesce(overall, -1)::double, coalesce(cast(overall as varchar), 'N/A'), {COUNTS_SQL}
-  from predictions where {KNOWN_SQL} group by 2, 3)
+select 'day' as panel, 0.0::double as sort_no, "reviewTime" as key, {COUNTS_SQL}
+from predictions where {KNOWN_SQL} and "reviewTime" <> '' group by 3
+union all select 'length', 0.0::double, {LENGTH_BIN_SQL}, {COUNTS_SQL}
+from predictions where {KNOWN_SQL} and "reviewText" <> '' group by 3
+union all select 'rating', coalesce(overall, -1)::double, coalesce(cast(overall as varchar), 'N/A'), {COUNTS_SQL}
+from predictions where {KNOWN_SQL} group by 2, 3
+order by 1, 2, 3
 """),
 )
 def ordered_panels(spark, sf_dir):
-    """The key-ordered panels in one scan, numbered in the order they are shown."""
+    """The key-ordered panels from one scan: ratings by number, the others as text."""
     df = predictions(spark, sf_dir, "label", "processed_ts", "reviewTime", "overall", "asin", "reviewerName", "reviewText")
     shown = panels.all_panels(df).filter(F.col("panel").isin("day", "length", "rating"))
     number = F.when(F.col("panel") == "rating", F.coalesce(F.col("key").try_cast("double"), F.lit(-1.0))).otherwise(0.0)
     shown = shown.select("panel", number.alias("sort_no"), "key", "positive", "neutral", "negative")
-    # One row per shown key: days, ratings and length classes, not reviews.
-    place = F.row_number().over(Window.orderBy("panel", "sort_no", "key"))
-    return shown.withColumn("place", place.cast("bigint"))
+    return shown.orderBy("panel", "sort_no", "key")
 
 
 @QUERIES.add(

@@ -74,7 +74,7 @@ def stream_restart(spark, sf_dir):
     return scan_predictions(spark, paths["predictions"]).groupBy("asin").agg(F.count(F.lit(1)).alias("n"))
 
 
-ROWS_PER_FILE = 500
+ROWS_PER_FILE = 100_000
 
 
 @QUERIES.add("stream_replay", sql("select count(*) as n, count(distinct asin) as products from reviews"))
