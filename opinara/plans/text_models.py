@@ -236,7 +236,8 @@ def fitted(spark, sf_dir, name: str, quick: bool = False) -> PipelineModel:
 
     def make() -> PipelineModel:
         estimator = (training.quick_classifiers() if quick else training.classifiers())[name]
-        return features.with_classifier(fitted_features(spark, sf_dir), estimator.fit(_featured(spark, sf_dir, "train")))
+        rows = training.fit_input(estimator, _featured(spark, sf_dir, "train"))
+        return features.with_classifier(fitted_features(spark, sf_dir), estimator.fit(rows))
 
     return _once(spark, sf_dir, f"model-{name}-{quick}", make)
 
