@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact, rules
+from opinara.llm import exact, rules, simhash
 from opinara.llm.common import table
 from opinara.plans.registry import Registry
 
 CATALOG = Registry()
 
+
+@CATALOG.add("op1_simhash_near_dedup")
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = """
 with t as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz')) as text_sha256 from documents)
