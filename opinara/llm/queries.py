@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact, rules, simhash
+from opinara.llm import exact, rules, simhash, substrings
 from opinara.llm.common import table
 from opinara.plans.registry import Registry
 
@@ -16,6 +16,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@CATALOG.add("op2_substring_dedup", substrings.SUBSTRINGS_SQL)
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_duplicates(table(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = """
 with t as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz')) as text_sha256 from documents)
