@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact, rules, simhash, substrings
+from opinara.llm import bpe, exact, rules, simhash, substrings
 from opinara.llm.common import table
 from opinara.plans.registry import Registry
 
@@ -21,6 +22,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_duplicates(table(spark, sf_dir, "documents"))
 
 
+@CATALOG.add("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 EXACT_SQL = """
 with t as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz')) as text_sha256 from documents)
