@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import bpe, exact, rules, simhash, substrings
+from opinara.llm import bpe, exact, packing, rules, simhash, substrings
 from opinara.llm.common import table
 from opinara.plans.registry import Registry
 
@@ -28,6 +28,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@CATALOG.add("op7_mixture_packing")
+def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 EXACT_SQL = """
 with t as (select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz')) as text_sha256 from documents)
