@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import bpe, exact, packing, rules, simhash, substrings
+from opinara.llm import bpe, exact, licenses, packing, rules, simhash, substrings, warc
 from opinara.llm.common import table
 from opinara.plans.registry import Registry
 
@@ -28,6 +28,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@CATALOG.add("op5_warc_bundles", warc.WARC_SQL)
+def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
+@CATALOG.add("op6_license_scan")
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 @CATALOG.add("op7_mixture_packing")
 def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
