@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import bpe, exact, licenses, packing, rules, simhash, substrings, warc
+from opinara.llm import bpe, exact, licenses, packing, quality, rules, simhash, substrings, warc
 from opinara.llm.common import table
 from opinara.plans.registry import Registry
 
@@ -57,6 +57,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@CATALOG.add("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @CATALOG.add("op10_quality_rules", rules.RULES_SQL)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_report(table(spark, sf_dir, "documents"))
