@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import bpe, exact, licenses, packing, quality, rules, simhash, substrings, warc
+from opinara.llm import bpe, exact, licenses, packing, quality, rules, simhash, substrings, urls, warc
 from opinara.llm.common import table
 from opinara.plans.registry import Registry
 
@@ -28,6 +28,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@CATALOG.add("op4_url_filter", urls.URLS_SQL)
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 @CATALOG.add("op5_warc_bundles", warc.WARC_SQL)
 def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
