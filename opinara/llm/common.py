@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from opinara.session import stored
 
-__all__ = ["fresh", "map_rows", "on_workers", "stored", "table", "text_blocks", "utf8"]
+__all__ = ["fresh", "map_rows", "on_workers", "row_hash", "stored", "table", "text_blocks", "utf8"]
 
 #: The folder that holds the package.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -31,6 +31,11 @@ def utf8(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")
 
 
+def row_hash(text: Column | str) -> Column:
+    """Tells rows apart that share an id, by their text."""
+    return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import map_rows, stored, utf8
+from opinara.llm.common import map_rows, row_hash, stored, utf8
 
 SLOTS = 4
 KICKS = 200
@@ -123,8 +123,8 @@ class CuckooIndex:
 
 
 def _digests(rows: Iterable[tuple]) -> Iterator[tuple]:
-    for doc_id, text in rows:
-        yield doc_id, hashlib.sha256(text.lower()).digest()
+    for doc_id, row, text in rows:
+        yield doc_id, row, hashlib.sha256(text.lower()).digest()
 
 
 def _live(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -135,14 +135,15 @@ def _live(rows: Iterable[tuple]) -> Iterator[tuple]:
         yield tuple(entry)
 
 
-DIGESTS = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary())])
+DIGESTS = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("digest", pa.binary())])
 LIVE = pa.schema([("digest", pa.binary()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
 LIVE_DDL = "digest binary, keep_id long, group_size long"
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, digest`` of every row, written once."""
-    found = map_rows(docs.select(F.col(key).cast("long"), utf8(text)), _digests, DIGESTS, "doc_id long, digest binary")
+    """``doc_id, row_hash, digest`` of every row, written once."""
+    read = docs.select(F.col(key).cast("long"), row_hash(text), utf8(text))
+    found = map_rows(read, _digests, DIGESTS, "doc_id long, row_hash long, digest binary")
     return stored(found, "digests")
 
 
@@ -153,7 +154,7 @@ def live_digests(rows: DataFrame) -> DataFrame:
 
 
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` for every row of ``docs``."""
+    """``doc_id, keep_id, group_size, kept, text_sha256, row_hash`` for every row of ``docs``."""
     rows = digests(docs, key, text)
     groups = stored(live_digests(rows).filter("group_size > 1"), "live-digests")
     joined = rows.join(groups, "digest", "left")
@@ -164,11 +165,14 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "row_hash",
     )
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is the live one of its group, all columns kept."""
-    dropped = exact_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    gone = stored(dropped, "dropped")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["dropped_id"]), "left_anti")
+    dropped = exact_duplicates(docs).filter("not kept")
+    dropped = dropped.select(F.col("doc_id").alias("dropped_id"), F.col("row_hash").alias("dropped_hash"))
+    gone = stored(dropped.distinct(), "dropped")
+    same = docs["doc_id"].eqNullSafe(gone["dropped_id"]) & (row_hash(docs["text"]) == gone["dropped_hash"])
+    return docs.join(gone, same, "left_anti")

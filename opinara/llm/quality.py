@@ -157,17 +157,30 @@ def tree(g: np.ndarray, h: np.ndarray, leaves: int = 3) -> np.ndarray:
     return out
 
 
+def _cut_rows(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of ordered bins the worth of its best cut, and that cut's place; 0: uncut."""
+    gl, hl = np.cumsum(g, axis=1), np.cumsum(h, axis=1)
+    gr, hr = gl[:, -1:] - gl, hl[:, -1:] - hl
+    worth = gl * _leaf(gl, hl) + gr * _leaf(gr, hr)
+    worth = np.c_[worth[:, -1:], worth[:, :-1]]  # a cut after the last bin is none
+    return worth.max(axis=1), worth.argmax(axis=1)
+
+
 def pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
-    """Gain and step of a tree on a grid: a cut of the rows, then of the columns on either side."""
-    gain, at = _best_cut(g.sum(1), h.sum(1))
+    """Gain and step of a tree on a grid: the cut of the rows that leaves the best cuts of the columns on either side.
+
+    So it sees effects that only the two features together have.
+    """
+    above = np.cumsum(g, axis=0), np.cumsum(h, axis=0)
+    worth, columns = _cut_rows(*above)
+    below, other = _cut_rows(above[0][-1] - above[0], above[1][-1] - above[1])
+    row = int((worth + below).argmax())
     out = np.zeros_like(g)
-    for rows in (slice(0, at), slice(at, None)) if at else (slice(None),):
-        columns = g[rows].sum(0), h[rows].sum(0)
-        more, cut = _best_cut(*columns)
-        gain += more
-        for part in (slice(0, cut), slice(cut, None)) if cut else (slice(None),):
-            out[rows, part] = _leaf(g[rows, part].sum(), h[rows, part].sum())
-    return gain, out
+    for rows, cut in ((slice(0, row + 1), columns[row]), (slice(row + 1, None), other[row])):
+        for part in (slice(0, cut), slice(cut, None)):
+            if g[rows, part].size:
+                out[rows, part] = _leaf(g[rows, part].sum(), h[rows, part].sum())
+    return float((worth + below)[row] - g.sum() * _leaf(g.sum(), h.sum())), out
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> Additive:
@@ -245,6 +258,8 @@ def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Additive:
         # A little less than asked for, so that the limit only guards the bound.
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(0.95 * sample / n * (1 << 30)))
     found = rows.join(known, "doc_id").select("doc_id", "label", "features").limit(sample).toArrow()
+    if not found.num_rows:
+        return Additive()
     found = found.sort_by([("doc_id", "ascending"), ("label", "ascending")])
     x = np.array(found["features"].to_pylist(), float).reshape(found.num_rows, -1)
     return fit(x, found["label"].to_numpy())

@@ -14,7 +14,7 @@ CATALOG = Registry()
 
 @CATALOG.add("op1_simhash_near_dedup")
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
 @CATALOG.add("op2_substring_dedup", substrings.SUBSTRINGS_SQL)
@@ -59,7 +59,7 @@ from t window g as (partition by text_sha256)
 
 @CATALOG.add("op8_exact_dedup", EXACT_SQL)
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact.exact_duplicates(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
 @CATALOG.add("op9_quality_classifier")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import map_rows, stored, text_blocks, utf8
+from opinara.llm.common import map_rows, row_hash, stored, text_blocks, utf8
 from opinara.llm.graph import components
 
 SEED = 42
@@ -68,17 +68,18 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 
 def _fingerprints(rows: Iterable[tuple]) -> Iterator[tuple]:
-    for doc_id, text in rows:
+    for doc_id, row, text in rows:
         value = fingerprint(text)
-        yield doc_id, value - (1 << 64) if value >> 63 else value
+        yield doc_id, row, value - (1 << 64) if value >> 63 else value
 
 
-PRINTS = pa.schema([("doc_id", pa.int64()), ("bits", pa.int64())])
+PRINTS = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("bits", pa.int64())])
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, bits`` of every row, written once; ``bits`` is the fingerprint as a signed number."""
-    found = map_rows(docs.select(F.col(key).cast("long"), utf8(text)), _fingerprints, PRINTS, "doc_id long, bits long")
+    """``doc_id, row_hash, bits`` of every row, written once; ``bits`` is the fingerprint as a signed number."""
+    read = docs.select(F.col(key).cast("long"), row_hash(text), utf8(text))
+    found = map_rows(read, _fingerprints, PRINTS, "doc_id long, row_hash long, bits long")
     return stored(found, "fingerprints")
 
 
@@ -123,7 +124,7 @@ def links(prints: DataFrame, longest: int = LIST) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int = LIST) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs``."""
+    """``doc_id, fingerprint, component_id, row_hash`` for every row of ``docs``."""
     rows = fingerprints(docs, key, text)
     prints = stored(rows.groupBy("bits").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     labels = components(links(prints, longest))
@@ -132,12 +133,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", lo
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     named = stored(named.join(smallest, "label").select("bits", "component_id"), "components")
     return rows.join(named, "bits").select(
-        "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id", "row_hash"
     )
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that name their component, all columns kept."""
     later = near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = stored(later.select(F.col("doc_id").alias("later_id")).distinct(), "later-copies")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["later_id"]), "left_anti")
+    gone = later.select(F.col("doc_id").alias("later_id"), F.col("row_hash").alias("later_hash"))
+    gone = stored(gone.distinct(), "later-copies")
+    same = docs["doc_id"].eqNullSafe(gone["later_id"]) & (row_hash(docs["text"]) == gone["later_hash"])
+    return docs.join(gone, same, "left_anti")

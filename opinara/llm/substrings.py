@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import fresh, map_rows, on_workers, stored, utf8
+from opinara.llm.common import fresh, map_rows, on_workers, row_hash, stored, utf8
 
 WINDOW = 50
 GRAM = 10
@@ -143,17 +143,12 @@ def cut(words: list[bytes], spans: list[tuple[int, int]]) -> list[bytes]:
     return kept + words[at:]
 
 
-def _row_hash(text: str):
-    """Tells rows with the same id apart by their text."""
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-
-
 def duplicate_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, row_hash, pieces``: of each row with something to remove, the windows' places ``(first, end)``.
 
     A piece covers the words from ``first`` to ``end``, ``end`` not included. One list is bounded by its text.
     """
-    base = docs.select(F.col(key).cast("long").alias("doc_id"), _row_hash(text).alias("row_hash"), utf8(text).alias("utf8"))
+    base = docs.select(F.col(key).cast("long").alias("doc_id"), row_hash(text).alias("row_hash"), utf8(text).alias("utf8"))
     blocks = stored(
         map_rows(base, _blocks, BLOCKS, "doc_id long, row_hash long, first long, end long, anchor long, block binary"),
         "blocks",
@@ -202,7 +197,7 @@ def with_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tup
     """``docs`` with each row's pieces, null where there are none, and that column's name."""
     pieces, name = duplicate_spans(docs, key, text), fresh(docs, "pieces")
     pieces = pieces.select(F.col("doc_id").alias("span_id"), F.col("row_hash").alias("span_hash"), F.col("pieces").alias(name))
-    same = (docs[key].cast("long") == pieces["span_id"]) & (_row_hash(text) == pieces["span_hash"])
+    same = (docs[key].cast("long") == pieces["span_id"]) & (row_hash(text) == pieces["span_hash"])
     joined = docs.join(pieces.hint("shuffle_hash"), same, "left")
     return joined.select(*[docs[c] for c in docs.columns], pieces[name]), name
 
