@@ -1,10 +1,13 @@
-"""Multinomial naive Bayes over long-form term weights, as joins and aggregates."""
+"""Multinomial naive Bayes over long-form word counts, as joins and aggregates."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.operators.terms import MIN_DF, documents, idf, vocabulary
 from opinara.schema import CLASSES
 from opinara.session import stored
 
@@ -18,43 +21,46 @@ def class_priors(labels: DataFrame, smoothing: float = 1.0) -> DataFrame:
     return sized.select("label", prior.alias("prior"))
 
 
-def class_weights(weights: DataFrame, smoothing: float = 1.0, classes: tuple[str, ...] = CLASSES) -> DataFrame:
-    """``label, term, theta``: smoothed log share of each term's weight within its class.
+def class_weights(
+    counts: DataFrame, smoothing: float = 1.0, classes: Sequence[str] = CLASSES, min_df: int = MIN_DF
+) -> DataFrame:
+    """``term, idf`` and for each class a column: the smoothed log share of the term's weight in it.
 
-    ``weights`` carries ``label`` as a key. The sums per class stay in columns, so
-    each term is one row and no class is a hot key.
+    ``counts`` carries ``label`` as a key. One grouping by term gives document
+    frequency and occurrences per class; the idf is the same for all rows of a
+    term, so it is multiplied afterwards, and no row is joined for it.
     """
-    per_term = weights.groupBy("term").agg(
-        *[F.sum(F.when(F.col("label") == c, F.col("weight")).otherwise(0.0)).alias(c) for c in classes]
-    )
-    per_term = stored(per_term, "class-sums")
-    sizes = per_term.agg(
-        F.struct(F.count(F.lit(1)).alias("terms"), *[F.sum(c).alias(c) for c in classes])
-    ).scalar()
-    sized = per_term.withColumn("s", sizes)
+    terms = vocabulary(counts, min_df, "label", classes)
+    weight = idf(counts, F.col("df"))
+    sums = stored(terms.select("term", weight.alias("idf"), *[(F.col(c) * weight).alias(c) for c in classes]), "class-sums")
+    sizes = sums.agg(F.struct(F.count(F.lit(1)).alias("terms"), *[F.sum(c).alias(c) for c in classes])).scalar()
+    sized = sums.withColumn("s", sizes)
     theta = [
-        F.struct(
-            F.lit(c).alias("label"),
-            (F.log(F.col(c) + smoothing) - F.log(F.col(f"s.{c}") + F.col("s.terms") * smoothing)).alias("theta"),
-        )
-        for c in classes
+        (F.log(F.col(c) + smoothing) - F.log(F.col(f"s.{c}") + F.col("s.terms") * smoothing)).alias(c) for c in classes
     ]
-    return sized.select("term", F.inline(F.array(*theta))).select("label", "term", "theta")
+    return sized.select("term", "idf", *theta)
+
+
+def by_class(weights: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
+    """``label, term, theta`` in long form."""
+    rows = [F.struct(F.lit(c).alias("label"), F.col(c).alias("theta")) for c in classes]
+    return weights.select("term", F.inline(F.array(*rows))).select("label", "term", "theta")
 
 
 def score(
-    weights: DataFrame, theta: DataFrame, priors: DataFrame, keys: DataFrame, key: str, classes: tuple[str, ...] = CLASSES
+    counts: DataFrame, weights: DataFrame, priors: DataFrame, key: str, classes: Sequence[str] = CLASSES
 ) -> DataFrame:
-    """``key, label, confidence``: the likeliest class of every document and its probability.
+    """``key, label, confidence``: the likeliest class of every counted document and its probability.
 
-    A class without training rows is never chosen; ties go to the class that
-    comes first in ``classes``.
+    The counts meet the terms in one join, with idf and class weight already
+    multiplied. A class without training rows is never chosen; ties go to the
+    class that comes first in ``classes``.
     """
-    wide = theta.groupBy("term").agg(*[F.max(F.when(F.col("label") == c, F.col("theta"))).alias(c) for c in classes])
-    hits = weights.join(stored(wide, "class-weights"), "term")
-    sums = hits.groupBy(key).agg(*[F.sum(F.col("weight") * F.col(c)).alias(c) for c in classes])
+    gains = weights.select("term", *[(F.col("idf") * F.col(c)).alias(c) for c in classes])
+    hits = counts.select(key, "term", "tf").join(stored(gains, "class-weights"), "term")
+    sums = hits.groupBy(key).agg(*[F.sum(F.col("tf") * F.col(c)).alias(c) for c in classes])
     base = priors.agg(F.map_from_entries(F.collect_list(F.struct("label", "prior")))).scalar()
-    scored = keys.select(key).join(sums, key, "left").withColumn("_prior", base)
+    scored = documents(counts, key).join(sums, key, "left").withColumn("_prior", base)
     totals = [
         F.struct(
             (F.coalesce(F.col(c), F.lit(0.0)) + F.try_element_at("_prior", F.lit(c))).alias("s"),

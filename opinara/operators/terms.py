@@ -1,12 +1,14 @@
 """Term counts and TF-IDF weights in long form: one row per document and term.
 
 These follow Spark ML's CountVectorizer and IDF and give the same numbers, but
-need no vocabulary on the driver.
+need no vocabulary on the driver and so no bound on its size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.text import STOP_WORDS, clean_train, ml_tokens
@@ -14,7 +16,6 @@ from opinara.operators.ranking import first_of_group
 from opinara.session import stored
 
 MIN_DF = 2
-VOCABULARY = 262144
 
 
 def count_words(df: DataFrame, *keys: str, column: str = "reviewText") -> DataFrame:
@@ -35,37 +36,49 @@ def documents(counts: DataFrame, *keys: str) -> DataFrame:
     return counts.filter(F.col("term").isNull()).select(*keys)
 
 
-def vocabulary(counts: DataFrame, min_df: int = MIN_DF, size: int = VOCABULARY) -> DataFrame:
-    """``term, df, total`` of the most frequent terms found in enough documents, as a written table.
+def idf(counts: DataFrame, df: Column) -> Column:
+    """``ln((documents + 1) / (df + 1))``."""
+    rows = documents(counts).agg(F.count(F.lit(1))).scalar()
+    return F.log((rows + 1) / (df + 1))
+
+
+def vocabulary(counts: DataFrame, min_df: int = MIN_DF, label: str | None = None, classes: Sequence[str] = ()) -> DataFrame:
+    """``term, df, total`` of the terms found in enough documents, as a written table.
 
-    Beyond ``size`` terms, a threshold on the total is found from the number of
-    terms per total, and terms right at it are cut in hash order; nothing sorts
-    the terms themselves.
+    With ``label``, a key of the counts, also a column of occurrences for each of
+    ``classes``. One grouping, with partial sums in every task.
+    """
+    own = [F.sum(F.when(F.col(label) == c, F.col("tf")).otherwise(0)).alias(c) for c in classes]
+    named = counts.filter(F.col("term").isNotNull()).groupBy("term")
+    per_term = named.agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"), *own)
+    return stored(per_term.filter(F.col("df") >= min_df), "terms")
+
+
+def most_frequent(terms: DataFrame, size: int) -> DataFrame:
+    """The ``size`` terms of a vocabulary with the largest totals.
+
+    A threshold on the total is found from the number of terms per total, and
+    terms right at it are cut in hash order; nothing sorts the terms themselves.
     """
-    named = counts.filter(F.col("term").isNotNull())
-    per_term = named.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-    terms = stored(per_term.filter(F.col("df") >= min_df), "terms")
-    if terms.count() <= size:
-        return terms
     # Few rows: d distinct totals need at least d * d / 2 words.
     per_total = terms.groupBy("total").agg(F.count(F.lit(1)).alias("n"))
     running = per_total.withColumn("upto", F.sum("n").over(Window.orderBy(F.desc("total"))))
     edge = running.filter(F.col("upto") >= size).orderBy("upto").select("total", "upto", "n").first()
+    if edge is None:
+        return terms
     above = terms.filter(F.col("total") > edge.total)
     left = F.lit(size - (edge.upto - edge.n))
     at_edge = first_of_group(terms.filter(F.col("total") == edge.total), "total", "term", lambda *_: left)
     return stored(above.unionByName(at_edge), "vocabulary")
 
 
-def term_counts(counts: DataFrame, *keys: str, min_df: int = MIN_DF, size: int = VOCABULARY) -> DataFrame:
+def term_counts(counts: DataFrame, *keys: str, min_df: int = MIN_DF) -> DataFrame:
     """Keys, ``term`` and ``tf`` for the terms of the vocabulary."""
-    known = vocabulary(counts, min_df, size).select("term")
+    known = vocabulary(counts, min_df).select("term")
     return counts.join(known, "term").select(*keys, "term", "tf")
 
 
-def tfidf(counts: DataFrame, *keys: str, min_df: int = MIN_DF, size: int = VOCABULARY) -> DataFrame:
-    """Keys, ``term, tf, df`` and ``weight``: the count times ``ln((documents + 1) / (df + 1))``."""
-    known = vocabulary(counts, min_df, size).select("term", "df")
-    rows = documents(counts, *keys).agg(F.count(F.lit(1))).scalar()
-    weighted = known.withColumn("idf", F.log((rows + 1) / (F.col("df") + 1)))
+def tfidf(counts: DataFrame, *keys: str, min_df: int = MIN_DF) -> DataFrame:
+    """Keys, ``term, tf, df`` and ``weight``: the count times the term's ``idf``."""
+    weighted = vocabulary(counts, min_df).select("term", "df", idf(counts, F.col("df")).alias("idf"))
     return counts.join(weighted, "term").select(*keys, "term", "tf", "df", (F.col("tf") * F.col("idf")).alias("weight"))

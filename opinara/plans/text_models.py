@@ -103,8 +103,7 @@ NB_VIEWS = {
 def train_nb(spark, sf_dir):
     """Naive Bayes weights as joins and sums; equal to those of Spark ML's estimator."""
     counts = terms.count_words(_texts(spark, sf_dir, "label"), "doc_id", "label")
-    weights = terms.tfidf(counts, "doc_id", "label")
-    return bayes.class_weights(weights).withColumn("theta", F.round("theta", 6))
+    return bayes.by_class(bayes.class_weights(counts)).withColumn("theta", F.round("theta", 6))
 
 
 @QUERIES.add(
@@ -126,9 +125,8 @@ where place = 1
 def score_nb(spark, sf_dir):
     """Every review scored by the naive Bayes weights."""
     counts = terms.count_words(_texts(spark, sf_dir, "label"), "doc_id", "label")
-    weights = terms.tfidf(counts, "doc_id", "label")
-    docs = terms.documents(counts, "doc_id", "label")
-    scored = bayes.score(weights, bayes.class_weights(weights), bayes.class_priors(docs), docs, "doc_id")
+    priors = bayes.class_priors(terms.documents(counts, "label"))
+    scored = bayes.score(counts, bayes.class_weights(counts), priors, "doc_id")
     return scored.withColumn("confidence", F.round("confidence", 4))
 
 

@@ -37,8 +37,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def small() -> str:
     return SMALL
-
-
-def plan(df) -> str:
-    """The physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -6,6 +6,7 @@ import math
 import random
 
 import pytest
+from plan_text import plan
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
@@ -65,32 +66,57 @@ def test_weights_equal_the_idf_stage(corpus, fitted):
     assert all(math.isclose(ours[k], theirs[k], rel_tol=1e-12, abs_tol=1e-12) for k in ours)
 
 
-@pytest.mark.parametrize("size", [1, 5, 9, 20])
+@pytest.mark.parametrize("size", [1, 5, 9, 20, 900])
 def test_vocabulary_keeps_the_most_frequent(corpus, size):
     counts = terms.count_words(corpus, "id")
     everything = {r.term: r.total for r in terms.vocabulary(counts).collect()}
-    kept = {r.term: r.total for r in terms.vocabulary(counts, size=size).collect()}
+    kept = {r.term: r.total for r in terms.most_frequent(terms.vocabulary(counts), size).collect()}
     assert len(kept) == min(size, len(everything))
     assert sorted(kept.values()) == sorted(sorted(everything.values())[-size:])
 
 
+def test_vocabulary_has_no_bound(spark):
+    """More terms than the fixed-width stage keeps by default."""
+    n = 270_000
+    df = spark.range(n).select(F.col("id") % 2, F.concat(F.lit("w"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")))
+    df = df.toDF("id", "term").union(df.toDF("id", "term").select(1 - F.col("id"), "term")).withColumn("tf", F.lit(1).cast("bigint"))
+    counts = df.union(spark.createDataFrame([(0, None, 1), (1, None, 1)], "id long, term string, tf long"))
+    assert terms.vocabulary(counts).count() == n
+    assert terms.term_counts(counts, "id").count() == 2 * n
+    weights = terms.tfidf(counts, "id").agg(F.count(F.lit(1)), F.min("df"), F.max(F.abs("weight"))).first()
+    assert tuple(weights) == (2 * n, 2, 0.0)
+
+
+def test_class_sums_need_no_join(spark, corpus, monkeypatch):
+    """Broadcasts off: nothing is joined below the sums by term, so no term is a hot key."""
+    counts = terms.count_words(corpus, "id", "label")
+    for module in (terms, bayes):  # the whole plan at once
+        monkeypatch.setattr(module, "stored", lambda df, name: df)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(bayes.class_weights(counts))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "Join" not in text and "partial_sum" in text
+
+
 def test_naive_bayes_equals_the_estimator(spark, corpus, fitted):
     featured = fitted.transform(with_cleaned(corpus))
     model = NaiveBayes(featuresCol="features", labelCol="indexedLabel", smoothing=1.0).fit(featured)
     names, words = features.class_names(fitted), fitted.stages[2].vocabulary
 
     counts = terms.count_words(corpus, "id", "label")
-    weights = terms.tfidf(counts, "id", "label")
-    theta = {(r.label, r.term): r.theta for r in bayes.class_weights(weights).collect()}
+    weights = bayes.class_weights(counts)
+    theta = {(r.label, r.term): r.theta for r in bayes.by_class(weights).collect()}
     for i, label in enumerate(names):
         for j, term in enumerate(words):
             assert theta[label, term] == pytest.approx(model.theta[i, j])
 
-    docs = terms.documents(counts, "id", "label")
-    priors = bayes.class_priors(docs)
+    priors = bayes.class_priors(terms.documents(counts, "label"))
     assert {r.label: r.prior for r in priors.collect()} == pytest.approx({n: model.pi[i] for i, n in enumerate(names)})
 
-    scored = {r.id: r for r in bayes.score(weights, bayes.class_weights(weights), priors, docs, "id").collect()}
+    scored = {r.id: r for r in bayes.score(counts, weights, priors, "id").collect()}
     assert len(scored) == 242
     for row in model.transform(featured).select("id", "prediction", "probability").collect():
         assert scored[row.id].label == names[int(row.prediction)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import plan
+from plan_text import plan
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
