@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from opinara.functions.ratings import helpful_votes, helpfulness_ratio, total_votes
+from opinara.functions.ratings import helpful_votes, helpfulness_ratio, parse_helpful, total_votes
 from opinara.functions.text import review_length
 from opinara.models import training
 from opinara.models.evaluation import METRICS, confusion, metrics
@@ -19,19 +19,21 @@ from opinara.models.features import class_names, feature_model
 from opinara.operators import panels, profile
 from opinara.operators.filters import recent, with_text
 from opinara.operators.projections import with_cleaned, with_sentiment
-from opinara.operators.sampling import balanced_splits
-from opinara.schema import REVIEW
+from opinara.operators.sampling import balanced_splits, repeat_rows
 from opinara.session import build_session, stored
 from opinara.sources.messages import file_stream, send_to_files, send_to_topic, to_messages, topic_stream
-from opinara.sources.tables import scan_json, scan_parquet, scan_predictions, sink_json, sink_parquet
-from opinara.streaming.replay import PAUSE, ROWS
+from opinara.sources.tables import scan_parquet, scan_predictions, scan_reviews, sink_json, sink_parquet
+from opinara.streaming.replay import PAUSE
 from opinara.streaming.scoring import start_scoring
 
 KEY = "review_no"
+HASH = "review_hash"
+TIE = "row_hash"
 
 
 def profile_reviews(reviews: DataFrame) -> dict[str, DataFrame]:
     """Every table of the exploration report."""
+    reviews = reviews.withColumn("helpful", parse_helpful(reviews))
     votes = reviews.withColumns({"helpful_votes": helpful_votes(F.col("helpful")), "total_votes": total_votes(F.col("helpful"))})
     votes = votes.withColumn("ratio", helpfulness_ratio(F.col("helpful_votes"), F.col("total_votes")))
     words = review_length(F.col("reviewText"))
@@ -53,11 +55,16 @@ def profile_reviews(reviews: DataFrame) -> dict[str, DataFrame]:
 
 
 def numbered(reviews: DataFrame) -> DataFrame:
-    """Reviews with a unique number, written so that the numbers stay as they are.
+    """Reviews with ``review_hash``, which copies share, and the unique ``review_no``, both from their fields alone.
 
-    Reviews have no key of their own, and exact copies must not share one.
+    So the same reviews get the same split and folds however they are partitioned. Reviews have no key of their own:
+    exact copies are counted, and numbered within their hash.
     """
-    return stored(reviews.withColumn(KEY, F.monotonically_increasing_id()), "numbered")
+    counted = reviews.groupBy(*reviews.columns).agg(F.count(F.lit(1)).alias("_n"))
+    content = F.to_json(F.struct(*reviews.columns), {"ignoreNullFields": "false"})
+    hashed = counted.withColumn(HASH, F.md5(content.cast("binary")))
+    copies = repeat_rows(hashed, F.col("_n"), HASH).withColumn(KEY, F.concat_ws("#", HASH, "copy"))
+    return stored(copies.drop("_n", "copy"), "numbered")
 
 
 def train_models(
@@ -70,11 +77,11 @@ def train_models(
     """
     ready = with_cleaned(with_text(with_sentiment(numbered(reviews))))
     splits = scan_parquet(
-        ready.sparkSession, sink_parquet(balanced_splits(ready, KEY, leaky=leaky), f"{folder}/splits", ["split"])
+        ready.sparkSession, sink_parquet(balanced_splits(ready, KEY, leaky=leaky, split_key=HASH), f"{folder}/splits", ["split"])
     )
     train, validation, test = (splits.filter(F.col("split") == s) for s in ("train", "val", "test"))
     models = training.quick_classifiers() if quick else training.classifiers()
-    trained = training.train_all(train, validation, KEY, models, tune)
+    trained = training.train_all(train, validation, HASH, models, tune)
     best = trained.models[trained.best]
 
     names = F.array(*[F.lit(n) for n in class_names(best)])
@@ -91,8 +98,8 @@ def train_models(
     }
 
 
-def send_reviews(reviews: DataFrame, servers: str | None, target: str, rows: int = ROWS) -> None:
-    """Reviews as messages: to a topic where ``servers`` are given, else to a folder in small files."""
+def send_reviews(reviews: DataFrame, servers: str | None, target: str, rows: int | None = None) -> None:
+    """Reviews as messages: to a topic where ``servers`` are given, else to a folder, with at most ``rows`` in a file."""
     messages = to_messages(reviews)
     if servers:
         send_to_topic(messages, servers, target)
@@ -114,6 +121,11 @@ def score_stream(
     return start_scoring(messages, model, *paths, trigger or {"processingTime": PAUSE})
 
 
+def with_tie(predictions: DataFrame) -> DataFrame:
+    """``TIE`` orders predictions of one moment: a hash of all their fields, equal for equal rows only."""
+    return predictions.withColumn(TIE, F.md5(F.to_json(F.struct(*predictions.columns)).cast("binary")))
+
+
 def realtime_report(predictions: DataFrame, tie: str, as_of: Column | None = None) -> dict[str, DataFrame]:
     """The last five minutes in totals and cards, and the last hour by minute."""
     now = F.current_timestamp() if as_of is None else as_of
@@ -158,7 +170,7 @@ def main(arguments: list[str] | None = None) -> None:
     job.add_argument("reviews")
     job.add_argument("target")
     job.add_argument("--servers")
-    job.add_argument("--rows", type=int, default=ROWS)
+    job.add_argument("--rows", type=int, help="most messages in a file")
     job = jobs.add_parser("score", help="score messages as they arrive")
     job.add_argument("source")
     job.add_argument("model")
@@ -171,10 +183,10 @@ def main(arguments: list[str] | None = None) -> None:
 
     spark = build_session()
     if chosen.job == "profile":
-        for name, table in profile_reviews(scan_json(spark, chosen.reviews, REVIEW)).items():
+        for name, table in profile_reviews(scan_reviews(spark, chosen.reviews)).items():
             sink_parquet(table, f"{chosen.folder}/{name}")
     elif chosen.job == "train":
-        reviews = scan_json(spark, chosen.reviews, REVIEW)
+        reviews = scan_reviews(spark, chosen.reviews)
         print(train_models(reviews, chosen.folder, chosen.leaky, chosen.tune, chosen.quick))
     elif chosen.job == "send":
         send_reviews(scan_parquet(spark, chosen.reviews), chosen.servers, chosen.target, chosen.rows)
@@ -185,7 +197,7 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         predictions = scan_predictions(spark, chosen.predictions)
         for report in (realtime_report, offline_report):
-            for name, table in report(predictions, "reviewerID").items():
+            for name, table in report(with_tie(predictions), TIE).items():
                 print(name)
                 table.show(20, truncate=60)
 

@@ -29,12 +29,18 @@ def coalesce_text(df: DataFrame, fields: Sequence[str] = TEXT_FIELDS) -> DataFra
 
 
 def recent(df: DataFrame, as_of: Column, interval: str, ts: str = "processed_ts") -> DataFrame:
-    """Realtime rows since ``as_of`` minus an interval such as ``5 MINUTES``."""
-    return df.filter(F.col("is_realtime") & (F.col(ts) >= as_of - F.expr(f"INTERVAL {interval}")))
+    """Realtime rows since ``as_of`` minus an interval such as ``5 MINUTES``.
 
+    A table in folders by ``date`` is read from the first day on.
+    """
+    since = as_of - F.expr(f"INTERVAL {interval}")
+    rows = df.filter(F.col("is_realtime") & (F.col(ts) >= since))
+    return rows.filter(F.col("date").cast("string") >= F.date_format(since, "yyyy-MM-dd")) if "date" in df.columns else rows
 
-def of_class(df: DataFrame, label: str, column: str = "label") -> DataFrame:
-    return df.filter(F.col(column) == label)
+
+def of_class(df: DataFrame, label: str | None, column: str = "label") -> DataFrame:
+    """Rows of one class; null is one as well."""
+    return df.filter(F.col(column).isNull() if label is None else F.col(column) == label)
 
 
 def known_labels(df: DataFrame, key: str) -> DataFrame:

@@ -28,6 +28,8 @@ def fold_lemmas(
 ) -> DataFrame:
     """Replace each token that the table knows; order and repetition stay.
 
+    A token with several lemmas takes the first of them in alphabetical order.
+
     Only a document's distinct tokens meet the table, and of these only those
     passing ``candidate`` (a condition on ``token``). What matches goes back to
     its document as a small map. The table is written first: Spark broadcasts it
@@ -37,7 +39,8 @@ def fold_lemmas(
     found = df.select(key, F.explode(F.array_distinct(column)).alias("token"))
     if candidate is not None:
         found = found.filter(candidate)
-    matched = found.join(stored(lemmas, "lemmas"), "token")
+    single = lemmas.filter("lemma is not null").groupBy("token").agg(F.min("lemma").alias("lemma"))
+    matched = found.join(stored(single, "lemmas"), "token")
     folds = matched.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_folds"))
     out = df.join(folds, key, "left")
     folded = F.transform(column, lambda t: F.coalesce(F.try_element_at("_folds", t), t))

@@ -12,9 +12,9 @@ from opinara.schema import KEPT_FIELDS, REVIEW, UNKNOWN
 
 # Columns that the feature and model stages add.
 MODEL_COLUMNS = [
-    "words",
-    "filtered_words",
-    "raw_features",
+    "text_tokens",
+    "kept_tokens",
+    "token_counts",
     "rawFeatures",
     "features",
     "rawPrediction",
@@ -22,7 +22,7 @@ MODEL_COLUMNS = [
     "prediction",
 ]
 
-# Card field, source column, value where that is missing.
+# Card field, source column, value where that is missing.
 CARD_FIELDS = [
     ("review_text", "reviewText", ""),
     ("sentiment", "label", UNKNOWN),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -19,8 +20,9 @@ SPLITS = (("train", 80), ("val", 90), ("test", 100))  # name, upper bound in hun
 
 
 def union_classes(df: DataFrame, classes: Sequence[str] = CLASSES, label: str = "label") -> DataFrame:
-    """The table put together from its classes."""
-    return reduce(DataFrame.unionByName, [of_class(df, c, label) for c in classes])
+    """The table put together from its classes; rows of any other label, or none, come last."""
+    rest = df.filter(F.col(label).isNull() | ~F.col(label).isin(*classes))
+    return reduce(DataFrame.unionByName, [*[of_class(df, c, label) for c in classes], rest])
 
 
 def limit_class(
@@ -34,21 +36,20 @@ def limit_class(
     return first_of_group(df, label, key, quota)
 
 
-def repeat_rows(df: DataFrame, copies: Column, key: str, most: int) -> DataFrame:
-    """Each row ``copies`` times, numbered by ``copy`` from 1; ``most`` bounds the copies.
+def repeat_rows(df: DataFrame, copies: Column, key: str) -> DataFrame:
+    """Each row ``copies`` times, numbered by ``copy`` from 1.
 
-    Up to CHUNK copies are made in place. Beyond that a row is first spread over
-    tasks in parts of CHUNK copies, so a tiny class does not hang on a few tasks.
+    A row with more than CHUNK copies is first spread over tasks in parts of CHUNK,
+    so a tiny class does not hang on a few tasks; the others stay where they are.
     """
     counted = df.withColumn("_copies", copies.cast("bigint"))
-    if most <= CHUNK:
-        out = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-        return out.drop("_copies")
     parts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / CHUNK))
-    spread = counted.withColumn("_part", F.explode(parts)).repartition(key, "_part")
+    spread = counted.filter(F.col("_copies") > CHUNK).withColumn("_part", F.explode(parts)).repartition(key, "_part")
+    single = counted.filter(F.col("_copies").between(1, CHUNK)).withColumn("_part", F.lit(0).cast("bigint"))
     first = F.col("_part") * CHUNK + 1
     last = F.least(F.col("_copies"), F.col("_part") * CHUNK + CHUNK)
-    return spread.withColumn("copy", F.explode(F.sequence(first, last))).drop("_copies", "_part")
+    numbers = F.explode(F.sequence(first, last))
+    return single.unionByName(spread).withColumn("copy", numbers).drop("_copies", "_part")
 
 
 def balance_exact(df: DataFrame, key: str, label: str = "label") -> DataFrame:
@@ -59,41 +60,51 @@ def balance_exact(df: DataFrame, key: str, label: str = "label") -> DataFrame:
     """
     cuts = group_cuts(df, label, key, lambda n, largest: largest % n)
     marked = mark_first(df, label, key, cuts)
-    most = cuts.agg(F.max(F.ceil(F.col("largest_rows") / F.col("group_rows")))).first()[0] or 0
     copies = F.floor(F.col("largest_rows") / F.col("group_rows")) + F.when(F.col("chosen"), 1).otherwise(0)
-    return repeat_rows(marked, copies, key, most).select(*df.columns, "copy")
+    return repeat_rows(marked, copies, key).select(*df.columns, "copy")
 
 
-def balance_sampled(df: DataFrame, key: str, classes: Sequence[str] = CLASSES, label: str = "label", seed: int = SEED) -> DataFrame:
+def balance_sampled(df: DataFrame, key: str, label: str = "label", seed: int = SEED) -> DataFrame:
     """Oversample the smaller classes with replacement, at most to the largest class.
 
     Sampling may fall short of the largest class; it is cut where it goes beyond.
+    Every label found is a class, null too. ``copy`` tells rows with one key apart.
     """
-    named = df.filter(F.col(label).isin(*classes))
-    # One count per named class.
-    counts = {r[label]: r["n"] for r in named.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    largest = max(counts.values())
+    # One count per class, and there are few.
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    largest = max(counts.values(), default=0)
     smaller = {c: n for c, n in counts.items() if n < largest}
-    kept = named.filter(~F.col(label).isin(list(smaller))).withColumn("copy", F.lit(1).cast("bigint"))
+    full = [of_class(df, c, label) for c in counts if c not in smaller] or [df]
+    kept = reduce(DataFrame.unionByName, full).withColumn("copy", F.lit(1).cast("bigint"))
     if not smaller:
         return kept
-    drawn = [of_class(named, c, label).sample(True, largest / n, seed) for c, n in smaller.items()]
+    drawn = []
+    for c, n in smaller.items():
+        # A row that is to be drawn very often is spread over tasks first.
+        parts = math.ceil(largest / n / CHUNK)
+        spread = of_class(df, c, label).withColumn("_part", F.explode(F.sequence(F.lit(1), F.lit(parts))))
+        spread = spread.repartition(key, "_part") if parts > 1 else spread
+        drawn.append(spread.drop("_part").sample(True, largest / n / parts, seed))
     # Written once: a sample drawn anew after a lost task could differ.
-    sampled = stored(reduce(DataFrame.unionByName, drawn), "sampled")
-    numbered = sampled.withColumn("copy", F.row_number().over(Window.partitionBy(key).orderBy(label)).cast("bigint"))
-    numbered = numbered.withColumn("_copy_key", F.concat_ws("#", F.col(key).cast("string"), F.col("copy").cast("string")))
+    numbered = reduce(DataFrame.unionByName, drawn).withColumn("copy", F.monotonically_increasing_id() + 1)
+    copy_key = F.concat_ws("#", F.col(key).cast("string"), F.col("copy").cast("string"))
+    numbered = stored(numbered.withColumn("_copy_key", copy_key), "sampled")
     cut = first_of_group(numbered, label, "_copy_key", lambda n, _: F.lit(largest)).drop("_copy_key")
     return kept.unionByName(cut)
 
 
-def downsample(df: DataFrame, of: str, drop: int | float, key: str, label: str = "label") -> DataFrame:
-    """Drop rows of one class, the first in hash order: a number, or a share if below 1."""
+def downsample(
+    df: DataFrame, of: str, key: str, rows: int | None = None, share: float | None = None, label: str = "label"
+) -> DataFrame:
+    """Drop so many ``rows`` of one class, or a ``share`` of it (0 to 1), the first in hash order."""
+    if (rows is None) == (share is None):
+        raise ValueError("name either rows or share")
 
     def quota(n: Column, largest: Column) -> Column:
-        return F.floor(n * drop) if drop < 1 else F.lit(int(drop))
+        return F.floor(n * share) if rows is None else F.lit(rows)
 
-    rows = of_class(df, of, label)
-    marked = mark_first(rows, label, key, group_cuts(rows, label, key, quota))
+    named = of_class(df, of, label)
+    marked = mark_first(named, label, key, group_cuts(named, label, key, quota))
     kept = marked.filter(~F.col("chosen")).select(*df.columns)
     return df.filter(~F.col(label).eqNullSafe(of)).unionByName(kept)
 
@@ -118,16 +129,19 @@ def split_hash(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("split", split_name(key))
 
 
-def balanced_splits(df: DataFrame, key: str, label: str = "label", leaky: bool = False) -> DataFrame:
+def balanced_splits(
+    df: DataFrame, key: str, label: str = "label", leaky: bool = False, split_key: str | None = None
+) -> DataFrame:
     """Split, with balanced training rows.
 
     By default only the training rows are balanced, after the split. ``leaky``
     balances first, which puts copies of one review on both sides of the split.
+    ``split_key`` may be shared by rows that have to stay together.
     """
     if leaky:
         balanced = balance_exact(df, key, label)
         copy_key = F.concat_ws("#", F.col(key).cast("string"), F.col("copy").cast("string"))
         return split_hash(balanced.withColumn("_copy_key", copy_key), "_copy_key").drop("_copy_key")
-    parts = split_hash(df, key)
+    parts = split_hash(df, split_key or key)
     train = balance_exact(parts.filter(F.col("split") == "train"), key, label)
     return train.unionByName(parts.filter(F.col("split") != "train").withColumn("copy", F.lit(1).cast("bigint")))

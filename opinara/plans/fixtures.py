@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from opinara.functions.ratings import sentiment_code, sentiment_text
-from opinara.sources.tables import spread
 
 DAY = 86400
 FIRST_DAY = 1356998400
@@ -70,7 +69,7 @@ def _prediction_columns() -> dict[str, Column]:
         "reviewTime": F.date_format(_after("1970-01-01 00:00:00", _unix_time(doc_id)), "MM dd, yyyy"),
         "reviewerID": F.concat(F.lit("R"), ((doc_id * 13) % REVIEWERS).cast("string")),
         "reviewerName": F.col("c_name"),
-        "summary": F.substring(text, 1, 60),
+        "summary": F.concat_ws(" ", F.col("source"), F.col("lang")),
         "unixReviewTime": _unix_time(doc_id),
         "processed_ts": _after("2024-01-01 00:00:00", doc_id * 37),
         "label": label,
@@ -99,8 +98,6 @@ def predictions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     made = _prediction_columns()
     wanted = list(columns) or [c for c in made if c != "helpful"]
     docs = table(spark, sf_dir, "documents")
-    if "reviewText" in wanted:
-        docs = spread(docs, "doc_id")
     if "overall" in wanted:
         docs = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     if "reviewerName" in wanted:
@@ -156,7 +153,7 @@ PREDICTIONS_SQL = """
     strftime(make_timestamp((1356998400 + (d.doc_id % 730) * 86400) * 1000000), '%m %d, %Y') as "reviewTime",
     concat('R', cast((d.doc_id * 13) % 150 as varchar)) as "reviewerID",
     c.c_name as "reviewerName",
-    substring(d.text, 1, 60) as summary,
+    concat_ws(' ', d.source, d.lang) as summary,
     1356998400 + (d.doc_id % 730) * 86400 as "unixReviewTime",
     timestamp '2024-01-01 00:00:00' + to_seconds(d.doc_id * 37) as processed_ts,
     case when d.doc_id % 41 = 0 then 'unknown' when d.doc_id % 3 = 0 then 'negative'

@@ -153,15 +153,24 @@ def parse_messages_query(spark, sf_dir):
     return parse_messages(messages).select(*REVIEW_FIELDS, "sentiment", *votes)
 
 
-@QUERIES.add("sink_batch", sql("select doc_id % 3 as batch_id, count(*) as n from predictions group by 1"))
+@QUERIES.add(
+    "sink_batch",
+    sql("""
+select doc_id % 2 as writer, doc_id % 3 as batch_id, count(*) as n from predictions
+where not (doc_id % 2 = 1 and doc_id % 3 = 2) group by 1, 2
+"""),
+)
 def sink_batch_query(spark, sf_dir):
-    """Every batch is written twice, as after a failure; its rows count once."""
+    """Two queries write to one table, both from batch 0 on; batches are repeated, and one is empty the second time."""
     path = work_folder(spark, "batches")
-    df = predictions(spark, sf_dir, "doc_id", "asin", "label", "confidence")
-    for batch_id in (0, 1, 1, 2, 0, 2):
-        write_batch(df.filter(F.col("doc_id") % 3 == batch_id), path, batch_id)
-    out = scan_parquet(spark, path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
-    return out.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    df = predictions(spark, sf_dir, "doc_id", "asin", "label", "confidence", "processed_ts")
+    for writer in (0, 1):
+        rows = df.filter(F.col("doc_id") % 2 == writer)
+        for batch_id in (0, 1, 1, 2, 0, 2):
+            write_batch(rows.filter(F.col("doc_id") % 3 == batch_id), path, batch_id, f"w{writer}", "processed_ts")
+    write_batch(df.limit(0), path, 2, "w1", "processed_ts")
+    out = scan_parquet(spark, path).groupBy(F.substring("query", 2, 1).cast("bigint").alias("writer"), "batch_id")
+    return out.agg(F.count(F.lit(1)).alias("n")).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 DOCUMENTS_SQL = """
@@ -187,8 +196,8 @@ def sink_predictions_query(spark, sf_dir):
     df = predictions(spark, sf_dir, "helpful", *REVIEW_FIELDS, "processed_ts", "label", "confidence")
     path = work_folder(spark, "predictions")
     for _ in range(2):
-        write_batch(prediction_documents(df, F.col("processed_ts")), path, 0)
-    return _flat_documents(scan_predictions(spark, path))
+        write_batch(prediction_documents(df, F.col("processed_ts")), path, 0, time="processed_ts")
+    return _flat_documents(scan_predictions(spark, path).drop("date"))
 
 
 @QUERIES.add(
@@ -198,5 +207,5 @@ def sink_predictions_query(spark, sf_dir):
 def scan_predictions_query(spark, sf_dir):
     path = work_folder(spark, "stored-predictions")
     columns = ["doc_id", "asin", "overall", "processed_ts", "label", "confidence", "is_realtime"]
-    write_batch(predictions(spark, sf_dir, *columns), path, 0)
-    return scan_predictions(spark, path)
+    write_batch(predictions(spark, sf_dir, *columns), path, 0, time="processed_ts")
+    return scan_predictions(spark, path).drop("date")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.plans.fixtures import as_event_predictions, reviews, sql, table
@@ -11,7 +12,7 @@ from opinara.plans.storage import REVIEW_FIELDS, SENT_AT
 from opinara.plans.text_models import SCORED_VIEWS, fitted
 from opinara.session import work_folder
 from opinara.sources.messages import file_stream, parse_messages, send_to_files, to_messages
-from opinara.sources.sinks import batch_sink, latest_rows
+from opinara.sources.sinks import batch_sink
 from opinara.sources.tables import scan_parquet, scan_predictions
 from opinara.streaming import windows
 from opinara.streaming.replay import replay
@@ -74,29 +75,44 @@ def stream_restart(spark, sf_dir):
     return scan_predictions(spark, paths["predictions"]).groupBy("asin").agg(F.count(F.lit(1)).alias("n"))
 
 
-ROWS_PER_FILE = 100_000
+BATCHES = 5
 
 
-@QUERIES.add("stream_replay", sql("select count(*) as n, count(distinct asin) as products from reviews"))
+@QUERIES.add(
+    "stream_replay",
+    sql("select count(*) as n, count(distinct asin) as products, true as paced, true as several from reviews"),
+)
 def stream_replay(spark, sf_dir):
-    """All reviews, one file of messages per micro-batch."""
+    """All reviews at a pace: files of a fifth of them at most, one per micro-batch."""
+    df = reviews(spark, sf_dir, *FIELDS)
+    pace = max(1, df.count() // BATCHES)
     out = work_folder(spark, "replayed")
-    paced = replay(reviews(spark, sf_dir, *FIELDS), work_folder(spark, "paced"), ROWS_PER_FILE, F.lit(SENT_AT))
+    paced = replay(df, work_folder(spark, "paced"), pace, F.lit(SENT_AT))
     query = parse_messages(paced).writeStream.foreachBatch(batch_sink(out))
     query = query.option("checkpointLocation", work_folder(spark, "replay-checkpoint"))
     query.trigger(availableNow=True).start().awaitTermination()
-    return scan_parquet(spark, out).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("asin").alias("products"))
+    done = scan_parquet(spark, out)
+    sizes = done.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    judged = sizes.agg((F.max("rows") <= pace).alias("paced"), (F.count(F.lit(1)) >= BATCHES).alias("several"))
+    totals = done.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("asin").alias("products"))
+    told = judged.agg(F.first(F.struct("paced", "several"))).scalar()
+    return totals.withColumn("_told", told).select("n", "products", "_told.paced", "_told.several")
 
 
-def _event_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    return as_event_predictions(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+PARTS = 3
+# Times that come first, in the middle and last; the first part holds the newest rows, so the others come late.
+ARRIVAL = 2
 
 
-def _updated(spark, live, key: list[str]):
-    out = work_folder(spark, "windows")
-    windows.start_updates(live, out, work_folder(spark, "window-checkpoint"), availableNow=True).awaitTermination()
-    return latest_rows(scan_parquet(spark, out), key)
+def _minutes(spark, sf_dir) -> tuple[DataFrame, str]:
+    """The live sums over the events, which arrive in several micro-batches and out of order; the late rows' table."""
+    events, paths = table(spark, sf_dir, "events"), [work_folder(spark, n) for n in ("events", "minutes", "late", "checkpoint")]
+    for part in range(PARTS):
+        here = F.pmod(F.dayofmonth("ts"), F.lit(PARTS)) == (ARRIVAL - part) % PARTS
+        events.filter(here).write.mode("append").parquet(paths[0])
+        stream = as_event_predictions(spark.readStream.schema(events.schema).parquet(paths[0]))
+        windows.start_minutes(stream, *paths[1:], **NOW).awaitTermination()
+    return windows.current(spark, paths[1]), paths[2]
 
 
 @QUERIES.add(
@@ -104,7 +120,23 @@ def _updated(spark, live, key: list[str]):
     sql(f"select date_trunc('minute', processed_ts)::timestamp as minute, {COUNTS_SQL} from event_predictions group by 1"),
 )
 def stream_minute_sentiment(spark, sf_dir):
-    return _updated(spark, windows.minute_counts(_event_stream(spark, sf_dir)), ["minute"])
+    return windows.by_minute(_minutes(spark, sf_dir)[0])
+
+
+@QUERIES.add(
+    "stream_late_rows",
+    """
+with parts as (
+  select case day(ts) % 3 when 2 then 0 when 1 then 1 else 2 end as part, ts from events),
+bounds as (select part, (select max(ts) from parts b where b.part < a.part) - interval 1 day as bound from parts a group by part)
+select part as batch_id, count(*) filter (where ts < bound) as late_rows, max(ts) as newest
+from parts join bounds using (part) group by part
+""",
+)
+def stream_late_rows(spark, sf_dir):
+    """How many rows of each micro-batch came more than a day after the newest one before; they are counted all the same."""
+    late = scan_parquet(spark, _minutes(spark, sf_dir)[1])
+    return late.select(F.col("batch_id").cast("bigint").alias("batch_id"), "late_rows", "newest")
 
 
 @QUERIES.add(
@@ -120,24 +152,47 @@ select window_start, window_start + interval 5 minutes as window_end, count(*) a
     ),
 )
 def stream_recent_kpi(spark, sf_dir):
-    live = windows.sliding_headline(_event_stream(spark, sf_dir))
-    out = _updated(spark, live, ["window_start", "window_end"])
+    out = windows.sliding_headline(_minutes(spark, sf_dir)[0])
     return out.withColumn("avg_confidence", F.round("avg_confidence", 6))
 
 
 @QUERIES.add(
     "dead_letter",
     sql("""
-select reason, count(*) as n from (
-  select case when doc_id % 25 = 7 then 'malformed' when "reviewText" is null or "reviewText" = '' then 'no text' end as reason
-  from reviews) where reason is not null group by 1
+select reason, scored, count(*) as n from (
+  select case when doc_id % 25 = 7 then 'malformed' when "reviewText" is null or "reviewText" = '' then 'no text'
+    when doc_id % 25 = 8 then 'bad fields: overall' when doc_id % 25 = 9 then 'bad fields: helpful, unixReviewTime' end as reason,
+    doc_id % 25 in (8, 9) and "reviewText" <> '' and "reviewText" is not null as scored
+  from reviews) where reason is not null group by 1, 2
 """),
 )
 def dead_letter(spark, sf_dir):
-    """Some messages arrive cut in half; those and the ones without text are set aside."""
+    """Messages cut in half or without text are set aside; fields of a wrong type are noted, and the text is scored."""
     df = reviews(spark, sf_dir, "doc_id", *FIELDS)
-    cut = to_messages(df.filter(F.col("doc_id") % 25 == 7), F.lit(SENT_AT))
-    cut = cut.select(F.expr("substring(value, 1, length(value) div 2)").alias("value"))
-    whole = to_messages(df.filter(F.col("doc_id") % 25 != 7), F.lit(SENT_AT))
-    paths = _scored(spark, sf_dir, lambda run, path: send_to_files(whole.unionByName(cut), path))
-    return scan_parquet(spark, paths["rejects"]).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    kind = F.col("doc_id") % 25
+
+    def sent(rows: DataFrame) -> DataFrame:
+        return to_messages(rows, F.lit(SENT_AT))
+
+    def changed(rows: DataFrame, *changes: tuple[str, str]) -> DataFrame:
+        value = F.col("value")
+        for pattern, replacement in changes:
+            value = F.regexp_replace(value, pattern, replacement)
+        return sent(rows).select(value.alias("value"))
+
+    cut = sent(df.filter(kind == 7)).select(F.expr("substring(value, 1, length(value) div 2)").alias("value"))
+    parts = [
+        sent(df.filter(~kind.isin(7, 8, 9, 10))),
+        cut,
+        changed(df.filter(kind == 8), (r'"overall":[0-9.]+', '"overall":"many"')),
+        changed(df.filter(kind == 9), (r'"helpful":\[[^]]*\]', '"helpful":"both"'), (r'"unixReviewTime":[0-9]+', '"unixReviewTime":{}')),
+        # Numbers and votes as text, whole numbers with a point: nothing is lost.
+        changed(
+            df.filter(kind == 10),
+            (r'"overall":([0-9.]+)', '"overall":"$1"'),
+            (r'"helpful":(\[[^]]*\])', '"helpful":"$1"'),
+            (r'"sentiment":([0-9]+)', '"sentiment":$1.0'),
+        ),
+    ]
+    paths = _scored(spark, sf_dir, lambda run, path: [send_to_files(p, path) for p in parts])
+    return scan_parquet(spark, paths["rejects"]).groupBy("reason", "scored").agg(F.count(F.lit(1)).alias("n"))

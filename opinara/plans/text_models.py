@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
-from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StopWordsRemover, Tokenizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.models import features, training
@@ -25,7 +22,8 @@ from opinara.plans.registry import Registry, sql_list
 from opinara.plans.storage import CLEAN_SQL, SPLIT_SQL
 from opinara.functions.ratings import sentiment_code, sentiment_text
 from opinara.functions.text import STOP_WORDS
-from opinara.session import work_folder
+from opinara.schema import CLASSES
+from opinara.session import stored, work_folder
 
 QUERIES = Registry()
 
@@ -59,18 +57,19 @@ def tfidf(spark, sf_dir):
     return weights.withColumns({"weight": F.round("weight", 6), "df": F.col("df").cast("bigint")})
 
 
-@QUERIES.add(
-    "hashing_tf", sql("select label, sum(len(words))::double as n_words from words group by label", **WORDS_VIEWS)
-)
+@QUERIES.add("hashing_tf", sql("select doc_id, len(words)::double as n_words from words", **WORDS_VIEWS))
 def hashing_tf(spark, sf_dir):
-    """Hashed counts add up to the number of words, whichever words share a slot."""
-    df = with_cleaned(_texts(spark, sf_dir, "label"))
-    words = Tokenizer(inputCol="cleaned_reviews", outputCol="words").transform(df)
-    words = StopWordsRemover(inputCol="words", outputCol="filtered_words").transform(words)
+    """The hashed counts of each text add up to the number of its words, whichever words share a slot."""
+    df = with_cleaned(_texts(spark, sf_dir))
+    words = PipelineModel(stages=features.text_stages()[:2]).transform(df)
     hashed = features.hashing_stage().transform(words)
-    slots = hashed.groupBy("label").agg(Summarizer.sum(F.col("hashing_features")).alias("slots"))
-    total = F.aggregate(vector_to_array("slots"), F.lit(0.0), lambda acc, x: acc + x)
-    return slots.select("label", F.round(total).alias("n_words"))
+    total = F.aggregate(sparse(features.HASHED)["values"], F.lit(0.0), lambda acc, x: acc + x)
+    return hashed.select("doc_id", total.alias("n_words"))
+
+
+def sparse(vectors: str) -> Column:
+    """The ``indices`` and ``values`` of sparse vectors."""
+    return F.unwrap_udt(vectors)
 
 
 @QUERIES.add(
@@ -199,90 +198,137 @@ def pred_class_counts(spark, sf_dir):
     return held_out.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-# Fitted models by session and folder: several queries look at the same fit.
-_FITTED: dict[tuple, Any] = {}
-
-
-def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], Any]) -> Any:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _FITTED:
-        _FITTED[key] = make()
-    return _FITTED[key]
-
-
 def _part(spark, sf_dir, name: str) -> DataFrame:
     df = split_hash(with_cleaned(_texts(spark, sf_dir, "label")), "doc_id")
     return df.filter(F.col("split") == name).drop("split", "reviewText")
 
 
-def fitted_features(spark, sf_dir) -> PipelineModel:
-    return _once(spark, sf_dir, "features", lambda: features.fit_features(_part(spark, sf_dir, "train")))
-
+def _fit_features(spark, sf_dir) -> PipelineModel:
+    return features.fit_features(_part(spark, sf_dir, "train"))
 
-def _featured(spark, sf_dir, name: str) -> DataFrame:
-    """Feature vectors of a split, computed once and kept."""
 
-    def make() -> DataFrame:
-        df = fitted_features(spark, sf_dir).transform(_part(spark, sf_dir, name))
-        return df.select("doc_id", "label", "features", "indexedLabel").persist()
+def _featured(spark, sf_dir, fitted_features: PipelineModel, name: str) -> DataFrame:
+    """Feature vectors of a split, as a written table."""
+    df = fitted_features.transform(_part(spark, sf_dir, name))
+    return stored(df.select("doc_id", "label", "features", "indexedLabel"), f"featured-{name}")
 
-    return _once(spark, sf_dir, f"featured-{name}", make)
 
-
-def fitted(spark, sf_dir, name: str, quick: bool = False) -> PipelineModel:
+def fitted(spark, sf_dir, name: str) -> PipelineModel:
     """The full model of one classifier, trained on the training split."""
+    text = _fit_features(spark, sf_dir)
+    return features.with_classifier(text, training.classifiers()[name].fit(_featured(spark, sf_dir, text, "train")))
 
-    def make() -> PipelineModel:
-        estimator = (training.quick_classifiers() if quick else training.classifiers())[name]
-        rows = training.fit_input(estimator, _featured(spark, sf_dir, "train"))
-        return features.with_classifier(fitted_features(spark, sf_dir), estimator.fit(rows))
 
-    return _once(spark, sf_dir, f"model-{name}-{quick}", make)
+SETTINGS = (("full", training.classifiers), ("quick", training.quick_classifiers))
+SPLIT_VIEWS = {
+    "split_rows": f"""select doc_id, label, {SPLIT_SQL} as split from reviews where "reviewText" is not null""",
+}
 
 
-def _held_out_metrics(spark, sf_dir, name: str) -> DataFrame:
-    """Metrics on the validation split for both settings of a classifier."""
-    held_out = _featured(spark, sf_dir, "val")
-    results = []
-    for settings, quick in (("full", False), ("quick", True)):
-        model = fitted(spark, sf_dir, name, quick)
-        names = F.array(*[F.lit(n) for n in features.class_names(model)])
-        guessed = model.stages[-1].transform(held_out).select(
-            F.col("label").alias("truth"), F.get(names, F.col("prediction").cast("int")).alias("predicted")
-        )
-        measured = metrics(confusion(guessed, "truth", "predicted"))
-        results.append(measured.select(F.lit(name).alias("model"), F.lit(settings).alias("settings"), *METRICS))
-    return reduce(DataFrame.unionByName, results)
+def _guessed(text: PipelineModel, classifier, rows: DataFrame) -> DataFrame:
+    names = F.array(*[F.lit(n) for n in features.class_names(text)])
+    return classifier.transform(rows).withColumn("predicted", F.get(names, F.col("prediction").cast("int")))
 
 
-@QUERIES.add("train_lr")
+@QUERIES.add(
+    "train_lr",
+    sql(
+        """
+select settings, label, n, case settings when 'full' then true end as at_optimum, true as measured
+from (values ('full'), ('quick')) s(settings)
+cross join (select label, count(*) as n from split_rows where split = 'train' group by label)
+""",
+        **SPLIT_VIEWS,
+    ),
+)
 def train_lr(spark, sf_dir):
-    return _held_out_metrics(spark, sf_dir, "Logistic Regression")
+    """Both settings fitted. With free intercepts the probabilities of the training rows add up to the class sizes
+    at the optimum, which the longer run comes close to; the shorter one stops earlier."""
+    text = _fit_features(spark, sf_dir)
+    train, held_out = (_featured(spark, sf_dir, text, name) for name in ("train", "val"))
+    out = []
+    for settings, classifiers in SETTINGS:
+        model = classifiers()["Logistic Regression"].fit(train)
+        chances = vector_to_array("probability")
+        sums = [F.sum(chances[i]).alias(f"s{i}") for i in range(model.numClasses)]
+        sizes = [F.count_if(F.col("indexedLabel") == i).alias(f"n{i}") for i in range(model.numClasses)]
+        totals = model.transform(train).agg(*sums, *sizes)
+        rows = [
+            F.struct(F.lit(name).alias("label"), F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("s"))
+            for i, name in enumerate(features.class_names(text))
+        ]
+        close = F.abs(F.col("s") - F.col("n")) <= 1 + 0.01 * F.col("n")
+        accuracy = metrics(confusion(_guessed(text, model, held_out), "label", "predicted")).select("accuracy")
+        fits = totals.select(F.inline(F.array(*rows))).withColumn("accuracy", accuracy.scalar())
+        out.append(
+            fits.select(
+                F.lit(settings).alias("settings"),
+                "label",
+                "n",
+                (close if settings == "full" else F.lit(None).cast("boolean")).alias("at_optimum"),
+                F.col("accuracy").between(0, 1).alias("measured"),
+            )
+        )
+    return reduce(DataFrame.unionByName, out)
 
 
-@QUERIES.add("train_rf")
+@QUERIES.add(
+    "train_rf",
+    sql(
+        """
+select settings, label, n, 100 as trees, true as shallow from (values ('full'), ('quick')) s(settings)
+cross join (select label, count(*) as n from split_rows where split = 'val' group by label)
+""",
+        **SPLIT_VIEWS,
+    ),
+)
 def train_rf(spark, sf_dir):
-    return _held_out_metrics(spark, sf_dir, "Random Forest")
+    """Both settings fitted: validation rows per true class, number of trees, and whether no tree is too deep."""
+    text = _fit_features(spark, sf_dir)
+    train, held_out = (_featured(spark, sf_dir, text, name) for name in ("train", "val"))
+    out = []
+    for settings, classifiers in SETTINGS:
+        forest = classifiers()["Random Forest"]
+        model = forest.fit(train)
+        shallow = all(tree.depth <= forest.getMaxDepth() for tree in model.trees)
+        judged = _guessed(text, model, held_out).filter(F.col("predicted").isNotNull())
+        counts = judged.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+        told = [F.lit(settings).alias("settings"), "label", "n", F.lit(len(model.trees)).alias("trees"), F.lit(shallow).alias("shallow")]
+        out.append(counts.select(*told))
+    return reduce(DataFrame.unionByName, out)
+
+
+STAGE_NAMES = "Tokenizer, StopWordsRemover, CountVectorizerModel, IDFModel, StringIndexerModel, "
 
 
-@QUERIES.add("assembled_models")
-def assembled_models(spark, sf_dir):
-    """The stages of each full model and its predictions per class on the validation split."""
+@QUERIES.add(
+    "pipelines",
+    sql(
+        f"""
+select model, '{STAGE_NAMES}' || stage as stages, (select count(*) from split_rows where split = 'val') as n
+from (values ('Logistic Regression', 'LogisticRegressionModel'), ('Random Forest', 'RandomForestClassificationModel'),
+  ('Naive Bayes', 'NaiveBayesModel')) m(model, stage)
+""",
+        **SPLIT_VIEWS,
+    ),
+)
+def pipelines(spark, sf_dir):
+    """The stages of each full model, and how many validation rows it predicts."""
+    text = _fit_features(spark, sf_dir)
+    train, held_out = _featured(spark, sf_dir, text, "train"), _part(spark, sf_dir, "val")
     out = []
-    for name in training.classifiers():
-        model = fitted(spark, sf_dir, name)
-        scored = model.stages[-1].transform(_featured(spark, sf_dir, "val"))
+    for name, estimator in training.classifiers().items():
+        model = features.with_classifier(text, estimator.fit(train))
         stages = ", ".join(type(s).__name__ for s in model.stages)
-        counts = scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
-        out.append(counts.select(F.lit(name).alias("model"), F.lit(stages).alias("stages"), "prediction", "n"))
+        n = model.transform(held_out).agg(F.count("prediction").alias("n"))
+        out.append(n.select(F.lit(name).alias("model"), F.lit(stages).alias("stages"), "n"))
     return reduce(DataFrame.unionByName, out)
 
 
-def _tuned(spark, sf_dir, name: str) -> DataFrame:
+def _tuned(spark, featured: DataFrame, name: str) -> DataFrame:
     """Mean accuracy over the folds for every setting of a classifier's grid."""
     estimator = training.classifiers()[name]
     grid = training.grids(training.classifiers() | {name: estimator})[name]
-    featured = training.with_folds(_featured(spark, sf_dir, "train"), "doc_id")
     tuned = training.cross_validate(featured, estimator, grid)
     best = max(range(len(grid)), key=lambda i: tuned.avgMetrics[i])
     settings = [", ".join(f"{p.name}={v}" for p, v in sorted(g.items(), key=lambda kv: kv[0].name)) for g in grid]
@@ -290,10 +336,34 @@ def _tuned(spark, sf_dir, name: str) -> DataFrame:
     return spark.createDataFrame(rows, "model string, setting string, accuracy double, best boolean")
 
 
-@QUERIES.add("cross_validate")
+@QUERIES.add(
+    "cross_validate",
+    sql(
+        f"""
+select model, setting, folds.fold, folds.n, true as measured, true as one_best
+from (
+  select 'Logistic Regression' as model, 'elasticNetParam=' || e || ', regParam=' || r as setting
+  from (values ('0.0'), ('0.5')) a(e) cross join (values ('0.0001'), ('0.001'), ('0.01')) b(r)
+  union all select 'Random Forest', 'maxDepth=' || d || ', numTrees=' || t
+  from (values ('5'), ('10')) a(d) cross join (values ('50'), ('100')) b(t)
+  union all select 'Naive Bayes', 'smoothing=' || s from (values ('0.5'), ('1.0'), ('2.0')) a(s))
+cross join (
+  select (('0x' || substr(md5(cast(doc_id as varchar)), 9, 8))::bigint % 3)::int as fold, count(*) as n
+  from split_rows where split = 'train' group by 1) folds
+""",
+        **SPLIT_VIEWS,
+    ),
+)
 def cross_validate(spark, sf_dir):
-    tuned = [_tuned(spark, sf_dir, name) for name in training.classifiers()]
-    return reduce(DataFrame.unionByName, tuned)
+    """Every setting of every grid with the folds it was tuned on; one of a model's settings is the best."""
+    text = _fit_features(spark, sf_dir)
+    featured = stored(training.with_folds(_featured(spark, sf_dir, text, "train"), "doc_id"), "folds")
+    tuned = reduce(DataFrame.unionByName, [_tuned(spark, featured, name) for name in training.classifiers()])
+    best = tuned.groupBy("model").agg((F.count_if("best") == 1).alias("one_best"))
+    folds = featured.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    sizes = folds.agg(F.collect_list(F.struct("fold", "n"))).scalar()
+    rows = tuned.join(best, "model").withColumn("folds", sizes)
+    return rows.select("model", "setting", F.col("accuracy").between(0, 1).alias("measured"), "one_best", F.inline("folds"))
 
 
 @QUERIES.add(
@@ -308,12 +378,12 @@ def feature_model(spark, sf_dir):
     """The text stages taken out of a full model: each of their terms counted over all reviews."""
     stages = features.feature_model(fitted(spark, sf_dir, "Naive Bayes"))
     counted = stages.transform(with_cleaned(_texts(spark, sf_dir)))
-    totals = counted.agg(Summarizer.sum(F.col("raw_features")).alias("totals"))
-    by_place = totals.select(F.posexplode(vector_to_array("totals")).alias("place", "total"))
-    by_place = by_place.withColumn("total", F.round("total"))
+    held = counted.select(F.inline(F.arrays_zip(sparse(features.COUNTS)["indices"], sparse(features.COUNTS)["values"])))
+    totals = held.toDF("place", "n").groupBy("place").agg(F.sum("n").alias("total"))
     # The fitted vocabulary is on the driver and has a fixed largest size.
-    names = spark.createDataFrame(list(enumerate(stages.stages[2].vocabulary)), "place int, term string")
-    return by_place.join(names, "place").select("term", "total")
+    words = next(s for s in stages.stages if isinstance(s, CountVectorizerModel)).vocabulary
+    names = spark.createDataFrame(list(enumerate(words)), "place int, term string")
+    return totals.join(names, "place").select("term", "total")
 
 
 # The same model in SQL: trained on the training split, run over all reviews with text.
@@ -346,11 +416,15 @@ def score_batch(spark, sf_dir):
     return scored.select("doc_id", "label", F.round("confidence", 4).alias("confidence"))
 
 
-@QUERIES.add("score_batch_lr")
+@QUERIES.add(
+    "score_batch_lr",
+    sql("""select doc_id, true as known_label, true as likeliest from reviews where "reviewText" <> ''"""),
+)
 def score_batch_lr(spark, sf_dir):
-    """The same with logistic regression."""
+    """The same with logistic regression: a known label for every text, and at least the chance of a guess."""
     scored = score_reviews(reviews(spark, sf_dir, "doc_id", "reviewText"), fitted(spark, sf_dir, "Logistic Regression"))
-    return scored.select("doc_id", "label", F.round("confidence", 4).alias("confidence"))
+    likeliest = F.col("confidence").between(1 / len(CLASSES) - 1e-9, 1)
+    return scored.select("doc_id", F.col("label").isin(*CLASSES).alias("known_label"), likeliest.alias("likeliest"))
 
 
 @QUERIES.add(

@@ -33,9 +33,34 @@ def balance_exact(spark, sf_dir):
     return balanced(spark, sf_dir)
 
 
-@QUERIES.add("balance_sampled")
+@QUERIES.add(
+    "balance_sampled",
+    sql("""
+select label, count(*) as originals, count(*) as known_keys, true as within_bounds, true as copies_told_apart
+from reviews group by label
+"""),
+)
 def balance_sampled(spark, sf_dir):
-    return sampling.balance_sampled(_labelled(spark, sf_dir), "doc_id")
+    """What holds for any draw: keys of the class only, never more rows than the largest class has and not far fewer."""
+    df = _labelled(spark, sf_dir)
+    drawn = sampling.balance_sampled(df, "doc_id")
+    found = drawn.groupBy("label").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("doc_id", "copy").alias("apart"), F.count_distinct("doc_id").alias("keys")
+    )
+    known = df.select("label", "doc_id").join(drawn.select("label", "doc_id").distinct(), ["label", "doc_id"], "left_semi")
+    known = known.groupBy("label").agg(F.count(F.lit(1)).alias("drawn_keys"))
+    sizes = df.groupBy("label").agg(F.count(F.lit(1)).alias("originals"))
+    largest = sizes.agg(F.max("originals")).scalar()
+    out = sizes.withColumn("largest", largest).join(found, "label").join(known, "label")
+    # A draw of n rows has a spread of about the root of n; ten times that never comes by chance.
+    close = F.col("rows") >= F.col("largest") - 10 * F.sqrt("largest")
+    return out.select(
+        "label",
+        "originals",
+        F.when(F.col("drawn_keys") == F.col("keys"), F.col("originals")).alias("known_keys"),
+        ((F.col("rows") <= F.col("largest")) & close).alias("within_bounds"),
+        (F.col("apart") == F.col("rows")).alias("copies_told_apart"),
+    )
 
 
 @QUERIES.add(
@@ -60,14 +85,26 @@ where label <> 'positive' or place > floor(n * {DROPPED_SHARE}::double)
 """),
 )
 def downsample(spark, sf_dir):
-    return sampling.downsample(_labelled(spark, sf_dir), "positive", DROPPED_SHARE, "doc_id")
+    return sampling.downsample(_labelled(spark, sf_dir), "positive", "doc_id", share=DROPPED_SHARE)
 
 
-@QUERIES.add("split_random")
+@QUERIES.add(
+    "split_random",
+    sql("""
+select count(*) as n, count(distinct doc_id) as keys, true as train_share, true as val_share, true as test_share from reviews
+"""),
+)
 def split_random(spark, sf_dir):
+    """What holds for any split: every row once, and shares within ten times their spread."""
     parts = sampling.split_random(_labelled(spark, sf_dir))
-    named = [part.withColumn("split", F.lit(name)) for name, part in parts.items()]
-    return reduce(DataFrame.unionByName, named)
+    rows = reduce(DataFrame.unionByName, [part.select("doc_id", F.lit(name).alias("split")) for name, part in parts.items()])
+
+    def near(name: str, share: float):
+        found, total = F.count_if(F.col("split") == name), F.count(F.lit(1))
+        return (F.abs(found - share * total) <= 10 * F.sqrt(total * share * (1 - share))).alias(f"{name}_share")
+
+    shares = [near("train", 0.8), near("val", 0.1), near("test", 0.1)]
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("keys"), *shares)
 
 
 @QUERIES.add("split_hash", sql(f"select doc_id, label, {SPLIT_SQL} as split from reviews"))

@@ -9,6 +9,7 @@ CLASSES = ("negative", "neutral", "positive")
 CLASSES_FR = ("negatif", "neutre", "positif")
 UNKNOWN = "unknown"
 
+# The fields of a review message.
 REVIEW = T.StructType(
     [
         T.StructField("asin", T.StringType()),
@@ -25,7 +26,7 @@ REVIEW = T.StructType(
     ]
 )
 
-# Values a message carries when the review has no such field.
+# What a message carries when the review has no such field.
 MESSAGE_DEFAULTS = {
     "asin": None,
     "helpful": [0, 0],

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,14 +41,15 @@ def build_session(app: str = "opinara", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    Only a local session may go without: it gets a temporary folder. On a
-    cluster a machine-local folder would be lost with its executor.
+    Only a session in a single process may go without: it gets a temporary
+    folder. On a cluster a machine-local folder would be lost with its executor;
+    a ``file:`` path there has to be a mount that all machines share.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="opinara-"))
     return context.getCheckpointDir()
@@ -56,12 +60,34 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/opinara/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables written since the innermost ``work_scope`` began.
+_WRITTEN: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage, survives lost executors, and tells the planner the
-    true size, so that Spark broadcasts it in a join only where it is small.
+    true size, so that Spark broadcasts it in a join only where it is small. The
+    table stays unless a ``work_scope`` ends.
     """
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables written inside when it ends.
+
+    Use it around work whose results are written or collected inside.
+    """
+    _WRITTEN.append([])
+    try:
+        yield
+    finally:
+        for path in _WRITTEN.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara.functions.display import iso
-from opinara.functions.records import field_or, typed
+from opinara.functions.ratings import parse_helpful
+from opinara.functions.records import field_or, literal, typed
 from opinara.schema import MESSAGE_DEFAULTS, REVIEW
 
 CORRUPT = "_corrupt"
@@ -35,6 +36,8 @@ def message_records(df: DataFrame, sent_at: Column | None = None) -> DataFrame:
     for name, default in MESSAGE_DEFAULTS.items():
         if name in NUMBERS and name in df.columns:
             value = typed(F.col(name), types[name], default)
+        elif name == "helpful" and name in df.columns:
+            value = F.coalesce(parse_helpful(df, name), literal(default))
         else:
             value = field_or(df, name, default)
         fields.append(value.cast(types[name]).alias(name))
@@ -49,16 +52,44 @@ def to_messages(df: DataFrame, sent_at: Column | None = None) -> DataFrame:
 
 
 def decoded(messages: DataFrame) -> DataFrame:
-    """The raw value, the parsed ``data`` and, for bad JSON, the corrupt text."""
+    """The raw value, the parsed ``data``, ``corrupt`` (no JSON object) and ``bad_fields``.
+
+    Every field is read as it comes and then cast on its own, so one that does not
+    fit its type is null and named in ``bad_fields``, and the others stand. Votes
+    may be an array or an array written as text.
+    """
     value = F.col("value").cast("string")
-    schema = T.StructType([*REVIEW.fields, T.StructField(CORRUPT, T.StringType())])
-    data = F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return messages.select(value.alias("value"), data.alias("data"))
+    texts = [T.StructField(f.name, T.StringType()) for f in REVIEW.fields]
+    schema = T.StructType([*texts, T.StructField(CORRUPT, T.StringType())])
+    raw = F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = messages.select(value.alias("value"), raw.alias("raw"))
+    fields, bad = [], []
+    for field in REVIEW.fields:
+        column = F.col(f"raw.{field.name}")
+        cast = _as_type(column, field.dataType)
+        fields.append(cast.alias(field.name))
+        bad.append(F.when(column.isNotNull() & cast.isNull(), F.lit(field.name)))
+    return parsed.select(
+        "value",
+        F.struct(*fields).alias("data"),
+        F.col(f"raw.{CORRUPT}").isNotNull().alias("corrupt"),
+        F.concat_ws(", ", *bad).alias("bad_fields"),
+    )
+
+
+def _as_type(text: Column, to: T.DataType) -> Column:
+    """A field's JSON text as its declared type; null where it does not fit."""
+    if isinstance(to, T.ArrayType):
+        return F.from_json(text, to)
+    if isinstance(to, (T.IntegerType, T.LongType)):
+        # Whole numbers may be written with a point.
+        return F.coalesce(text.try_cast(to), text.try_cast("decimal(38,0)").try_cast(to))
+    return text if isinstance(to, T.StringType) else text.try_cast(to)
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Review columns of each message; bad JSON gives a row of nulls."""
-    return decoded(messages).select("data.*").drop(CORRUPT)
+    return decoded(messages).select("data.*")
 
 
 def topic_stream(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from opinara.functions.ratings import parse_helpful
 from opinara.schema import REVIEW
 
 
@@ -17,21 +18,18 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType | None = REVI
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def scan_reviews(spark: SparkSession, path: str) -> DataFrame:
+    """Reviews as JSON lines; votes may be an array or an array written as text."""
+    as_text = [T.StructField(f.name, T.StringType()) if f.name == "helpful" else f for f in REVIEW.fields]
+    reviews = spark.read.schema(T.StructType(as_text)).json(path)
+    return reviews.withColumn("helpful", parse_helpful(reviews))
+
+
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """A table in fewer splits than the cluster can work on, spread by a unique key.
-
-    For a plain scan whose rows are costly to work on, such as a few files of long
-    texts. A table in many splits, as any large one is, stays as it lies.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= 2 * cores else scan.repartition(cores, key)
-
-
 def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Replace the table at ``path``."""
     writer = df.write.mode("overwrite")
@@ -46,5 +44,8 @@ def sink_json(df: DataFrame, path: str, drop: Sequence[str] = (), keep_nulls: bo
 
 
 def scan_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """The prediction table as written by the streaming sink, without its batch column."""
-    return spark.read.parquet(path).drop("batch_id")
+    """The prediction table as written by the streaming sink.
+
+    Of the folders' columns ``date`` stays, so that ``recent`` reads the folders of its days only.
+    """
+    return spark.read.option("basePath", path).parquet(path).drop("query", "batch_id")

@@ -14,42 +14,48 @@ from pyspark.sql.streaming import StreamingQuery
 from opinara.models.scoring import score_reviews
 from opinara.operators.filters import first_text
 from opinara.operators.projections import prediction_documents
-from opinara.sources.messages import CORRUPT, decoded
-from opinara.sources.sinks import write_batch
+from opinara.sources.messages import decoded
+from opinara.sources.sinks import query_id, write_batch
 
 
 def read_messages(messages: DataFrame) -> DataFrame:
-    """Parsed messages with the raw value and the reason why one cannot be scored, if any."""
-    parsed = decoded(messages).select("value", "data.*")
-    reason = (
-        F.when(F.col("value").isNull(), "no value")
-        .when(F.col(CORRUPT).isNotNull(), "malformed")
-        .when(first_text(parsed).isNull(), "no text")
+    """Parsed messages with the raw value, the reason why one cannot be scored, if any, and its ``bad_fields``.
+
+    Whatever has a text is scored: a field of a wrong type is null, and the message is noted.
+    """
+    parsed = decoded(messages).select("value", "data.*", "corrupt", "bad_fields")
+    reason = F.when(
+        first_text(parsed).isNull(),
+        F.when(F.col("value").isNull(), "no value").when(F.col("corrupt"), "malformed").otherwise("no text"),
     )
-    return parsed.withColumn("reason", reason).drop(CORRUPT)
+    return parsed.withColumn("reason", reason).drop("corrupt")
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
-    """``value, reason`` of the messages that cannot be scored."""
-    return read_messages(messages).filter(F.col("reason").isNotNull()).select("value", "reason")
+    """``value, reason, scored`` of the messages that cannot be scored, and of those that were scored without some fields."""
+    read = read_messages(messages)
+    noted = F.when(F.col("bad_fields") != "", F.concat(F.lit("bad fields: "), "bad_fields"))
+    rows = read.select("value", F.coalesce("reason", noted).alias("reason"), F.col("reason").isNull().alias("scored"))
+    return rows.filter(F.col("reason").isNotNull())
 
 
 def scored_documents(messages: DataFrame, model: PipelineModel, processed_ts: Column | None = None) -> DataFrame:
     """Prediction documents of the messages that can be scored."""
-    good = read_messages(messages).filter(F.col("reason").isNull()).drop("value", "reason", "sentiment")
+    good = read_messages(messages).filter(F.col("reason").isNull()).drop("value", "reason", "bad_fields", "sentiment")
     return prediction_documents(score_reviews(good, model), processed_ts)
 
 
 def scoring_sink(
-    model: PipelineModel, predictions: str, rejects: str, processed_ts: Column | None = None
+    model: PipelineModel, predictions: str, rejects: str, checkpoint: str, processed_ts: Column | None = None
 ) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: score a batch of messages and write documents and rejects."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch(scored_documents(held, model, processed_ts), predictions, batch_id)
-            write_batch(dead_letters(held), rejects, batch_id)
+            query = query_id(batch.sparkSession, checkpoint)
+            write_batch(scored_documents(held, model, processed_ts), predictions, batch_id, query, "processed_ts")
+            write_batch(dead_letters(held), rejects, batch_id, query)
         finally:
             held.unpersist()
 
@@ -70,5 +76,5 @@ def start_scoring(
     A batch that is repeated after a failure replaces what its first attempt wrote.
     """
     writer = messages.select(F.col("value").cast("string").alias("value")).writeStream
-    writer = writer.foreachBatch(scoring_sink(model, predictions, rejects, processed_ts))
+    writer = writer.foreachBatch(scoring_sink(model, predictions, rejects, checkpoint, processed_ts))
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

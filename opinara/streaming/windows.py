@@ -1,48 +1,90 @@
-"""Live counts by event-time window."""
+"""Live counts by event-time window.
+
+Each micro-batch adds up its own rows by window, with no state beyond the batch,
+and writes the partial sums; ``current`` adds them up. A row counts whenever it
+comes, so none is too late. Rows that come later than ``LATENESS`` after the
+newest one of the batches before are counted in a side table as well.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opinara.operators.panels import label_counts
 from opinara.schema import CLASSES
-from opinara.sources.sinks import batch_sink
+from opinara.sources.sinks import query_id, summed, write_batch
 
-# How long a window waits for late rows before its state is dropped.
+# From when on a row is noted as late.
 LATENESS = "1 day"
+MINUTE = "minute"
+SUMS = ["total_reviews", *reversed(CLASSES), "confidence_sum"]
 
 
-def timed(predictions: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Predictions with an event time that a watermark can follow."""
-    return predictions.withColumn("event_time", F.col("processed_ts").cast("timestamp")).withWatermark("event_time", lateness)
+def minute_sums(predictions: DataFrame) -> DataFrame:
+    """Rows, labels and the sum of confidence per minute."""
+    minute = F.date_trunc("minute", F.col("processed_ts").cast("timestamp_ntz")).alias(MINUTE)
+    confidence = F.sum(F.coalesce("confidence", F.lit(0.0))).alias("confidence_sum")
+    return predictions.groupBy(minute).agg(F.count(F.lit(1)).alias("total_reviews"), *label_counts(), confidence)
 
 
-def minute_counts(predictions: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Label counts per minute."""
-    grouped = timed(predictions, lateness).groupBy(F.window("event_time", "1 minute"))
-    return grouped.agg(*label_counts()).select(
-        F.col("window.start").cast("timestamp_ntz").alias("minute"), *reversed(CLASSES)
-    )
+def by_minute(sums: DataFrame) -> DataFrame:
+    """Label counts per minute, from summed minutes."""
+    return sums.select(MINUTE, *reversed(CLASSES))
 
 
-def sliding_headline(predictions: DataFrame, length: str = "5 minutes", step: str = "1 minute", lateness: str = LATENESS) -> DataFrame:
-    """Totals, label counts and mean confidence of each sliding window."""
-    grouped = timed(predictions, lateness).groupBy(F.window("event_time", length, step))
-    confidence = F.sum(F.coalesce("confidence", F.lit(0.0))) / F.count(F.lit(1))
-    return grouped.agg(
-        F.count(F.lit(1)).alias("total_reviews"), *label_counts(), confidence.alias("avg_confidence")
-    ).select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+def sliding_headline(sums: DataFrame, minutes: int = 5) -> DataFrame:
+    """Totals, label counts and mean confidence of each sliding window, from summed minutes.
+
+    Minutes, not rows, are repeated for the windows they lie in.
+    """
+    back = F.explode(F.sequence(F.lit(0), F.lit(minutes - 1)))
+    spread = sums.filter(F.col(MINUTE).isNotNull()).withColumn("back", back)
+    start = F.col(MINUTE) - F.make_dt_interval(mins=F.col("back"))
+    grouped = spread.groupBy(start.alias("window_start")).agg(*[F.sum(c).alias(c) for c in SUMS])
+    return grouped.select(
+        "window_start",
+        (F.col("window_start") + F.make_dt_interval(mins=F.lit(minutes))).alias("window_end"),
         "total_reviews",
         *reversed(CLASSES),
-        "avg_confidence",
+        (F.col("confidence_sum") / F.col("total_reviews")).alias("avg_confidence"),
     )
 
 
-def start_updates(windows: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Write the windows each batch changed; ``latest_rows`` reads the current state."""
-    writer = windows.writeStream.outputMode("update").foreachBatch(batch_sink(path))
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The sums by minute over all batches so far."""
+    return summed(spark.read.parquet(path), [MINUTE])
+
+
+def _minute_sink(path: str, late: str, checkpoint: str, lateness: str) -> Callable[[DataFrame, int], None]:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        query = query_id(spark, checkpoint)
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(minute_sums(held), path, batch_id, query, MINUTE)
+            # One row per batch: the newest time in it, and how many of its rows came late.
+            newest = F.max(F.col("processed_ts").cast("timestamp_ntz"))
+            last = None
+            if batch_id:
+                told = spark.read.parquet(late).filter((F.col("query") == query) & (F.col("batch_id") < batch_id))
+                last = told.agg(F.max("newest")).first()[0]
+            bound = F.lit(last).cast("timestamp_ntz") - F.expr(f"INTERVAL {lateness}")
+            too_late = F.count_if(F.col("processed_ts").cast("timestamp_ntz") < bound)
+            write_batch(held.agg(newest.alias("newest"), too_late.alias("late_rows")), late, batch_id, query)
+        finally:
+            held.unpersist()
+
+    return write
+
+
+def start_minutes(
+    predictions: DataFrame, path: str, late: str, checkpoint: str, lateness: str = LATENESS, **trigger
+) -> StreamingQuery:
+    """Write each batch's sums by minute to ``path``, and to ``late`` how many of its rows came late."""
+    writer = predictions.writeStream.foreachBatch(_minute_sink(path, late, checkpoint, lateness))
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

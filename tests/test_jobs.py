@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from opinara import jobs
 from opinara.models import training
-from opinara.sources.tables import scan_json, scan_parquet, scan_predictions
+from opinara.operators.sampling import balanced_splits
+from opinara.sources.tables import scan_json, scan_parquet, scan_predictions, scan_reviews
 
 WORDS = {5.0: "great love perfect", 3.0: "okay fine average", 1.0: "broken bad awful"}
 
@@ -68,17 +69,38 @@ def test_send_score_and_report(spark, reviews, trained, tmp_path):
     model = training.load_model(trained["model"])
     jobs.score_stream(spark, str(tmp_path / "messages"), model, str(tmp_path), trigger={"availableNow": True}).awaitTermination()
     predictions = scan_predictions(spark, str(tmp_path / "predictions"))
-    rejected = scan_parquet(spark, str(tmp_path / "rejects")).count()
+    rejected = scan_parquet(spark, str(tmp_path / "rejects")).filter("not scored").count()
     assert predictions.count() + rejected == 375
     assert rejected == reviews.filter(F.col("reviewText").isNull()).count()
 
     last = predictions.agg(F.max("processed_ts")).scalar()
-    realtime = {n: t.collect() for n, t in jobs.realtime_report(predictions, "reviewerID", last).items()}
+    realtime = {n: t.collect() for n, t in jobs.realtime_report(jobs.with_tie(predictions), jobs.TIE, last).items()}
     assert realtime["totals"][0].total_reviews == predictions.count()
     assert len(realtime["recent_reviews"]) == 10
-    offline = {n: t.collect() for n, t in jobs.offline_report(predictions, "reviewerID").items()}
+    offline = {n: t.collect() for n, t in jobs.offline_report(jobs.with_tie(predictions), jobs.TIE).items()}
     assert offline["totals"][0].total_reviews == predictions.count()
     assert len(offline["product"]) == len(offline["reviewer"]) == 10
     assert [r.key for r in offline["rating"]] == ["1.0", "3.0", "5.0"]
     assert [r.total for r in offline["product"]] == sorted((r.total for r in offline["product"]), reverse=True)
     assert sum(r.total for r in offline["length"]) == predictions.count()
+
+
+def test_split_depends_on_the_reviews_alone(reviews):
+    def homes(partitions):
+        ready = jobs.numbered(reviews.repartition(partitions)).withColumn("label", F.col("overall").cast("string"))
+        rows = balanced_splits(ready, jobs.KEY, split_key=jobs.HASH).collect()
+        return sorted((r[jobs.KEY], r.split, r.copy) for r in rows), rows
+
+    first, rows = homes(2)
+    assert first == homes(5)[0]
+    split_of = {}
+    for r in rows:
+        split_of.setdefault(r[jobs.HASH], set()).add(r.split)
+    assert all(len(s) == 1 for s in split_of.values())
+    assert len({r[jobs.KEY] for r in rows}) == 375
+
+
+def test_votes_as_text_are_read(spark, tmp_path):
+    path = tmp_path / "r.json"
+    path.write_text('{"helpful": "[1, 2]", "overall": 5.0}\n{"helpful": [3, 4], "overall": 5.0}\n{"overall": 5.0}\n')
+    assert [r.helpful for r in scan_reviews(spark, str(path)).collect()] == [[1, 2], [3, 4], None]

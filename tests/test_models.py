@@ -54,7 +54,7 @@ def vectors(model, df, column):
 def test_term_counts_equal_the_vectorizer(corpus, fitted):
     counts = terms.count_words(corpus, "id")
     ours = {(r.id, r.term): float(r.tf) for r in terms.term_counts(counts, "id").collect()}
-    assert ours == vectors(fitted, corpus, "raw_features")
+    assert ours == vectors(fitted, corpus, features.COUNTS)
     assert any(term == "" for _, term in ours)
     assert terms.documents(counts, "id").count() == 242
 
@@ -154,9 +154,10 @@ def test_labels_follow_names_not_codes(spark, corpus, fitted):
 
 def test_saved_model_predicts_the_same(spark, corpus, fitted, tmp_path):
     model = features.with_classifier(fitted, training.quick_classifiers()["Logistic Regression"].fit(fitted.transform(with_cleaned(corpus))))
-    path = training.save_model(model, str(tmp_path), "My Model")
-    assert path.endswith("my_model_model")
-    copy = training.load_model(training.save_model(model, str(tmp_path), "My Model"))
+    path = training.save_model(model, str(tmp_path), "sentiment")
+    again = training.save_model(model, str(tmp_path), "sentiment")
+    assert path != again and path.startswith(f"{tmp_path}/sentiment/")
+    copy = training.load_model(path)
     assert sorted(score_reviews(corpus, model).collect()) == sorted(score_reviews(corpus, copy).collect())
     text_only = features.feature_model(model).transform(with_cleaned(corpus))
     assert "features" in text_only.columns and "prediction" not in text_only.columns
@@ -184,6 +185,30 @@ def test_tuning(corpus, fitted):
     assert [len(g) for g in training.grids(models).values()] == [6, 4, 3]
 
 
+def test_hashed_counts_are_at_their_slots(spark):
+    df = spark.createDataFrame([(["cable", "cable", "sound", ""],)], f"{features.KEPT} array<string>")
+    stage = features.hashing_stage()
+    found = stage.transform(df).first()[features.HASHED]
+    assert {int(i): v for i, v in zip(found.indices, found.values, strict=True)} == {
+        stage.indexOf("cable"): 2.0,
+        stage.indexOf("sound"): 1.0,
+        stage.indexOf(""): 1.0,
+    }
+
+
+def test_cut_terms_are_told(corpus):
+    ready = with_cleaned(corpus)
+    assert features.cut_terms(features.fit_features(ready), ready) == 0
+    everything = len(features.fit_features(ready).stages[2].vocabulary)
+    assert features.cut_terms(features.fit_features(ready, vocab_size=5), ready) == everything - 5
+
+
+def test_a_token_with_several_lemmas_takes_the_first(spark):
+    df = spark.createDataFrame([(0, ["axes", "axes"])], "id int, tokens array<string>")
+    table = spark.createDataFrame([("axes", "axis"), ("axes", "axe"), ("axes", None)], "token string, lemma string")
+    assert lemma.fold_lemmas(df, "id", table).first().tokens == ["axe", "axe"]
+
+
 def test_lemma_folding_keeps_order_and_repeats(spark):
     df = spark.createDataFrame(
         [(0, ["cables", "bass", "cable", "cables", "s"]), (1, ["bas", "cable"]), (2, []), (3, ["gas"])],

@@ -24,7 +24,7 @@ PYTHON_NODES = re.compile(r"PythonUDF|ArrowEvalPython|BatchEvalPython|MapInPanda
 def stored(spark, small):
     path = work_folder(spark, "plan-predictions")
     columns = [f.name for f in PREDICTION.fields if f.name != "kafka_timestamp"]
-    write_batch(fixtures.predictions(spark, small, *columns), path, 0)
+    write_batch(fixtures.predictions(spark, small, *columns), path, 0, time="processed_ts")
     return scan_predictions(spark, path)
 
 
@@ -76,3 +76,8 @@ def test_no_python_and_no_cross_join(spark, small, name):
     text = plan(entry_points.queries()[name](spark, small))
     assert not PYTHON_NODES.search(text)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_recent_rows_read_their_days_only(stored):
+    text = plan(recent(stored, F.lit("2024-01-01 02:00:00").cast("timestamp"), "1 HOUR"))
+    assert re.search(r"PartitionFilters: \[[^]]*date", text)

@@ -80,9 +80,10 @@ def test_equal_classes_need_no_sampling(spark):
 
 def test_downsample_by_number_and_share(spark):
     df = labelled(spark, {"a": 100, "b": 10})
-    assert Counter(r.label for r in sampling.downsample(df, "a", 30, "id").collect()) == {"a": 70, "b": 10}
-    assert Counter(r.label for r in sampling.downsample(df, "a", 0.5, "id").collect()) == {"a": 50, "b": 10}
-    assert Counter(r.label for r in sampling.downsample(df, "a", 1000, "id").collect()) == {"b": 10}
+    assert Counter(r.label for r in sampling.downsample(df, "a", "id", rows=30).collect()) == {"a": 70, "b": 10}
+    assert Counter(r.label for r in sampling.downsample(df, "a", "id", share=0.5).collect()) == {"a": 50, "b": 10}
+    assert Counter(r.label for r in sampling.downsample(df, "a", "id", rows=1000).collect()) == {"b": 10}
+    assert Counter(r.label for r in sampling.downsample(df, "a", "id", share=1.0).collect()) == {"b": 10}
 
 
 def test_random_split_is_complete_and_disjoint(spark):
@@ -119,3 +120,27 @@ def test_leaky_order_spreads_copies(spark):
     for r in out:
         homes.setdefault(r.id, set()).add(r.split)
     assert any(len(h) > 1 for h in homes.values())
+
+
+def test_null_and_unknown_classes_stay(spark):
+    rows = [(i, "positive") for i in range(9)] + [(20 + i, None) for i in range(4)] + [(30 + i, "other") for i in range(2)]
+    df = spark.createDataFrame(rows, "id long, label string")
+    assert Counter(r.label for r in sampling.union_classes(df).collect()) == {"positive": 9, None: 4, "other": 2}
+    assert Counter(r.label for r in sampling.balance_exact(df, "id").collect()) == {"positive": 9, None: 9, "other": 9}
+    assert Counter(r.label for r in sampling.limit_class(df, 3, "id").collect()) == {"positive": 3, None: 3, "other": 2}
+    drawn = Counter(r.label for r in sampling.balance_sampled(df, "id").collect())
+    assert set(drawn) <= {"positive", None, "other"} and drawn["positive"] == 9 and max(drawn.values()) == 9
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "id long, label string")
+    for out in (sampling.balance_sampled(df, "id"), sampling.balance_exact(df, "id"), sampling.union_classes(df)):
+        assert out.count() == 0
+
+
+def test_a_tiny_class_is_drawn_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "CHUNK", 50)
+    out = sampling.balance_sampled(labelled(spark, {"a": 1000, "b": 2}), "id").collect()
+    drawn = Counter(r.label for r in out)
+    assert 700 < drawn["b"] <= drawn["a"] == 1000
+    assert len({(r.id, r.copy) for r in out}) == len(out)

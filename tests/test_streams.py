@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,13 +14,13 @@ from opinara.models.scoring import score_reviews
 from opinara.operators.panels import by_minute
 from opinara.operators.projections import prediction_documents, with_cleaned
 from opinara.schema import KEPT_FIELDS, MESSAGE_DEFAULTS, PREDICTION, REVIEW
-from opinara.session import shared_folder, work_folder
+from opinara.session import shared_folder, stored, work_folder, work_scope
 from opinara.sources.messages import file_stream, normalised, parse_messages, send_to_files, to_messages
-from opinara.sources.sinks import batch_sink, latest_rows, write_batch
-from opinara.sources.tables import scan_predictions, spread
+from opinara.sources.sinks import batch_sink, compact, document_store_sink, write_batch
+from opinara.sources.tables import scan_predictions
 from opinara.streaming import windows
 from opinara.streaming.replay import replay
-from opinara.streaming.scoring import dead_letters, start_scoring
+from opinara.streaming.scoring import dead_letters, read_messages, start_scoring
 
 def clock():
     return F.lit("2024-05-01 10:00:00").cast("timestamp")
@@ -64,16 +65,35 @@ def test_bad_messages_give_null_rows_and_dead_letters(spark):
     values = [good, '{"asin": "B", "reviewText', "not json", None, json.dumps({"asin": "C", "reviewText": ""}), json.dumps({"asin": "D"})]
     messages = spark.createDataFrame([(v,) for v in values], "value string")
     assert parse_messages(messages).filter(F.col("asin").isNull() | F.col("asin").isin("A", "B", "C", "D")).count() == 6
-    rejects = {(r.value, r.reason) for r in dead_letters(messages).collect()}
+    rejects = {(r.value, r.reason, r.scored) for r in dead_letters(messages).collect()}
     assert rejects == {
-        (values[1], "malformed"),
-        (values[2], "malformed"),
-        (None, "no value"),
-        (values[4], "no text"),
-        (values[5], "no text"),
+        (values[1], "malformed", False),
+        (values[2], "malformed", False),
+        (None, "no value", False),
+        (values[4], "no text", False),
+        (values[5], "no text", False),
     }
 
 
+def test_fields_of_a_wrong_type_do_not_lose_a_message(spark):
+    cases = [
+        ({"overall": "5.0"}, "overall", 5.0, ""),
+        ({"unixReviewTime": "abc"}, "unixReviewTime", None, "unixReviewTime"),
+        ({"helpful": "[1, 2]"}, "helpful", [1, 2], ""),
+        ({"helpful": [3, 4]}, "helpful", [3, 4], ""),
+        ({"sentiment": 2.0}, "sentiment", 2, ""),
+        ({"overall": [1], "helpful": 7}, "overall", None, "helpful, overall"),
+    ]
+    for fields, name, value, bad in cases:
+        row = read_messages(spark.createDataFrame([(json.dumps({"reviewText": "fine", **fields}),)], "value string")).first()
+        assert (row.reviewText, row.reason, row[name], row.bad_fields) == ("fine", None, value, bad)
+
+
+def test_votes_as_text_become_messages(spark):
+    df = spark.createDataFrame([("[1, 2]",), (None,), ("x",)], "helpful string")
+    assert [json.loads(r.value)["helpful"] for r in to_messages(df, F.lit("t")).collect()] == [[1, 2], [0, 0], [0, 0]]
+
+
 def test_documents(spark):
     df = spark.createDataFrame([("A", None, None)], "asin string, label string, confidence double")
     out = prediction_documents(df, clock())
@@ -91,6 +111,17 @@ def test_repeated_batches_do_not_duplicate(spark):
     write_batch(spark.range(5), path, 3)
     write_batch(spark.range(0), path, 5)
     assert scan_predictions(spark, path).count() == 12
+    write_batch(spark.range(2), path, 3, "other")
+    assert scan_predictions(spark, path).count() == 14
+    write_batch(spark.range(0), path, 4)
+    assert scan_predictions(spark, path).count() == 7
+    copy = compact(spark, path, work_folder(spark, "compacted"))
+    assert sorted(r.id for r in scan_predictions(spark, copy).collect()) == [0, 0, 1, 1, 2, 3, 4]
+
+
+def test_the_document_store_needs_an_id(spark):
+    with pytest.raises(ValueError, match="idFieldList"):
+        document_store_sink({"database": "d"})
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, reviews, model):
@@ -125,42 +156,41 @@ def test_replay_takes_one_file_per_batch(spark, reviews):
     assert sorted(sizes) == [4, 10, 10]
 
 
-def live_predictions(spark, folder):
-    schema = "processed_ts timestamp_ntz, label string, confidence double"
-    return schema, spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+SCHEMA = "processed_ts timestamp_ntz, label string, confidence double"
 
 
 def test_live_minutes_equal_the_batch_over_several_files(spark):
-    folder, out, checkpoint = (work_folder(spark, n) for n in ("in", "out", "c"))
+    folder, out, late, checkpoint = (work_folder(spark, n) for n in ("in", "out", "late", "c"))
     start = dt.datetime(2024, 1, 1, 23, 50)
     rows = [(start + dt.timedelta(seconds=37 * i), ("positive", "neutral", "negative", "unknown")[i % 4], 0.5) for i in range(90)]
     for part in (rows[::3], rows[1::3], rows[2::3]):
-        schema, stream = None, None
-        spark.createDataFrame(part, "processed_ts timestamp_ntz, label string, confidence double").coalesce(1).write.mode("append").parquet(folder)
-    schema, stream = live_predictions(spark, folder)
-    windows.start_updates(windows.minute_counts(stream), out, checkpoint, availableNow=True).awaitTermination()
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    windows.start_minutes(stream, out, late, checkpoint, availableNow=True).awaitTermination()
     assert spark.read.parquet(out).select("batch_id").distinct().count() > 1
-    live = latest_rows(spark.read.parquet(out), ["minute"]).select("minute", "positive", "neutral", "negative")
-    batch = by_minute(spark.createDataFrame(rows, schema)).drop("minute_label")
-    assert sorted(live.collect()) == sorted(batch.collect())
+    live = windows.by_minute(windows.current(spark, out)).select("minute", "positive", "neutral", "negative")
+    batch = by_minute(spark.createDataFrame(rows, SCHEMA)).drop("minute_label")
+    assert sorted(live.collect()) == sorted(batch.select(live.columns).collect())
+    headline = windows.sliding_headline(windows.current(spark, out)).agg(F.sum("total_reviews"), F.max("avg_confidence")).first()
+    assert tuple(headline) == (5 * 90, 0.5)
 
 
-def test_late_rows_within_the_allowed_time_count(spark):
-    folder, out, checkpoint = (work_folder(spark, n) for n in ("in", "out", "c"))
-    schema = "processed_ts timestamp_ntz, label string, confidence double"
-    base = dt.datetime(2024, 1, 1, 12)
+def test_late_rows_count_and_are_noted(spark):
+    folder, out, late, checkpoint = (work_folder(spark, n) for n in ("in", "out", "late", "c"))
+    base = dt.datetime(2024, 1, 10)
 
-    def send(*minutes):
-        rows = [(base + dt.timedelta(minutes=m), "positive", 0.5) for m in minutes]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
-        live = windows.minute_counts(spark.readStream.schema(schema).parquet(folder), "10 minutes")
-        windows.start_updates(live, out, checkpoint, availableNow=True).awaitTermination()
+    def send(*days):
+        rows = [(base + dt.timedelta(days=d), "positive", 0.5) for d in days]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(SCHEMA).parquet(folder)
+        windows.start_minutes(stream, out, late, checkpoint, availableNow=True).awaitTermination()
 
-    send(0, 30)
-    send(25)
-    send(31, 1)
-    counted = {r.minute: r.positive for r in latest_rows(spark.read.parquet(out), ["minute"]).collect()}
-    assert counted == {base + dt.timedelta(minutes=m): 1 for m in (0, 25, 30, 31)}
+    send(0, -3)
+    send(-8, -0.5)
+    send(1, -9, -10)
+    counted = {r.minute: r.positive for r in windows.by_minute(windows.current(spark, out)).collect()}
+    assert counted == {base + dt.timedelta(days=d): 1 for d in (0, -3, -8, -0.5, 1, -9, -10)}
+    assert {r.batch_id: r.late_rows for r in spark.read.parquet(late).collect()} == {0: 0, 1: 1, 2: 2}
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -168,7 +198,24 @@ def test_shared_folder_comes_from_the_session(spark):
     assert work_folder(spark, "x") != work_folder(spark, "x")
 
 
-def test_only_small_scans_are_spread(spark, small):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(100, numPartitions=1), "id").rdd.getNumPartitions() == cores
-    assert spread(spark.range(100, numPartitions=2 * cores), "id").rdd.getNumPartitions() == 2 * cores
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        shared_folder(Session())
+
+
+def test_a_scope_deletes_its_tables(spark):
+    with work_scope(spark):
+        kept = stored(spark.range(3), "scoped")
+        path = kept.inputFiles()[0]
+        assert kept.count() == 3
+    assert not os.path.exists(path.removeprefix("file://"))
