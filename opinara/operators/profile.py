@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.bins import bin_edge, bin_no, bin_range
-from opinara.operators.quantiles import exact_quantiles, long_form
+from opinara.operators.quantiles import count_values, exact_quantiles
 
 GRID = 200
 
@@ -40,14 +40,17 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles, one row per column."""
-    moments = long_form(df, columns).groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.mean("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    counts = count_values(df, columns)
+    n = F.sum("n")
+    sums = counts.groupBy("column").agg(
+        n.alias("count"), (F.sum(F.col("n") * F.col("value")) / n).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")
     )
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    # One row per column name given.
+    apart = counts.join(F.broadcast(sums.select("column", "mean")), "column")
+    squares = apart.groupBy("column").agg(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), F.lit(2))).alias("squares"))
+    deviation = F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std")
+    moments = sums.join(squares, "column").select("column", "count", "mean", deviation, "min", "max")
+    quartiles = exact_quantiles(counts, [0.25, 0.5, 0.75])
     named = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
     wide = quartiles.groupBy("column").agg(
         *[F.max(F.when(F.col("share") == s, F.col("value"))).alias(name) for s, name in named.items()]

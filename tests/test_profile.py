@@ -8,13 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.operators import profile
-from opinara.operators.quantiles import exact_quantiles
+from opinara.operators.quantiles import count_values, exact_quantiles
 
 
 def column(spark, values):
     return spark.createDataFrame([(None if v is None else float(v),) for v in values], "v double").repartition(4)
 
 
+@pytest.mark.parametrize("small", [20_000, 3])
 @pytest.mark.parametrize(
     "values",
     [
@@ -25,14 +26,22 @@ def column(spark, values):
         np.array([1e12, 1.0, 2.0, 3.0, -1e12]),
     ],
 )
-def test_quantiles_are_exact(spark, values):
+def test_quantiles_are_exact(spark, values, small):
     shares = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    out = {r.share: r.value for r in exact_quantiles(column(spark, values), ["v"], shares).collect()}
+    out = {r.share: r.value for r in exact_quantiles(count_values(column(spark, values), ["v"]), shares, small).collect()}
     assert set(out) == set(shares)
     for s in shares:
         assert out[s] == pytest.approx(np.quantile(values, s), rel=1e-12, abs=1e-12)
 
 
+def test_a_million_distinct_values(spark):
+    """Ranges are cut until they are small: no window sorts more than a bound."""
+    df = spark.range(1_000_000).select((F.hash("id") + F.col("id") / 2e6).alias("v"))
+    rows = np.sort(df.toPandas()["v"].to_numpy())
+    found = exact_quantiles(count_values(df, ["v"]), [0.25, 0.5, 0.9], small=2_000)
+    assert {r.share: r.value for r in found.collect()} == pytest.approx({s: np.quantile(rows, s) for s in (0.25, 0.5, 0.9)})
+
+
 def test_describe_follows_pandas(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"a": rng.integers(0, 5, 500).astype(float), "b": rng.random(500)})
