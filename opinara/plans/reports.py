@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from opinara.operators import panels
 from opinara.operators.filters import recent
 from opinara.operators.projections import snippets
-from opinara.plans.fixtures import predictions, sql
+from opinara.plans.fixtures import predictions, sql, table
 from opinara.plans.registry import Registry
 from opinara.plans.scalars import BIN_NO_SQL, CARD_COLUMNS, CARD_SQL, LENGTH_BIN_SQL
 
@@ -115,6 +115,30 @@ def sentiment_by_reviewer(spark, sf_dir):
     return panels.top_by_key(predictions(spark, sf_dir, "label", "reviewerName", "processed_ts"), "reviewerName")
 
 
+@QUERIES.add(
+    "sentiment_by_customer",
+    sql(
+        f"""
+select customer, {COUNTS_SQL}, count(*) as total, max(processed_ts) as newest from by_order
+where {KNOWN_SQL} and customer <> '' group by 1 order by total desc, newest desc, 1 limit 10
+""",
+        by_order="""select 'C' || o_custkey as customer, o_orderdate::timestamp as processed_ts, case substr(o_orderpriority, 1, 1)
+          when '1' then 'negative' when '2' then 'negative' when '3' then 'neutral' when '5' then 'unknown'
+          else 'positive' end as label from orders""",
+    ),
+)
+def sentiment_by_customer(spark, sf_dir):
+    """The same over orders seen as reviews, whose number of keys grows with the table."""
+    rank = F.substring("o_orderpriority", 1, 1)
+    label = F.when(rank.isin("1", "2"), "negative").when(rank == "3", "neutral").when(rank == "5", "unknown").otherwise("positive")
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("processed_ts"),
+        label.alias("label"),
+    )
+    return panels.top_by_key(rows, "customer")
+
+
 @QUERIES.add("top_products", sql(f"""
 select asin, total from (select asin, count(*) as total, max(processed_ts) as newest from predictions
 where {KNOWN_SQL} and asin <> '' group by 1 order by total desc, newest desc, asin limit 10)
