@@ -74,6 +74,14 @@ def test_density_follows_the_definition(spark):
     assert [r.density for r in got] == pytest.approx(expected)
 
 
+def test_density_over_cells_is_close(spark):
+    values = np.random.default_rng(6).normal(size=2000)
+    exact, close = (
+        [r.density for r in profile.density(column(spark, values), F.col("v"), 40, c).orderBy("point").collect()] for c in (None, 500)
+    )
+    assert close == pytest.approx(exact, rel=0.05, abs=1e-3)
+
+
 def test_approximate_distinct_counts(spark):
     df = spark.range(10000).select((F.col("id") % 1000).alias("k"))
     estimate = profile.distinct_counts(df, ["k"], 0.02).first()["distinct"]
