@@ -10,8 +10,11 @@ from opinara.functions.ratings import sentiment_code, sentiment_text
 from opinara.functions.text import clean_train, snippet
 from opinara.schema import KEPT_FIELDS, REVIEW, UNKNOWN
 
-# Columns that the feature and model stages add.
+# Columns that the feature and model stages add; fixed values: the names stored tables may carry.
 MODEL_COLUMNS = [
+    "words",
+    "filtered_words",
+    "raw_features",
     "text_tokens",
     "kept_tokens",
     "token_counts",
