@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 from functools import cache
 from heapq import heappop, heappush
@@ -34,47 +35,83 @@ from opinara.llm.common import map_rows
 from opinara.llm.pieces import PieceEncoder, encoded
 
 #: Matches that a worker remembers, and the longest it does.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 LONGEST = 64
 
 
+BIT = [1 << i for i in range(256)]
+
+
 class RankQueue:
     """Positions by merge rank; the lowest rank first, of a rank the leftmost position.
 
     Bit ``r % 256`` of ``words[r // 256]`` tells that bucket r holds something, bit w of ``top`` that word w does.
     """
 
+    __slots__ = ("buckets", "top", "words")
+
     def __init__(self, ranks: int) -> None:
         self.buckets: dict[int, list[int]] = {}
         self.words = [0] * ((ranks >> 8) + 1)
         self.top = 0
 
+    def fill(self, pairs: list[int]) -> None:
+        """Push the rank of every position that has one (not -1)."""
+        buckets, words, top = self.buckets, self.words, self.top
+        for position, rank in enumerate(pairs):
+            if rank >= 0:
+                if rank in buckets:
+                    heappush(buckets[rank], position)
+                else:
+                    buckets[rank] = [position]
+                    w = rank >> 8
+                    words[w] |= BIT[rank & 255]
+                    top |= 1 << w
+        self.top = top
+
     def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            self.words[rank >> 8] |= 1 << (rank & 255)
-            self.top |= 1 << (rank >> 8)
+        if rank in self.buckets:
+            heappush(self.buckets[rank], position)
         else:
-            heappush(bucket, position)
+            self.buckets[rank] = [position]
+            w = rank >> 8
+            self.words[w] |= BIT[rank & 255]
+            self.top |= 1 << w
 
     def pop(self) -> tuple[int, int]:
         """The next rank and position, taken out; only while ``top`` is not 0."""
-        first = self.top & -self.top
-        w = first.bit_length() - 1
+        top = self.top
+        w = (top & -top).bit_length() - 1
         word = self.words[w]
-        bit = word & -word
-        rank = (w << 8) + bit.bit_length() - 1
+        r = (word & -word).bit_length() - 1
+        rank = (w << 8) + r
         bucket = self.buckets[rank]
         if len(bucket) > 1:
             return rank, heappop(bucket)
         del self.buckets[rank]
-        self.words[w] = word ^ bit
-        if word == bit:
-            self.top ^= first
+        word ^= BIT[r]
+        self.words[w] = word
+        if not word:
+            self.top = top & (top - 1)
         return rank, bucket[0]
 
 
+class Matches(dict):
+    """Packed ids of matches of the pattern, worked out when first asked for and remembered up to a bound."""
+
+    def __init__(self, codec: Codec) -> None:
+        self.codec = codec
+
+    def __missing__(self, match: str) -> bytes:
+        ids = self.codec.merged(match.encode())
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(match) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[match] = packed
+        return packed
+
+
 class Codec:
     """Encoder and decoder of one vocabulary of ranks."""
 
@@ -84,63 +121,58 @@ class Codec:
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
+        self.byte_pairs = {(a, b): self.ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)}
         self.decimals = [b"%d" % i for i in range(len(self.tokens))]
         self.split = regex.compile(pattern)
         self.queue = RankQueue(len(self.tokens))
-        self.known: dict[str, list[int]] = {}
+        self.known = Matches(self)
         self.pieces = PieceEncoder(lambda texts: [self.pack(t) for t in texts], self.pack)
 
     def merged(self, match: bytes) -> list[int]:
         """The ids of one match of the pattern."""
-        ranks, queue, n = self.ranks, self.queue, len(match)
-        whole = ranks.get(match)
+        whole = self.ranks.get(match)
         if whole is not None:
             return [whole]
+        rank_of, queue, n = self.ranks.get, self.queue, len(match)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         # The rank of the pair that starts at a position; -1: none, or no token starts there any more.
-        pair = [ranks.get(match[i : i + 2], -1) for i in range(n - 1)]
+        pair = list(map(self.byte_pairs.__getitem__, zip(match, match[1:], strict=False)))
         pair.append(-1)
-        for i, rank in enumerate(pair):
-            if rank >= 0:
-                queue.push(rank, i)
+        queue.fill(pair)
         while queue.top:
             rank, i = queue.pop()
             if pair[i] != rank:
                 continue  # stale
             gone = after[i]
             end = after[i] = after[gone]
-            pair[gone] = pair[i] = -1
+            pair[gone] = -1
             if end < n:
                 before[end] = i
-                new = pair[i] = ranks.get(match[i : after[end]], -1)
+                new = pair[i] = rank_of(match[i : after[end]], -1)
                 if new >= 0:
                     queue.push(new, i)
+            else:
+                pair[i] = -1
             left = before[i]
             if left >= 0:
-                new = pair[left] = ranks.get(match[left:end], -1)
+                new = pair[left] = rank_of(match[left:end], -1)
                 if new >= 0:
                     queue.push(new, left)
+        ranks = self.ranks
         out, i = [], 0
         while i < n:
             out.append(ranks[match[i : after[i]]])
             i = after[i]
         return out
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for match in self.split.findall(text):
-            ids = self.known.get(match)
-            if ids is None:
-                ids = self.merged(match.encode())
-                if len(match) <= LONGEST:
-                    if len(self.known) >= REMEMBERED:
-                        self.known.clear()
-                    self.known[match] = ids
-            out += ids
-        return out
-
     def pack(self, text: str) -> bytes:
-        return np.array(self.encode(text), "<u4").tobytes()
+        """The ids of a text, 4 bytes each, little-endian."""
+        if text.lstrip(" ").isalpha() and text[1:2] != " ":
+            return self.known[text]  # one match
+        return b"".join(map(self.known.__getitem__, self.split.findall(text)))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.pack(text), "<u4").tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))

@@ -4,20 +4,47 @@ The split pattern of the byte-level vocabularies cuts before every space that a
 visible character follows, and makes a single line feed between visible
 characters a match of its own. So in a text whose lines and words are set apart
 by exactly one line feed or space, each word with the space before it can be
-encoded alone, and words repeat. Any other text is encoded whole. Both ways give
-the same ids.
+encoded alone, and so can the signs right after its letters; words repeat. Any
+other text is encoded whole. Both ways give the same ids.
 """
 
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Callable, Iterable, Iterator
 
 #: All white space of any of the libraries.
 SPACE = re.compile(r"\s")
-#: Pieces that a worker remembers, and characters encoded together.
-REMEMBERED = 600_000
-BATCH_CHARS = 1 << 19
+#: Pieces in a generation of a worker's memory, and characters encoded together.
+REMEMBERED = 200_000
+#: Signs after a word are a match of their own; the apostrophe may begin another.
+MARKS = string.punctuation.replace("'", "")
+BATCH_CHARS = 1 << 20
+
+
+class Memory:
+    """What was worked out lately: two generations, of which the older one goes when the younger is full."""
+
+    def __init__(self, size: int = REMEMBERED) -> None:
+        self.size = size
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+
+    def unknown(self, keys: set[str]) -> list[str]:
+        """Those not known; all others are in ``young`` afterwards."""
+        young, old = self.young, self.old
+        out = []
+        for key in keys.difference(young):
+            if key in old:
+                young[key] = old[key]
+            else:
+                out.append(key)
+        return out
 
 
 class PieceEncoder:
@@ -29,18 +56,35 @@ class PieceEncoder:
 
     def __init__(self, spell: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes]) -> None:
         self.spell, self.whole = spell, whole
-        self.after_space: dict[str, bytes] = {}
-        self.at_start: dict[str, bytes] = {}
+        self.after_space, self.at_start = Memory(), Memory()
+        self.spelled = Memory()  # words without their signs, and signs
         (self.line_feed,) = spell(["\n"])
 
-    def learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> None:
-        new = [p for p in pieces if p not in known and p and not SPACE.search(p)]
-        known.update(zip(new, self.spell([before + p for p in new]), strict=True))
+    def learn(self, memory: Memory, pieces: set[str], before: str) -> None:
+        """Make all ``pieces`` known that hold no white space; each is spelled with ``before`` in front."""
+        plain, signed = {}, []
+        for piece in memory.unknown(pieces):
+            if piece.isalpha():
+                plain[piece] = before + piece
+            elif (word := piece.rstrip(MARKS)).isalpha():
+                signed.append((piece, before + word, piece[len(word) :]))
+            elif piece and not SPACE.search(piece):
+                plain[piece] = before + piece
+        strings = set(plain.values())
+        for _, word, signs in signed:
+            strings.add(word)
+            strings.add(signs)
+        new = self.spelled.unknown(strings)
+        spelled, known = self.spelled.young, memory.young
+        spelled.update(zip(new, self.spell(new), strict=True))
+        for piece, string in plain.items():
+            known[piece] = spelled[string]
+        for piece, word, signs in signed:
+            known[piece] = spelled[word] + spelled[signs]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for known in (self.after_space, self.at_start):
-            if len(known) > REMEMBERED:
-                known.clear()
+        for memory in (self.after_space, self.at_start, self.spelled):
+            memory.age()
         cut = [[line.split(" ") for line in text.split("\n")] for text in texts]
         starts, rest = set(), set()
         for lines in cut:
@@ -49,13 +93,13 @@ class PieceEncoder:
                 rest.update(line[1:])
         self.learn(self.at_start, starts, "")
         self.learn(self.after_space, rest, " ")
-        out, at_start, after_space = [], self.at_start, self.after_space.__getitem__
+        out, at_start, after_space = [], self.at_start.young, self.after_space.young.__getitem__
         for text, lines in zip(texts, cut, strict=True):
             if not text:
                 out.append(b"")
                 continue
             try:
-                done = (at_start[line[0]] + b"".join(map(after_space, line[1:])) for line in lines)
+                done = [at_start[line[0]] + b"".join(map(after_space, line[1:])) for line in lines]
                 out.append(self.line_feed.join(done))
             except KeyError:  # white space of another form
                 out.append(self.whole(text))
