@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from opinara.operators import panels, profile
 from opinara.operators.filters import recent, with_text
 from opinara.operators.projections import with_cleaned, with_sentiment
 from opinara.operators.sampling import balanced_splits, repeat_rows
-from opinara.session import build_session, stored
+from opinara.session import build_session, stored, work_scope
 from opinara.sources.messages import file_stream, send_to_files, send_to_topic, to_messages, topic_stream
 from opinara.sources.tables import scan_parquet, scan_predictions, scan_reviews, sink_json, sink_parquet
 from opinara.streaming.replay import PAUSE
@@ -138,8 +137,8 @@ def realtime_report(predictions: DataFrame, tie: str, as_of: Column | None = Non
 
 
 def offline_report(predictions: DataFrame, tie: str) -> dict[str, DataFrame]:
-    """Totals, cards and all panels over every prediction. The panels share one scan, kept on disk once made."""
-    shown = panels.all_panels(predictions).persist(StorageLevel.MEMORY_AND_DISK)
+    """Totals, cards and all panels over every prediction. The panels share one scan and are written once made."""
+    shown = stored(panels.all_panels(predictions), "panels")
 
     def panel(name: str) -> DataFrame:
         return shown.filter(F.col("panel") == name).drop("panel", "newest", "rank")
@@ -182,6 +181,12 @@ def main(arguments: list[str] | None = None) -> None:
     chosen = parser.parse_args(arguments)
 
     spark = build_session()
+    with work_scope(spark):
+        run(spark, chosen)
+
+
+def run(spark: SparkSession, chosen: argparse.Namespace) -> None:
+    """One job; its intermediate tables go when it has ended."""
     if chosen.job == "profile":
         for name, table in profile_reviews(scan_reviews(spark, chosen.reviews)).items():
             sink_parquet(table, f"{chosen.folder}/{name}")

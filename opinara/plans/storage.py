@@ -100,7 +100,14 @@ def export_json_query(spark, sf_dir):
     return scan_json(spark, path, test.schema)
 
 
-@QUERIES.add("stream_source", sql("select asin, count(*) as n from reviews group by asin"))
+@QUERIES.add(
+    "stream_source",
+    sql("""
+select asin, count(*) as n, sum(coalesce(length("reviewText"), 0)) as characters, sum(helpful_votes) as votes,
+  sum(overall::double) as stars, count(distinct "reviewerID") as reviewers, min("reviewTime") as first_time
+from reviews group by asin
+"""),
+)
 def stream_source_query(spark, sf_dir):
     path = work_folder(spark, "messages")
     send_to_files(to_messages(reviews(spark, sf_dir, "helpful", *REVIEW_FIELDS, "sentiment"), F.lit(SENT_AT)), path)
@@ -113,7 +120,14 @@ def stream_source_query(spark, sf_dir):
         .start()
     )
     query.awaitTermination()
-    return scan_parquet(spark, out).groupBy("asin").agg(F.count(F.lit(1)).alias("n"))
+    return scan_parquet(spark, out).groupBy("asin").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length("reviewText")).alias("characters"),
+        F.sum(F.get("helpful", F.lit(0))).alias("votes"),
+        F.sum(F.col("overall").cast("double")).alias("stars"),
+        F.count_distinct("reviewerID").alias("reviewers"),
+        F.min("reviewTime").alias("first_time"),
+    )
 
 
 @QUERIES.add(

@@ -60,9 +60,17 @@ def stream_score(spark, sf_dir):
     )
 
 
-@QUERIES.add("stream_restart", sql("""
-select asin, count(*) as n from reviews where "reviewText" <> '' group by asin
-"""))
+@QUERIES.add(
+    "stream_restart",
+    sql(
+        """
+select asin, count(*) as n, sum(length("reviewText")) as characters, round(sum(s.confidence), 2) as confidence,
+  count(*) filter (s.label = 'positive') as positive
+from scored s join reviews using (doc_id) group by asin
+""",
+        **SCORED_VIEWS,
+    ),
+)
 def stream_restart(spark, sf_dir):
     """Half of the reviews, a restart, the other half, and a restart with nothing new."""
     df = reviews(spark, sf_dir, "doc_id", *FIELDS)
@@ -72,7 +80,12 @@ def stream_restart(spark, sf_dir):
             send_to_files(to_messages(df.filter(F.col("doc_id") % 2 == run), F.lit(SENT_AT)), path)
 
     paths = _scored(spark, sf_dir, send, runs=3)
-    return scan_predictions(spark, paths["predictions"]).groupBy("asin").agg(F.count(F.lit(1)).alias("n"))
+    return scan_predictions(spark, paths["predictions"]).groupBy("asin").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length("reviewText")).alias("characters"),
+        F.round(F.sum(F.round("confidence", 4)), 2).alias("confidence"),
+        F.count_if(F.col("label") == "positive").alias("positive"),
+    )
 
 
 BATCHES = 5
