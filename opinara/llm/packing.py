@@ -28,6 +28,7 @@ each. An empty table gives no rows. The order in a queue is that of the files.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -46,8 +47,8 @@ QUANTUM = 256
 #: Sources with a smaller share than one in this many share a queue.
 QUEUES = 256
 END = 1
-#: Strings spelled in one call.
-TOGETHER = 4000
+#: How byte-level vocabularies write a space.
+SPACE = "\u0120"
 
 
 @cache
@@ -62,23 +63,19 @@ def piece_encoder(path: str) -> PieceEncoder:
     def whole(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    (line_feed,) = np.frombuffer(whole("\n"), "<u4").tolist()
-
-    def spell(texts: list[str]) -> list[bytes]:
-        """Texts without white space but for one leading space: a line feed between two is an id of its own."""
-        if texts == ["\n"]:
-            return [whole("\n")]
-        out: list[bytes] = []
-        for i in range(0, len(texts), TOGETHER):
-            packed = whole("\n".join(texts[i : i + TOGETHER]))
-            ends = np.flatnonzero(np.frombuffer(packed, "<u4") == line_feed) * 4
-            start = 0
-            for end in [*ends.tolist(), len(packed)]:
-                out.append(packed[start:end])
-                start = end + 4
-        return out
-
-    return PieceEncoder(spell, whole)
+    # A piece takes the library's split and model without the offsets and masks that encode() makes.
+    split, model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+
+    def one(text: str) -> bytes:
+        """A piece without white space but for one leading space."""
+        if text.isascii() and (text.isalpha() or text[1:].isalpha() and text[0] == " "):
+            matches = [text.replace(" ", SPACE)]  # letters are one match, and stand for themselves
+        else:
+            matches = [match for match, _ in split(text)]
+        ids = [token.id for match in matches for token in model(match)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    return PieceEncoder(lambda texts: list(map(one, texts)), whole)
 
 
 TOKENS = pa.schema(
