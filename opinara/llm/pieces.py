@@ -4,8 +4,10 @@ The split pattern of the byte-level vocabularies cuts before every space that a
 visible character follows, and makes a single line feed between visible
 characters a match of its own. So in a text whose lines and words are set apart
 by exactly one line feed or space, each word with the space before it can be
-encoded alone, and so can the signs right after its letters; words repeat. Any
-other text is encoded whole. Both ways give the same ids.
+encoded alone, and so can the signs right after its letters; words repeat. Other
+texts are first cut at white space as the pattern would. Control characters that
+not all libraries take for white space send a text to be encoded whole. All ways
+give the same ids.
 """
 
 from __future__ import annotations
@@ -14,8 +16,11 @@ import re
 import string
 from collections.abc import Callable, Iterable, Iterator
 
-#: All white space of any of the libraries.
+#: All white space of any of the libraries, and what only some of them take for it.
 SPACE = re.compile(r"\s")
+UNSURE = re.compile("[\x1c-\x1f\u180e]")
+#: Where the pattern cuts around white space: between its parts each stands alone.
+AROUND_SPACE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Pieces in a generation of a worker's memory, and characters encoded together.
 REMEMBERED = 200_000
 #: Signs after a word are a match of their own; the apostrophe may begin another.
@@ -58,6 +63,7 @@ class PieceEncoder:
         self.spell, self.whole = spell, whole
         self.after_space, self.at_start = Memory(), Memory()
         self.spelled = Memory()  # words without their signs, and signs
+        self.loose = Memory()  # parts of texts with white space of any form
         (self.line_feed,) = spell(["\n"])
 
     def learn(self, memory: Memory, pieces: set[str], before: str) -> None:
@@ -83,7 +89,7 @@ class PieceEncoder:
             known[piece] = spelled[word] + spelled[signs]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for memory in (self.after_space, self.at_start, self.spelled):
+        for memory in (self.after_space, self.at_start, self.spelled, self.loose):
             memory.age()
         cut = [[line.split(" ") for line in text.split("\n")] for text in texts]
         starts, rest = set(), set()
@@ -102,9 +108,19 @@ class PieceEncoder:
                 done = [at_start[line[0]] + b"".join(map(after_space, line[1:])) for line in lines]
                 out.append(self.line_feed.join(done))
             except KeyError:  # white space of another form
-                out.append(self.whole(text))
+                out.append(self.parts(text))
         return out
 
+    def parts(self, text: str) -> bytes:
+        """The ids of a text with any white space."""
+        if UNSURE.search(text):
+            return self.whole(text)
+        cut = AROUND_SPACE.findall(text)
+        new = self.loose.unknown(set(cut))
+        known = self.loose.young
+        known.update(zip(new, self.spell(new), strict=True))
+        return b"".join(map(known.__getitem__, cut))
+
 
 def encoded(rows: Iterable[tuple], encoder: PieceEncoder) -> Iterator[tuple]:
     """Each row, whose last value is its text, with the packed ids in its place."""

@@ -28,7 +28,7 @@ def ids_of(tokenizer, text):
 
 def test_pieces_spell_as_the_library(tokenizer):
     rng = random.Random(31)
-    texts = [t or "" for _, t in ODD] + ["".join(rng.choices("ab é\n\t 9.'s", k=40)) for _ in range(500)]
+    texts = [t or "" for _, t in ODD] + ["a\n\nb  c \t d\n", "\n\n", "  x", "it's\n\n'tis", "tab\there "] + ["".join(rng.choices("ab é\n\t 9.'s \u3000\x85\x1c\u180e", k=40)) for _ in range(500)]
     for text, packed in zip(texts, piece_encoder(PATH).encode(texts), strict=True):
         assert np.frombuffer(packed, "<u4").tolist() == ids_of(tokenizer, text)[:-1]
 
