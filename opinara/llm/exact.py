@@ -11,10 +11,12 @@ keys.
 
 On Spark. The texts are read once and hashed; only (id, digest) is written. Each
 task first reduces its own rows to live digests, so that a group that holds a
-third of all rows reaches the shuffle as one row per task. The live digests are
-then dealt by digest and merged by the same index. Rows meet their group in a
-join by digest, which only groups of two and more take part in; adaptive
-execution splits its hot keys.
+third of all rows reaches the shuffle as a few rows per task; an index that has
+grown to ``LIVE_ROWS`` is given out and a new one begun. The live digests are
+then dealt by digest, sorted by their first byte, and merged by one index per
+byte. So no index holds more than a bounded part. Rows meet their group in a join
+by digest, which only groups of two and more take part in; adaptive execution
+splits its hot keys.
 
 Defined results. A null text is an empty one. A null id is smaller than any
 other. Rows that repeat an id and its text are one document: all get the same
@@ -35,7 +37,8 @@ from opinara.llm.common import map_rows, row_hash, stored, utf8
 
 SLOTS = 4
 KICKS = 200
-FINGERPRINT_BITS = 16
+#: Entries after which a task gives out what it has so far.
+LIVE_ROWS = 100_000
 
 
 class CuckooIndex:
@@ -51,6 +54,7 @@ class CuckooIndex:
         self.content: list[list[list]] = [[] for _ in range(buckets)]
         self.random = random.Random(42)
         self.resized = 0
+        self.size = 0
 
     def place(self, digest: bytes) -> tuple[int, int]:
         """The short tag, never 0, and the first bucket."""
@@ -76,9 +80,11 @@ class CuckooIndex:
         if at is None:
             return None
         self.fingerprints[at[0]].pop(at[1])
+        self.size -= 1
         return self.content[at[0]].pop(at[1])
 
     def insert(self, entry: list) -> None:
+        self.size += 1
         tag, bucket = self.place(entry[0])
         for b in (bucket, self.other(tag, bucket)):
             if len(self.content[b]) < SLOTS:
@@ -127,12 +133,20 @@ def _digests(rows: Iterable[tuple]) -> Iterator[tuple]:
         yield doc_id, row, hashlib.sha256(text.lower()).digest()
 
 
-def _live(rows: Iterable[tuple]) -> Iterator[tuple]:
-    index = CuckooIndex()
-    for digest, doc_id, count in rows:
-        index.add(digest, doc_id, count)
-    for entry in index:
-        yield tuple(entry)
+def _live(most: int | None):
+    """Merge ``bucket, digest, doc_id, count`` rows; give out the index when the bucket changes or it holds ``most``."""
+
+    def run(rows: Iterable[tuple]) -> Iterator[tuple]:
+        index, current = CuckooIndex(), None
+        for bucket, digest, doc_id, count in rows:
+            if index.size and (bucket != current or most and index.size >= most):
+                yield from map(tuple, index)
+                index = CuckooIndex()
+            current = bucket
+            index.add(digest, doc_id, count)
+        yield from map(tuple, index)
+
+    return run
 
 
 DIGESTS = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("digest", pa.binary())])
@@ -149,8 +163,11 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def live_digests(rows: DataFrame) -> DataFrame:
     """``digest, keep_id, group_size``: one row for each distinct digest."""
-    own = map_rows(rows.select("digest", "doc_id", F.lit(1).cast("long")), _live, LIVE, LIVE_DDL)
-    return map_rows(own.repartition("digest"), _live, LIVE, LIVE_DDL)
+    whole = F.lit(None).cast("binary")
+    own = map_rows(rows.select(whole, "digest", "doc_id", F.lit(1).cast("long")), _live(LIVE_ROWS), LIVE, LIVE_DDL)
+    bucketed = own.select(F.substring("digest", 1, 1).alias("bucket"), "digest", "keep_id", "group_size")
+    bucketed = bucketed.repartition("digest").sortWithinPartitions("bucket")
+    return map_rows(bucketed, _live(None), LIVE, LIVE_DDL)
 
 
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

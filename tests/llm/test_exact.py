@@ -6,6 +6,7 @@ from collections import defaultdict
 
 from llm_cases import DOCS, ODD
 
+from opinara.llm import exact
 from opinara.llm.exact import CuckooIndex, drop_duplicates, exact_duplicates
 
 
@@ -29,6 +30,11 @@ def test_against_brute_force(odd):
     assert sorted(map(tuple, exact_duplicates(odd).drop("row_hash").collect()), key=str) == expected(ODD)
 
 
+def test_an_index_given_out_early_changes_nothing(odd, monkeypatch):
+    monkeypatch.setattr(exact, "LIVE_ROWS", 2)
+    assert sorted(map(tuple, exact_duplicates(odd).drop("row_hash").collect()), key=str) == expected(ODD)
+
+
 def test_empty_table(none):
     assert exact_duplicates(none).count() == 0
     assert drop_duplicates(none).count() == 0
@@ -47,12 +53,13 @@ def test_index_grows_and_deletes():
     digests = [rng.randbytes(32) for _ in range(3000)]
     for i, d in enumerate(digests):
         index.add(d, i, 1)
-    assert index.resized > 0
+    assert index.resized > 0 and index.size == 3000
     assert all(index.find(d) for d in digests)
     for d in digests[::2]:
         assert index.delete(d)[0] == d
     assert [index.find(d) is None for d in digests] == [i % 2 == 0 for i in range(3000)]
     assert index.delete(digests[0]) is None
+    assert index.size == 1500
 
 
 def test_equal_fingerprints_are_told_apart():
