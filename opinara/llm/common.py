@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from opinara.session import stored
 
-__all__ = ["fresh", "map_rows", "on_workers", "row_hash", "stored", "table", "text_blocks", "utf8"]
+__all__ = ["fresh", "map_rows", "on_workers", "row_hash", "slices", "stored", "table", "text_blocks", "utf8"]
 
 #: The folder that holds the package.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -46,6 +46,8 @@ def fresh(df: DataFrame, name: str) -> str:
 
 #: Rows that go to one output batch at most.
 ROWS = 4096
+#: Rows of an input batch that are made plain values together.
+SLICE = 256
 
 
 def map_rows(df: DataFrame, make: Callable[..., Iterable[tuple]], schema: pa.Schema, ddl: str) -> DataFrame:
@@ -55,7 +57,9 @@ def map_rows(df: DataFrame, make: Callable[..., Iterable[tuple]], schema: pa.Sch
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        rows = (
+            row for batch in batches for part in slices(batch) for row in zip(*(c.to_pylist() for c in part.columns), strict=True)
+        )
         out: list[tuple] = []
         for row in make(rows):
             out.append(row)
@@ -68,6 +72,11 @@ def map_rows(df: DataFrame, make: Callable[..., Iterable[tuple]], schema: pa.Sch
     return on_workers(df).mapInArrow(run, ddl)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, so that few of its rows are plain values at a time."""
+    return (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE))
+
+
 def on_workers(df: DataFrame) -> DataFrame:
     """``df``, with this package's place known to Python workers on the same machine.
 

@@ -23,13 +23,15 @@ import time
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import fresh, map_rows, on_workers, utf8
+from opinara.llm.common import fresh, map_rows, on_workers, slices, utf8
 
 #: Texts of each partition on which all rules are timed.
 SAMPLE = 64
@@ -42,6 +44,7 @@ DUPLICATE_LINE_SHARE = 0.5
 MEAN_WORD = (2.0, 20.0)
 SHOUTED_SHARE = 0.6
 LEAST_LETTERS = 0.5
+STUTTER_SHARE = 0.3
 
 NOT_LETTERS = bytes(b for b in range(128) if not chr(b).isalpha())
 NOT_UPPER = bytes(b for b in range(256) if not (b < 128 and chr(b).isupper()))
@@ -86,6 +89,11 @@ class Text:
     def n_repeat_words(self) -> int:
         return repeated_words(self.words)
 
+    @cached_property
+    def n_stutters(self) -> int:
+        """Words equal to the one before."""
+        return sum(map(eq, self.words, islice(self.words, 1, None)))
+
     @cached_property
     def upper(self) -> int:
         return len(self.text.translate(None, NOT_UPPER))
@@ -153,9 +161,13 @@ def few_letters(t: Text) -> bool:
     return len(t.joined.translate(None, NOT_LETTERS)) < LEAST_LETTERS * len(t.joined)
 
 
+def stuttering(t: Text) -> bool:
+    return t.n_stutters > STUTTER_SHARE * t.n_words
+
+
 Rule = Callable[[Text], bool]
 BASE: tuple[Rule, ...] = (too_short, repetitive)
-RULES: tuple[Rule, ...] = (*BASE, symbolic, repeated_lines, odd_words, shouting, few_letters)
+RULES: tuple[Rule, ...] = (*BASE, symbolic, repeated_lines, odd_words, shouting, few_letters, stuttering)
 
 
 class Cascade:
@@ -215,7 +227,7 @@ def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cascade = Cascade(rules)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             kept = [cascade.keeps(Text(t)) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield batch.select(range(batch.num_columns - 1)).filter(pa.array(kept, pa.bool_()))
 
@@ -246,12 +258,14 @@ base as (
     coalesce(n_repeat_words, 0) as n_repeat_words,
     length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper, length(regexp_replace(t, '[^a-z]', '', 'g')) as n_lower,
     strlen(regexp_replace(array_to_string(words, ''), '[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]', '', 'g')) as n_letters,
-    strlen(array_to_string(words, '')) as n_bytes
+    strlen(array_to_string(words, '')) as n_bytes,
+    len(list_filter(range(1, len(words)), lambda i: words[i] = words[i + 1])) as n_stutters
   from w left join lines using (doc_id) left join places using (doc_id))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
   not (n_words < 20 or 100 * n_repeat_words > 30 * n_words or n_symbols > 0.3::double * n_words
     or n_dup_lines > 0.5::double * n_lines or word_chars < 2.0::double * n_words or word_chars > 20.0::double * n_words
-    or n_upper > 0.6::double * (n_upper + n_lower) or n_letters < 0.5::double * n_bytes) as kept
+    or n_upper > 0.6::double * (n_upper + n_lower) or n_letters < 0.5::double * n_bytes
+    or n_stutters > 0.3::double * n_words) as kept
 from base
 """

@@ -41,12 +41,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import fresh, map_rows, on_workers, row_hash, stored, utf8
+from opinara.llm.common import fresh, map_rows, on_workers, row_hash, slices, stored, utf8
 
 WINDOW = 50
 GRAM = 10
 #: Words whose hashes a worker remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 
 
 class WordHashes(dict):
@@ -221,7 +221,7 @@ def remove_substrings(docs: DataFrame, text: str = "text", length: str = "n_char
     columns, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts, lengths = batch.column(text).to_pylist(), None
             if length in columns:
                 lengths = batch.column(length).to_pylist()
