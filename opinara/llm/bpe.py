@@ -35,7 +35,7 @@ from opinara.llm.common import map_rows
 from opinara.llm.pieces import PieceEncoder, encoded
 
 #: Matches that a worker remembers, and the longest it does.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 LONGEST = 64
 
 

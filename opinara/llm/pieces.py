@@ -62,34 +62,33 @@ class PieceEncoder:
     def __init__(self, spell: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes]) -> None:
         self.spell, self.whole = spell, whole
         self.after_space, self.at_start = Memory(), Memory()
-        self.spelled = Memory()  # words without their signs, and signs
+        self.signs = Memory()
         self.loose = Memory()  # parts of texts with white space of any form
         (self.line_feed,) = spell(["\n"])
 
     def learn(self, memory: Memory, pieces: set[str], before: str) -> None:
-        """Make all ``pieces`` known that hold no white space; each is spelled with ``before`` in front."""
-        plain, signed = {}, []
+        """Make all ``pieces`` known that hold no white space; each is spelled with ``before`` in front.
+
+        Of a piece with signs after its letters, the word becomes known as well.
+        """
+        words, signed = set(), []
         for piece in memory.unknown(pieces):
             if piece.isalpha():
-                plain[piece] = before + piece
+                words.add(piece)
             elif (word := piece.rstrip(MARKS)).isalpha():
-                signed.append((piece, before + word, piece[len(word) :]))
+                signed.append((piece, word, piece[len(word) :]))
             elif piece and not SPACE.search(piece):
-                plain[piece] = before + piece
-        strings = set(plain.values())
-        for _, word, signs in signed:
-            strings.add(word)
-            strings.add(signs)
-        new = self.spelled.unknown(strings)
-        spelled, known = self.spelled.young, memory.young
-        spelled.update(zip(new, self.spell(new), strict=True))
-        for piece, string in plain.items():
-            known[piece] = spelled[string]
+                words.add(piece)
+        words.update(memory.unknown({word for _, word, _ in signed}))
+        known, spelled = memory.young, self.signs.young
+        known.update(zip(words, self.spell([before + word for word in words]), strict=True))
+        signs = self.signs.unknown({signs for _, _, signs in signed})
+        spelled.update(zip(signs, self.spell(signs), strict=True))
         for piece, word, signs in signed:
-            known[piece] = spelled[word] + spelled[signs]
+            known[piece] = known[word] + spelled[signs]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for memory in (self.after_space, self.at_start, self.spelled, self.loose):
+        for memory in (self.after_space, self.at_start, self.signs, self.loose):
             memory.age()
         cut = [[line.split(" ") for line in text.split("\n")] for text in texts]
         starts, rest = set(), set()
