@@ -16,9 +16,13 @@ task waits for another, and deficits carry over windows and partitions exactly.
 On Spark. The texts are read once; the ids are written with each row's place
 among its task's tokens of that source. Sums by task and source, added up in
 two steps, turn that into places in the queue. Then each row works out its own
-pieces: no row is moved, sorted or grouped. A source with less than 1/256 of
-all tokens shares one queue with the others like it, so there are at most 257
-queues, and only their totals reach the driver.
+pieces: no row is moved, sorted or grouped. A source has a queue of its own if
+it has 1/256 of all tokens or more, or is named in the targets. The others share
+one queue, in which their blocks are dealt in turn too: block i of a source's n
+stands at (i + phase) / n of the queue, with a phase by source, so each of them
+is spread evenly over all of it. Their places are sums over a written table of
+blocks, and their rows are cut at blocks and joined with it. Only the totals of
+the other queues, at most 257 and the named ones, reach the driver.
 
 Defined results. A null text is an empty one: a document of one token, the end
 token. A null source is a source of its own. Rows that repeat an id are packed
@@ -44,8 +48,10 @@ from opinara.llm.pieces import PieceEncoder, encoded
 
 LENGTH = 2048
 QUANTUM = 256
-#: Sources with a smaller share than one in this many share a queue.
+#: Sources with a smaller share than one in this many share a queue, in which they are mixed block by block.
 QUEUES = 256
+#: Stretches of the shared queue whose blocks are put in order together.
+STRETCHES = 1 << 16
 END = 1
 #: How byte-level vocabularies write a space.
 SPACE = "\u0120"
@@ -162,14 +168,17 @@ class Deal:
 
 
 def deal(rows: DataFrame, targets: dict[str, int] | None = None) -> tuple[Deal, dict[str, int]]:
-    """The deal for the written ``tokens``, and each large source's queue; the others take the last queue.
+    """The deal for the written ``tokens``, and the queue of each source that has one; the others take the last queue.
 
     ``targets`` are integer weights by source; the shared queue has the key "" and a source that is not
-    named has weight 1. At most 257 rows reach the driver.
+    named has weight 1. At most 257 rows and the named sources reach the driver.
     """
     sums = rows.groupBy("source").agg(F.sum("length").alias("total"))
     total = rows.agg(F.sum("length")).first()[0] or 0
-    large = sorted((r.source, r.total) for r in sums.filter(F.col("total") * QUEUES >= total).collect())
+    own = F.col("total") * QUEUES >= total
+    if targets:
+        own = own | F.col("source").isin([f"={name}" for name in targets if name])
+    large = sorted((r.source, r.total) for r in sums.filter(own).collect())
     queues = {source: i for i, (source, _) in enumerate(large)}
     totals = [t for _, t in large]
     rest = total - sum(totals)
@@ -181,23 +190,65 @@ def deal(rows: DataFrame, targets: dict[str, int] | None = None) -> tuple[Deal,
     return Deal(totals, weights + [max(1, targets.get("", 1))] * bool(rest)), queues
 
 
-def placed(rows: DataFrame, queues: dict[str, int]) -> DataFrame:
-    """``rows`` with ``queue`` and ``start``, the place of each row's first token in its queue."""
-    shared = len(queues)
-    cases = F.lit(shared)
-    for source, queue in queues.items():
-        cases = F.when(F.col("source") == source, queue).otherwise(cases)
-    sums = rows.groupBy("part", "source").agg(F.sum("length").alias("tokens")).withColumn("queue", cases)
-    within = Window.partitionBy("queue", "part").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    sums = stored(sums.withColumn("before", F.coalesce(F.sum("tokens").over(within), F.lit(0))), "sums-by-part")
-    parts = sums.groupBy("queue", "part").agg(F.sum("tokens").alias("tokens"))
-    along = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("queue", "part", F.coalesce(F.sum("tokens").over(along), F.lit(0)).alias("earlier"))
-    bases = sums.join(parts, ["queue", "part"]).select("part", "source", "queue", (F.col("before") + F.col("earlier")).alias("base"))
+def placed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``start``, the place of each row's first token among those of its source."""
+    sums = stored(rows.groupBy("part", "source").agg(F.sum("length").alias("tokens")), "sums-by-part")
+    along = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("part", "source", F.coalesce(F.sum("tokens").over(along), F.lit(0)).alias("base"))
     bases = stored(bases, "places-by-part")
     return rows.join(bases, ["part", "source"]).withColumn("start", F.col("base") + F.col("place"))
 
 
+def shared_blocks(rows: DataFrame, quantum: int) -> DataFrame:
+    """``source, block, base`` of the ``rows``' sources: where each block begins in the queue they share."""
+    sums = rows.groupBy("source").agg(F.sum("length").alias("total"))
+    count = F.ceil(F.col("total") / quantum)
+    blocks = sums.select("source", "total", count.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("block"))
+    phase = F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / (1 << 20)
+    time = (F.col("block") + phase) / F.col("n")
+    size = F.least(F.lit(quantum), F.col("total") - F.col("block") * quantum)
+    blocks = blocks.select("source", "block", time.alias("time"), size.alias("tokens"))
+    blocks = stored(blocks.withColumn("stretch", F.floor(F.col("time") * STRETCHES)), "blocks")
+    stretches = blocks.groupBy("stretch").agg(F.sum("tokens").alias("tokens"))
+    along = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = stretches.select("stretch", F.coalesce(F.sum("tokens").over(along), F.lit(0)).alias("earlier"))
+    within = Window.partitionBy("stretch").orderBy("time", "source", "block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.withColumn("before", F.coalesce(F.sum("tokens").over(within), F.lit(0)))
+    return stored(before.join(earlier, "stretch").select("source", "block", (F.col("before") + F.col("earlier")).alias("base")), "shared-blocks")
+
+
+def cut_at_blocks(rows: DataFrame, quantum: int) -> DataFrame:
+    """The ``placed`` rows of sources that share a queue, one for each block they reach into, as ``queued`` gives them."""
+    first, last = F.floor(F.col("start") / quantum), F.floor((F.col("start") + F.col("length") - 1) / quantum)
+    cut = rows.withColumn("block", F.explode(F.sequence(first, last)))
+    cut = cut.withColumn("skip", F.greatest(F.lit(0), F.col("block") * quantum - F.col("start")))
+    cut = cut.withColumn("size", F.least("length", (F.col("block") + 1) * quantum - F.col("start")) - F.col("skip"))
+    bytes_each = F.when(F.col("wide"), 4).otherwise(2)
+    own = F.substring("ids", (F.col("skip") * bytes_each + 1).cast("int"), (F.col("size") * bytes_each).cast("int"))
+    cut = cut.select("doc_id", "source", "block", "start", "skip", "size", "length", "wide", own.alias("ids"))
+    at = F.col("base") + F.col("start") + F.col("skip") - F.col("block") * quantum
+    return cut.join(shared_blocks(rows, quantum), ["source", "block"]).select(
+        "doc_id", at.alias("start"), "skip", "size", "length", "wide", "ids"
+    )
+
+
+def queued(rows: DataFrame, plan: Deal, queues: dict[str, int]) -> DataFrame:
+    """``doc_id, queue, start, skip, size, length, wide, ids``: runs of ids and their place in a queue.
+
+    ``skip`` tokens of the row's ``length`` come before the run of ``size``.
+    """
+    columns = ("doc_id", "queue", "start", "skip", "size", "length", "wide", "ids")
+    cases = F.lit(None).cast("int")
+    for source, queue in queues.items():
+        cases = F.when(F.col("source") == source, queue).otherwise(cases)
+    rows = placed(rows).withColumn("queue", cases)
+    whole = rows.filter("queue is not null").withColumns({"skip": F.lit(0).cast("long"), "size": F.col("length")}).select(*columns)
+    if len(plan.totals) == len(queues):
+        return whole
+    shared = cut_at_blocks(rows.filter("queue is null"), plan.quantum).withColumn("queue", F.lit(len(queues)))
+    return whole.union(shared.select(*columns))
+
+
 PIECES = pa.schema([("doc_id", pa.int64())] + [(c, pa.int64()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -208,18 +259,17 @@ def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, with
     plan, queues = deal(rows, targets)
 
     def run(found: Iterable[tuple]) -> Iterator[tuple]:
-        for doc_id, queue, start, length, wide, packed in found:
+        for doc_id, queue, start, skip, size, length, wide, packed in found:
             ids = packed if wide else np.frombuffer(packed, "<u2").astype("<u4").tobytes()
-            for a, b, place in plan.pieces(queue, start, length):
+            for a, b, place in plan.pieces(queue, start, size):
                 own = ids[4 * a : 4 * b]
-                row = (doc_id, a, b - a, zlib.crc32(own), length, place // plan.length, place % plan.length)
+                row = (doc_id, skip + a, b - a, zlib.crc32(own), length, place // plan.length, place % plan.length)
                 yield (*row, np.frombuffer(own, "<i4")) if with_ids else row
 
     schema, ddl = PIECES, PIECES_DDL
     if with_ids:
         schema, ddl = schema.append(pa.field("ids", pa.list_(pa.int32()))), ddl + ", ids array<int>"
-    ready = placed(rows, queues).select("doc_id", "queue", "start", "length", "wide", "ids")
-    return map_rows(ready, run, schema, ddl)
+    return map_rows(queued(rows, plan, queues), run, schema, ddl)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
