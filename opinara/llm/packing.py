@@ -32,6 +32,7 @@ each. An empty table gives no rows. The order in a queue is that of the files.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -64,7 +65,7 @@ def piece_encoder(path: str) -> PieceEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
 
     def whole(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -81,7 +82,9 @@ def piece_encoder(path: str) -> PieceEncoder:
         ids = [token.id for match in matches for token in model(match)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    return PieceEncoder(lambda texts: list(map(one, texts)), whole)
+    # The split and the model know nothing of added tokens.
+    apart = re.compile("|".join(map(re.escape, added))) if added else None
+    return PieceEncoder(lambda texts: list(map(one, texts)), whole, apart)
 
 
 TOKENS = pa.schema(

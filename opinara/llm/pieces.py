@@ -56,11 +56,11 @@ class PieceEncoder:
     """Packed ids of texts, 4 bytes each, little-endian.
 
     ``spell`` gives the packed ids of each string of a list; ``whole`` those of
-    any text.
+    any text. A text in which ``apart`` is found is always encoded whole.
     """
 
-    def __init__(self, spell: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes]) -> None:
-        self.spell, self.whole = spell, whole
+    def __init__(self, spell: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], apart: re.Pattern | None = None) -> None:
+        self.spell, self.whole, self.apart = spell, whole, apart
         self.after_space, self.at_start = Memory(), Memory()
         self.signs = Memory()
         self.loose = Memory()  # parts of texts with white space of any form
@@ -103,6 +103,9 @@ class PieceEncoder:
             if not text:
                 out.append(b"")
                 continue
+            if self.apart and self.apart.search(text):
+                out.append(self.whole(text))
+                continue
             try:
                 done = [at_start[line[0]] + b"".join(map(after_space, line[1:])) for line in lines]
                 out.append(self.line_feed.join(done))
