@@ -6,12 +6,12 @@ import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.session import stored
 
-__all__ = ["fresh", "map_rows", "on_workers", "row_hash", "slices", "stored", "table", "text_blocks", "utf8"]
+__all__ = ["fresh", "map_rows", "numbered", "on_workers", "row_hash", "slices", "stored", "table", "text_blocks", "utf8"]
 
 #: The folder that holds the package.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -101,3 +101,21 @@ def text_blocks(text: bytes, size: int = BLOCK) -> Iterator[bytes]:
         start = end
     if start < n:
         yield text[start:]
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``ordinal``, the place of each row in ``order``, from 0; as a written table.
+
+    A sort by range; only row counts per part meet in one place. ``df`` is read twice, so it should be a written table.
+    Rows that ``order`` cannot tell apart go to one part: add a column that can, where there may be many.
+    """
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place, part, before = fresh(df, "place"), fresh(df, "part"), fresh(df, "before")
+    # The id holds the part in its upper bits and the place in the part below them.
+    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered = stored(ordered.withColumn(place, F.monotonically_increasing_id()), name)
+    ordered = ordered.withColumn(part, F.shiftright(place, 33))
+    sizes = stored(ordered.groupBy(part).agg(F.count(F.lit(1)).alias("rows")), f"{name}-sizes")
+    sizes = sizes.select(part, (F.sum("rows").over(Window.orderBy(part)) - F.col("rows")).alias(before))
+    ordinal = F.col(before) + F.col(place).bitwiseAND((1 << 33) - 1)
+    return stored(ordered.join(sizes, part).select(ordinal.alias("ordinal"), *df.columns), f"{name}-numbered")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import bpe, divergence, exact, licenses, packing, quality, rules, simhash, substrings, urls, warc
+from opinara.llm import bpe, divergence, exact, licenses, packing, quality, resampling, rules, simhash, substrings, urls, warc
 from opinara.llm.common import table
 from opinara.plans.registry import Registry
 
@@ -72,6 +72,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+@CATALOG.add("op11_importance_resampling", resampling.RESAMPLING_SQL)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @CATALOG.add("op12_source_divergence", divergence.DIVERGENCE_SQL)
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
