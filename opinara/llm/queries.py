@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import bpe, divergence, exact, licenses, packing, quality, resampling, rules, simhash, substrings, urls, warc
+from opinara.llm import bpe, divergence, exact, licenses, packing, quality, resampling, rules, simhash, substrings, toxicity, urls, warc
 from opinara.llm.common import table
 from opinara.plans.registry import Registry
 
@@ -80,3 +80,8 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.add("op12_source_divergence", divergence.DIVERGENCE_SQL)
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@CATALOG.add("op13_toxic_passages")
+def op13_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
