@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.llm import transducer
-from opinara.llm.common import map_rows, on_workers, stored, text_blocks, utf8
+from opinara.llm.common import map_rows, numbered, on_workers, slices, stored, text_blocks, utf8
 
 #: A term occurs in so many documents of its language.
 LEAST_DOCUMENTS = 3
@@ -51,7 +51,7 @@ BLOCK = 1 << 15
 #: All transducers together have at most so many bytes where every task gets them.
 BROADCAST = 1 << 25
 #: Different terms that a task counts before it sends them on.
-COUNTED = 400_000
+COUNTED = 1 << 20
 #: Parts that the counted terms of a block are spread over, where they travel.
 SPREAD = 32
 #: Parts that the groups of a language are spread over when they are paired.
@@ -69,7 +69,26 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
         yield block.split()
 
 
-def _documents(rows: Iterable[tuple]) -> Iterator[tuple]:
+Batches = Iterable[pa.RecordBatch]
+
+
+def _rows(batches: Batches) -> Iterator[tuple]:
+    for batch in batches:
+        for part in slices(batch):
+            yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
+
+
+def _columns(batches: Batches) -> Iterator[pa.RecordBatch]:
+    """Long batches in pieces."""
+    for batch in batches:
+        yield from (batch.slice(i, 1 << 16) for i in range(0, batch.num_rows, 1 << 16))
+
+
+FOUND = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("n", pa.int64())])
+FOUND_DDL = "lang string, term binary, n long"
+
+
+def _documents(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
     """``lang, term, n``: documents of a task that hold a term."""
     counts: dict[str, Counter] = {}
     size = 0
@@ -84,8 +103,10 @@ def _documents(rows: Iterable[tuple]) -> Iterator[tuple]:
     yield from _flat(counts)
 
 
-def _flat(counts: dict[str, Counter]) -> Iterator[tuple]:
-    return ((lang, term, n) for lang, seen in counts.items() for term, n in seen.items())
+def _flat(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    for lang, seen in counts.items():
+        columns = [pa.repeat(lang, len(seen)), pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, schema=FOUND)
 
 
 Counts = dict[tuple[str, str], Counter]
@@ -147,30 +168,30 @@ ORDINALS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("ordinal"
 ORDINALS_DDL = "lang string, source string, ordinal long, n long"
 
 
-def _through(blocks: Blocks, counts: Counts) -> Iterator[tuple]:
+def _through(blocks: Blocks, counts: Counts) -> Iterator[pa.RecordBatch]:
     """``lang, source, ordinal, n`` of the kept terms."""
     for lang, groups in groupby(sorted(counts), key=lambda g: g[0]):
         groups = list(groups)
         words = sorted(set().union(*(counts[g] for g in groups)))
-        found = blocks.ordinals([key(lang, w) for w in words]).tolist()
-        place = {w: o for w, o in zip(words, found, strict=True) if o >= 0}
-        for group in groups:
-            for word, n in counts[group].items():
-                ordinal = place.get(word)
-                if ordinal is not None:
-                    yield *group, ordinal, n
+        place = dict(zip(words, blocks.ordinals([key(lang, w) for w in words]).tolist(), strict=True))
+        for _, source in groups:
+            seen = counts[lang, source]
+            ordinals = np.fromiter(map(place.__getitem__, seen), np.int64, len(seen))
+            n = np.fromiter(seen.values(), np.int64, len(seen))[ordinals >= 0]
+            columns = [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), pa.array(ordinals[ordinals >= 0]), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, schema=ORDINALS)
 
 
 def _recounted_in_place(docs: DataFrame, blocks: DataFrame) -> DataFrame:
     """Texts pass the transducers where they are read. ``blocks`` are few, as their size is checked."""
     shared = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in blocks.collect()])
 
-    def make(rows: Iterable[tuple]) -> Iterator[tuple]:
+    def make(batches: Batches) -> Iterator[pa.RecordBatch]:
         loaded = Blocks((bytes(first), base, bytes(body)) for first, base, body in shared.value)
-        for counts in _counted(rows):
-            yield from _through(loaded, counts)
+        for counts in _counted(_rows(batches)):
+            yield from _columns(_through(loaded, counts))
 
-    return map_rows(docs, make, ORDINALS, ORDINALS_DDL)
+    return on_workers(docs).mapInArrow(make, ORDINALS_DDL)
 
 
 PACKED = pa.schema(
@@ -194,41 +215,31 @@ def _recounted_at_blocks(docs: DataFrame, blocks: DataFrame) -> DataFrame:
                     some = words[a:b]
                     yield firsts.value[block], part, lang, source, b"\0".join(some), [seen[w] for w in some], None, None
 
-    def look_up(rows: Iterable[tuple]) -> Iterator[tuple]:
+    def look_up(batches: Batches) -> Iterator[pa.RecordBatch]:
         block = None
-        for first, _, lang, source, words, counts, base, body in rows:
+        for first, _, lang, source, words, counts, base, body in _rows(batches):
             if body is not None:  # comes first
                 block = Blocks([(first, base, body)])
                 continue
-            yield from _through(block, {(lang, source): dict(zip(words.split(b"\0"), counts, strict=True))})
+            yield from _columns(_through(block, {(lang, source): dict(zip(words.split(b"\0"), counts, strict=True))}))
 
     packed = map_rows(docs, pack, PACKED, PACKED_DDL)
     every = F.explode(F.array(*[F.lit(i) for i in range(SPREAD)])).alias("part")
     bodies = blocks.select("first", every, "base", "body")
     both = packed.unionByName(bodies, allowMissingColumns=True).repartition("first", "part")
     together = both.sortWithinPartitions("first", "part", F.col("body").isNull()).select(*PACKED.names)
-    return map_rows(together, look_up, ORDINALS, ORDINALS_DDL)
+    return on_workers(together).mapInArrow(look_up, ORDINALS_DDL)
 
 
 def vocabulary(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """``ordinal, lang, term, key`` of the kept terms, as a written table. Takes ``lang, source, text``."""
-    schema = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("n", pa.int64())])
-    found = map_rows(docs, _documents, schema, "lang string, term binary, n long")
+    found = on_workers(docs).mapInArrow(lambda batches: _columns(_documents(_rows(batches))), FOUND_DDL)
     kept = found.groupBy("lang", "term").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     joined = F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), "term").alias("key")
     kept = stored(kept.select("lang", F.col("term").cast("string"), joined), "kept-terms")
     if not kept.take(1):
         return kept.select(F.lit(0).cast("long").alias("ordinal"), "*")
-    # The id holds the part in its upper bits and the place in the part below them.
-    ranges = max(1, int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = kept.repartitionByRange(ranges, "key").sortWithinPartitions("key")
-    ordered = stored(ordered.withColumn("place", F.monotonically_increasing_id()), "sorted-terms")
-    part = F.shiftright("place", 33).alias("part")
-    sizes = stored(ordered.groupBy(part).agg(F.count(F.lit(1)).alias("rows")), "part-sizes")  # a row per part
-    base = (F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).alias("base")
-    ordinal = F.col("base") + F.col("place").bitwiseAND((1 << 33) - 1)
-    numbered = ordered.withColumn("part", part).join(sizes.select("part", base), "part")
-    return stored(numbered.select(ordinal.alias("ordinal"), "lang", "term", "key"), "vocabulary")
+    return numbered(kept, [F.col("key")], "vocabulary")
 
 
 def transducers(vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -264,56 +275,78 @@ def gap(p: Column, q: Column) -> Column:
 
 
 def _gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    return (p - q) ** 2 // q
+    return ((p - q) ** 2).view(np.uint64) // q.view(np.uint64)
 
 
 SHARED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("more", pa.int64())])
 
 
-def shared_terms(rows: Iterable[tuple]) -> Iterator[tuple]:
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, with the sum of its values."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    ends = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[ends], np.add.reduceat(values[order], ends)
+
+
+def shared_terms(batches: Batches) -> Iterator[pa.RecordBatch]:
     """What terms that two sources both have add to their sums, some pairs at a time.
 
     Takes ``lang, source, ordinal, p, z`` in the order of ``ordinal``.
     """
-    for lang, group in groupby(_pieces(rows), key=lambda piece: piece[0]):
-        sums: dict[tuple[str, str], int] = {}
-        for _, sources, ordinal, p, z in group:
-            names, index = np.unique(np.array(sources, object), return_inverse=True)
-            step = 1
-            while True:
-                pairs = np.flatnonzero(ordinal[step:] == ordinal[:-step])
-                if not pairs.size:
-                    break
-                for a, b in ((pairs, pairs + step), (pairs + step, pairs)):
-                    more = _gap(p[a], p[b]) - _gap(p[a], z[b]) - _gap(z[a], p[b]) + _gap(z[a], z[b])
-                    both = index[a] * len(names) + index[b]
-                    order = np.argsort(both, kind="stable")
-                    ends = np.flatnonzero(np.diff(both[order], prepend=-1))
-                    for pair, n in zip(both[order][ends].tolist(), np.add.reduceat(more[order], ends).tolist(), strict=True):
-                        named = names[pair // len(names)], names[pair % len(names)]
-                        sums[named] = sums.get(named, 0) + n
-                step += 1
-            if len(sums) > PAIRS:
-                yield from ((lang, *pair, n) for pair, n in sums.items())
-                sums = {}
-        yield from ((lang, *pair, n) for pair, n in sums.items())
-
-
-def _pieces(rows: Iterable[tuple]) -> Iterator[tuple]:
-    """Whole terms of one language, about 50,000 rows at a time, as arrays."""
-    held: list[tuple] = []
-
-    def piece() -> tuple:
-        _, sources, *figures = zip(*held, strict=True)
-        return held[0][0], sources, *(np.array(f, np.int64) for f in figures)
-
-    for row in rows:
-        if held and (row[0] != held[-1][0] or (len(held) > 50_000 and row[2] != held[-1][2])):
-            yield piece()
-            held = []
-        held.append(row)
-    if held:
-        yield piece()
+    sums: dict[tuple[str, str, str], int] = {}
+
+    def flush() -> pa.RecordBatch:
+        columns = [*zip(*sums, strict=True), sums.values()] if sums else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, SHARED, strict=True)], schema=SHARED)
+
+    for piece in _pieces(batches):
+        langs, sources = (piece[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
+        index = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
+        ordinal, p, z = (piece[c].to_numpy() for c in ("ordinal", "p", "z"))
+        groups, index = np.unique(index, return_inverse=True)
+        keys, values = [], []
+        for step in range(1, len(ordinal)):
+            pairs = np.flatnonzero(ordinal[step:] == ordinal[:-step])
+            if not pairs.size:
+                break
+            for a, b in ((pairs, pairs + step), (pairs + step, pairs)):
+                more = _gap(p[a], p[b]) - _gap(p[a], z[b]) - _gap(z[a], p[b]) + _gap(z[a], z[b])
+                key, value = _summed(index[a] * len(groups) + index[b], more.view(np.int64))
+                keys.append(key)
+                values.append(value)
+        if not keys:
+            continue
+        lang_names, source_names = langs.dictionary.to_pylist(), sources.dictionary.to_pylist()
+        names = [(lang_names[g // len(source_names)], source_names[g % len(source_names)]) for g in groups.tolist()]
+        key, value = _summed(np.concatenate(keys), np.concatenate(values))
+        for pair, n in zip(key.tolist(), value.tolist(), strict=True):
+            (lang, source), (_, item) = names[pair // len(names)], names[pair % len(names)]
+            sums[lang, source, item] = sums.get((lang, source, item), 0) + n
+        if len(sums) > PAIRS:
+            yield flush()
+            sums.clear()
+    yield flush()
+
+
+def _pieces(batches: Batches) -> Iterator[pa.Table]:
+    """Whole terms, about 50,000 rows at a time."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows > 50_000:
+            table = pa.Table.from_batches(held)
+            ordinal = table["ordinal"].to_numpy()
+            changes = np.flatnonzero(np.diff(ordinal))
+            if changes.size:
+                end = int(changes[-1]) + 1
+                yield table.slice(0, end)
+                held = table.slice(end).to_batches()
+                rows = table.num_rows - end
+    if rows:
+        yield pa.Table.from_batches(held)
 
 
 def divergence(docs: DataFrame, least: int = LEAST_DOCUMENTS, listed: int = TERMS, broadcast: int = BROADCAST, block: int = BLOCK) -> DataFrame:
@@ -340,8 +373,8 @@ def divergence(docs: DataFrame, least: int = LEAST_DOCUMENTS, listed: int = TERM
 
 
 def _pairs(groups: DataFrame, rows: DataFrame) -> DataFrame:
-    ordered = rows.select("lang", "source", "ordinal", "p", "z").repartition("ordinal").sortWithinPartitions("lang", "ordinal")
-    more = map_rows(ordered, shared_terms, SHARED, "lang string, source string, item string, more long")
+    ordered = rows.select("lang", "source", "ordinal", "p", "z").repartition("ordinal").sortWithinPartitions("ordinal")
+    more = on_workers(ordered).mapInArrow(shared_terms, "lang string, source string, item string, more long")
     more = more.groupBy("lang", "source", "item").agg(F.sum("more").alias("more"))
 
     tables = rows.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("n"))

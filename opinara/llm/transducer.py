@@ -45,11 +45,11 @@ class Transducer:
         """Ordinals among the heads; -1: not there."""
         n = len(heads)
         lengths = np.fromiter(map(len, heads), np.int64, n)
-        text = np.frombuffer(b"".join(heads), np.uint8).astype(np.int64)
+        text = np.frombuffer(b"".join(heads), np.uint8)
         starts = np.cumsum(lengths) - lengths
         out = np.full(n, -1, np.int64)
-        live, total = np.arange(n), np.zeros(n, np.int64)
-        state = np.full(n, len(self.final) - 1, np.int64)
+        live, total = np.arange(n), np.zeros(n, np.int32)
+        state = np.full(n, len(self.final) - 1, np.uint32)
         place = 0
         while live.size:
             ended = lengths[live] == place
@@ -58,11 +58,11 @@ class Transducer:
                 live, state, total = live[~ended], state[~ended], total[~ended]
             if not live.size or not self.arcs.size:
                 break
-            wanted = state << 8 | text[starts[live] + place]
+            wanted = state << np.uint32(8) | text[starts[live] + place]
             at = np.minimum(np.searchsorted(self.arcs, wanted), len(self.arcs) - 1)
             there = self.arcs[at] == wanted
             live, at = live[there], at[there]
-            state, total = self.targets[at].astype(np.int64), total[there] + self.before[at]
+            state, total = self.targets[at], total[there] + self.before[at]
             place += 1
         return out
 
@@ -92,7 +92,7 @@ def _shared(a: bytes, b: bytes) -> int:
 
 
 def build(strings: Iterable[bytes]) -> Transducer:
-    """From strings in ascending order, each once."""
+    """From strings in ascending order, each once; their heads may need 2^24 states."""
     known: dict[tuple[int, ...], int] = {}  # final, then byte and target of each arc
     path: list[list[int]] = [[0]]
     before_head = b""
@@ -115,6 +115,8 @@ def build(strings: Iterable[bytes]) -> Transducer:
         before_head = head
     close(0)
     known.setdefault(tuple(path[0]), len(known))
+    if len(known) >= 1 << 24:
+        raise ValueError("too many strings for one transducer")
 
     arcs, targets, before, final, accepted = [], [], [], [], []
     for state, (ends, *moves) in enumerate(known):  # targets come before the states that lead to them
@@ -127,9 +129,9 @@ def build(strings: Iterable[bytes]) -> Transducer:
         final.append(bool(ends))
         accepted.append(count)
     return Transducer(
-        np.array(arcs, np.int64),
-        np.array(targets, np.int32),
-        np.array(before, np.int64),
+        np.array(arcs, np.uint32),
+        np.array(targets, np.uint32),
+        np.array(before, np.int32),
         np.array(final, bool),
         np.array(starts if tails else starts[-1:], np.int64),
         tails,

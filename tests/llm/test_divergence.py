@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from llm_cases import DOCS, documents
 
@@ -108,8 +109,10 @@ def test_shared_terms_in_pieces(monkeypatch):
                 want[a[1], b[1]] += f(a[3], b[3]) - f(a[3], b[4]) - f(a[4], b[3]) + f(a[4], b[4])
     monkeypatch.setattr(divergence, "PAIRS", 5)
     got = Counter()
-    for _, a, b, n in divergence.shared_terms(rows):
-        got[a, b] += n
+    table = pa.Table.from_pylist([dict(zip(("lang", "source", "ordinal", "p", "z"), r, strict=True)) for r in rows])
+    for batch in divergence.shared_terms(table.to_batches(max_chunksize=7)):
+        for r in batch.to_pylist():
+            got[r["source"], r["item"]] += r["more"]
     assert got == want
 
 
