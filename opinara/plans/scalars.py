@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from opinara.functions import display, ratings, text
 from opinara.functions.records import default_fields, typed
 from opinara.operators import filters, projections
-from opinara.operators.lemma import fold_lemmas, plural_lemmas
+from opinara.operators.lemma import NOUN_EXCEPTIONS, NOUN_RULES, by_rule, fold_lemmas, noun_lemmas
 from opinara.operators.filters import known_labels
 from opinara.plans.fixtures import event_predictions, predictions, reviews, sql
 from opinara.plans.registry import Registry, sql_list
@@ -85,16 +85,22 @@ select doc_id, '' as folded from served where len(coalesce(tokens, [])) = 0
         served=f"select doc_id, {SERVE_TOKENS_SQL} as tokens from reviews",
         words="select doc_id, unnest(tokens) as token, generate_subscripts(tokens, 1) as place from served",
         vocabulary="select distinct token from words",
-        lemmas="""select token, substr(token, 1, length(token) - 1) as lemma from vocabulary
-          where token like '%s' and length(token) > 1
-          and substr(token, 1, length(token) - 1) in (select token from vocabulary)""",
+        exceptions="select * from (values " + ", ".join(f"('{t}', '{x}')" for t, x in NOUN_EXCEPTIONS.items()) + ") e(token, lemma)",
+        candidates=" union all ".join(
+            f"select token, token[:-{len(ending) + 1}] || '{instead}' as lemma from vocabulary where suffix(token, '{ending}')"
+            for ending, instead in NOUN_RULES
+        ),
+        held="""select token, lemma from candidates where lemma in (select token from vocabulary)
+          and token not in (select token from exceptions) union all select token, lemma from exceptions""",
+        lemmas="select token, arg_min(lemma, (length(lemma), lemma)) as lemma from held group by token",
     ),
 )
 def lemma_fold(spark, sf_dir):
     df = reviews(spark, sf_dir, "doc_id", "reviewText")
     served = df.select("doc_id", F.coalesce(text.serve_tokens(F.col("reviewText")), F.array().cast("array<string>")).alias("tokens"))
     served = stored(served, "served")
-    folded = fold_lemmas(served, "doc_id", plural_lemmas(served), candidate=F.col("token").endswith("s"))
+    lemmas = stored(noun_lemmas(served), "noun-lemmas")
+    folded = fold_lemmas(served, "doc_id", lemmas, candidate=lambda t: by_rule(t) | t.isin(list(NOUN_EXCEPTIONS)))
     return folded.select("doc_id", F.array_join("tokens", " ").alias("folded"))
 
 

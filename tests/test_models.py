@@ -220,3 +220,35 @@ def test_lemma_folding_keeps_order_and_repeats(spark):
     for candidate in (None, F.col("token").endswith("s")):
         out = lemma.fold_lemmas(df, "id", table, candidate=candidate)
         assert {r.id: r.tokens for r in out.collect()} == expected
+
+
+def test_noun_rules_and_exceptions(spark):
+    text = "cities city boxes box wolves wolf women woman bus churches church dishes dish buzzes buzz lenses lens mice glass ponies s men man"
+    df = spark.createDataFrame([(1, text.split()), (2, ["bus", "glass", "city"]), (3, []), (4, None), (4, ["mice", "mice"])], "id int, tokens array<string>")
+    table = lemma.noun_lemmas(df)
+    folds = {r.token: r.lemma for r in table.collect()}
+    assert folds == {
+        "cities": "city", "boxes": "box", "wolves": "wolf", "women": "woman", "churches": "church", "dishes": "dish",
+        "buzzes": "buzz", "lenses": "lens", "mice": "mouse", "men": "man",
+    }
+    either = lambda t: lemma.by_rule(t) | t.isin("mice")
+    for candidate in (None, either):
+        out = lemma.fold_lemmas(df, "id", table, candidate=candidate)
+        found = sorted((r.id, tuple(r.tokens or ("none",))) for r in out.collect())
+        whole = tuple(folds.get(t, t) for t in text.split())
+        assert found == sorted([(1, whole), (2, ("bus", "glass", "city")), (3, ("none",)), (4, ("none",)), (4, ("mouse", "mouse"))])
+
+
+def test_the_shortest_stem_in_the_vocabulary_wins(spark):
+    df = spark.createDataFrame([(1, ["axes", "ax", "axe", "doves", "dove"])], "id int, tokens array<string>")
+    assert {r.token: r.lemma for r in lemma.noun_lemmas(df).collect()} == {"axes": "ax", "doves": "dove"}
+    own = spark.createDataFrame([("axe",), ("dof",)], "token string")
+    assert {r.token: r.lemma for r in lemma.noun_lemmas(df, vocabulary=own).collect()} == {"axes": "axe", "doves": "dof"}
+    more = spark.createDataFrame([("axes", "axis"), ("axes", "axon"), ("oxen", "ox")], "token string, lemma string")
+    assert {r.token: r.lemma for r in lemma.noun_lemmas(df, exceptions=more).collect()} == {"axes": "axis", "doves": "dove"}
+
+
+def test_documents_without_candidates_are_not_joined(spark):
+    df = spark.createDataFrame([(1, ["cats", "cat"]), (2, ["none", "here"])], "id int, tokens array<string>")
+    text = plan(lemma.fold_lemmas(df, "id", lemma.noun_lemmas(df), candidate=lemma.by_rule))
+    assert "Union" in text and "exists(tokens" in text
