@@ -10,13 +10,15 @@ from opinara.plans.registry import Registry
 from opinara.plans.reports import COUNTS_SQL
 from opinara.plans.storage import REVIEW_FIELDS, SENT_AT
 from opinara.plans.text_models import SCORED_VIEWS, fitted
+from opinara.schema import PREDICTION
 from opinara.session import work_folder
 from opinara.sources.messages import file_stream, parse_messages, send_to_files, to_messages
 from opinara.sources.sinks import batch_sink
-from opinara.sources.tables import scan_parquet, scan_predictions
+from opinara.sources.tables import scan_parquet
 from opinara.streaming import windows
 from opinara.streaming.replay import replay
-from opinara.streaming.scoring import start_scoring
+from opinara.streaming.scoring import start_scoring_store
+from opinara.streaming.store import compact_store, scan_store
 
 QUERIES = Registry()
 
@@ -33,12 +35,12 @@ def _scored(spark, sf_dir, send, runs: int = 1):
     paths = {n: work_folder(spark, f"stream-{n}") for n in ("messages", "predictions", "rejects", "checkpoint")}
     model = fitted(spark, sf_dir, "Naive Bayes")
     for run in range(runs):
-        send(run, paths["messages"])
+        send(run, paths)
         stream = file_stream(spark, paths["messages"])
         clock = F.lit(SENT_AT).cast("timestamp")
-        start_scoring(
-            stream, model, paths["predictions"], paths["rejects"], paths["checkpoint"], NOW, clock
-        ).awaitTermination()
+        where = paths["predictions"], paths["rejects"], paths["checkpoint"]
+        for query in start_scoring_store(stream, model, *where, NOW, clock):
+            query.awaitTermination()
     return paths
 
 
@@ -53,8 +55,8 @@ from scored s join reviews using (doc_id)
     ),
 )
 def stream_score(spark, sf_dir):
-    paths = _scored(spark, sf_dir, lambda run, path: send_to_files(_messages(spark, sf_dir), path))
-    return scan_predictions(spark, paths["predictions"]).select(
+    paths = _scored(spark, sf_dir, lambda run, paths: send_to_files(_messages(spark, sf_dir), paths["messages"]))
+    return scan_store(spark, paths["predictions"], PREDICTION).select(
         "asin", "reviewTime", "reviewerID", "summary", F.col("processed_ts").cast("timestamp_ntz").alias("processed_ts"),
         "label", F.round("confidence", 4).alias("confidence")
     )
@@ -72,15 +74,18 @@ from scored s join reviews using (doc_id) group by asin
     ),
 )
 def stream_restart(spark, sf_dir):
-    """Half of the reviews, a restart, the other half, and a restart with nothing new."""
+    """Half of the reviews, a compaction, a restart, the other half, and a restart with nothing new."""
+    copy = work_folder(spark, "compacted")
     df = reviews(spark, sf_dir, "doc_id", *FIELDS)
 
-    def send(run: int, path: str) -> None:
+    def send(run: int, paths: dict[str, str]) -> None:
         if run < 2:
-            send_to_files(to_messages(df.filter(F.col("doc_id") % 2 == run), F.lit(SENT_AT)), path)
+            send_to_files(to_messages(df.filter(F.col("doc_id") % 2 == run), F.lit(SENT_AT)), paths["messages"])
+        if run == 1:
+            compact_store(spark, paths["predictions"], PREDICTION, copy)
 
     paths = _scored(spark, sf_dir, send, runs=3)
-    return scan_predictions(spark, paths["predictions"]).groupBy("asin").agg(
+    return scan_store(spark, paths["predictions"], PREDICTION, copy).groupBy("asin").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("reviewText")).alias("characters"),
         F.round(F.sum(F.round("confidence", 4)), 2).alias("confidence"),
@@ -207,5 +212,5 @@ def dead_letter(spark, sf_dir):
             (r'"sentiment":([0-9]+)', '"sentiment":$1.0'),
         ),
     ]
-    paths = _scored(spark, sf_dir, lambda run, path: [send_to_files(p, path) for p in parts])
+    paths = _scored(spark, sf_dir, lambda run, paths: [send_to_files(p, paths["messages"]) for p in parts])
     return scan_parquet(spark, paths["rejects"]).groupBy("reason", "scored").agg(F.count(F.lit(1)).alias("n"))

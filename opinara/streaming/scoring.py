@@ -16,6 +16,7 @@ from opinara.operators.filters import first_text
 from opinara.operators.projections import prediction_documents
 from opinara.sources.messages import decoded
 from opinara.sources.sinks import query_id, write_batch
+from opinara.streaming.store import start_store
 
 
 def read_messages(messages: DataFrame) -> DataFrame:
@@ -78,3 +79,25 @@ def start_scoring(
     writer = messages.select(F.col("value").cast("string").alias("value")).writeStream
     writer = writer.foreachBatch(scoring_sink(model, predictions, rejects, checkpoint, processed_ts))
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def start_scoring_store(
+    messages: DataFrame,
+    model: PipelineModel,
+    predictions: str,
+    rejects: str,
+    checkpoint: str,
+    trigger: dict[str, Any],
+    processed_ts: Column | None = None,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Score into the prediction store, and set rejects aside in a table of the same kind.
+
+    Two queries read the messages, each with its own checkpoint below ``checkpoint``, so either can be started anew
+    without the other; both write each row once.
+    """
+    values = messages.select(F.col("value").cast("string").alias("value"))
+    documents = scored_documents(values, model, processed_ts)
+    return (
+        start_store(documents, predictions, f"{checkpoint.rstrip('/')}/predictions", trigger),
+        start_store(dead_letters(values), rejects, f"{checkpoint.rstrip('/')}/rejects", trigger, time=None),
+    )
