@@ -10,7 +10,7 @@ from opinara.plans.registry import Registry
 from opinara.plans.reports import COUNTS_SQL
 from opinara.plans.storage import REVIEW_FIELDS, SENT_AT
 from opinara.plans.text_models import SCORED_VIEWS, fitted
-from opinara.schema import PREDICTION
+from opinara.schema import CLASSES, PREDICTION
 from opinara.session import work_folder
 from opinara.sources.messages import file_stream, parse_messages, send_to_files, to_messages
 from opinara.sources.sinks import batch_sink
@@ -18,7 +18,7 @@ from opinara.sources.tables import scan_parquet
 from opinara.streaming import windows
 from opinara.streaming.replay import replay
 from opinara.streaming.scoring import start_scoring_store
-from opinara.streaming.store import compact_store, scan_store
+from opinara.streaming.store import compact_store, scan_store, start_store
 
 QUERIES = Registry()
 
@@ -174,6 +174,108 @@ def stream_recent_kpi(spark, sf_dir):
     return out.withColumn("avg_confidence", F.round("avg_confidence", 6))
 
 
+# Events come in thirds of the month; those of every eleventh hour come with the part after, mostly too late.
+LATE_VIEWS = {
+    "arrival": """select *, (day(processed_ts) * 3) // 32 + case when hour(processed_ts) % 11 = 5 then 1 else 0 end as part
+      from event_predictions""",
+    "bounds": """select part, (select max(processed_ts) from arrival b where b.part < a.part) - interval 1 hour as bound
+      from (select distinct part from arrival) a""",
+    "judged": """select arrival.*, date_trunc('minute', processed_ts)::timestamp as minute,
+      coalesce(date_trunc('minute', processed_ts)::timestamp + interval 1 minute <= bound, false) as late
+      from arrival join bounds using (part)""",
+    "closed": "select max(processed_ts) - interval 1 hour as bound from judged",
+}
+LATENESS = "1 hour"
+
+
+def _arriving(spark, sf_dir, start) -> dict[str, str]:
+    """Events in several parts, one micro-batch each, with a restart before every part; ``start`` makes the query."""
+    events = table(spark, sf_dir, "events")
+    late = (F.hour("ts") % 11 == 5).cast("int")
+    part = F.floor(F.dayofmonth("ts") * 3 / 32) + late
+    paths = {n: work_folder(spark, f"live-{n}") for n in ("events", "rows", "bounds", "checkpoint")}
+    for i in range(PARTS + 1):
+        events.filter(part == i).write.mode("append").parquet(paths["events"])
+        stream = as_event_predictions(spark.readStream.schema(events.schema).parquet(paths["events"]))
+        query = start(stream, paths)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+    return paths
+
+
+@QUERIES.add(
+    "stream_closed_minutes",
+    sql(
+        f"""
+select minute, {COUNTS_SQL}, true as bounded
+from judged where not late and minute + interval 1 minute <= (select bound from closed) group by minute
+""",
+        **LATE_VIEWS,
+    ),
+)
+def stream_closed_minutes(spark, sf_dir):
+    """Minutes closed by the watermark, each appended once over all restarts; state stays below an hour of them."""
+    most = []
+
+    def start(stream, paths):
+        found = windows.flat_minutes(windows.closing_minutes(stream, LATENESS))
+        query = start_store(found, paths["rows"], paths["checkpoint"], NOW, time=None)
+        query.awaitTermination()
+        most.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+        return query
+
+    paths = _arriving(spark, sf_dir, start)
+    found = scan_parquet(spark, paths["rows"]).select("minute", *reversed(CLASSES))
+    return found.withColumn("bounded", F.lit(max(most) <= 61))
+
+
+@QUERIES.add(
+    "stream_closed_headlines",
+    sql(
+        f"""
+select window_start, window_start + interval 5 minutes as window_end, count(*) as total_reviews, {COUNTS_SQL},
+  round(sum(confidence) / count(*), 6) as avg_confidence
+from sliding where window_start + interval 5 minutes <= (select bound from closed) group by 1, 2
+""",
+        **LATE_VIEWS,
+        sliding="select minute - to_minutes(unnest(range(0, 5))) as window_start, label, confidence from judged where not late",
+    ),
+)
+def stream_closed_headlines(spark, sf_dir):
+    """Sliding headlines over closed minutes: two stateful operators in a row."""
+
+    def start(stream, paths):
+        return start_store(windows.closing_headlines(stream, LATENESS), paths["rows"], paths["checkpoint"], NOW, time=None)
+
+    found = scan_parquet(spark, _arriving(spark, sf_dir, start)["rows"])
+    return found.withColumn("avg_confidence", F.round("avg_confidence", 6))
+
+
+@QUERIES.add(
+    "stream_rows_aside",
+    sql(
+        """
+select processed_ts, user_id, label, round(confidence, 6) as confidence, part::bigint as batch_id,
+  count(*) over (partition by part) as observed
+from judged where late
+""",
+        **LATE_VIEWS,
+    ),
+)
+def stream_rows_aside(spark, sf_dir):
+    """The late rows themselves, with the number that was observed of their batch."""
+
+    def start(stream, paths):
+        return windows.start_late_rows(stream, paths["rows"], paths["bounds"], paths["checkpoint"], LATENESS, **NOW)
+
+    paths = _arriving(spark, sf_dir, start)
+    observed = scan_parquet(spark, paths["bounds"]).select("batch_id", F.col("late_rows").alias("observed"))
+    found = scan_parquet(spark, paths["rows"]).join(observed, "batch_id")
+    batch = F.col("batch_id").cast("bigint").alias("batch_id")
+    return found.select("processed_ts", "user_id", "label", F.round("confidence", 6).alias("confidence"), batch, "observed")
+
+
 @QUERIES.add(
     "dead_letter",
     sql("""
