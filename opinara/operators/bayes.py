@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.operators.terms import MIN_DF, documents, idf, vocabulary
@@ -73,3 +74,66 @@ def score(
     ranked = ranked.withColumn("best", F.array_max("all"))
     odds = F.aggregate("all", F.lit(0.0), lambda acc, t: acc + F.exp(t["s"] - F.col("best.s")))
     return ranked.select(key, F.col("best.label").alias("label"), (1 / odds).alias("confidence"))
+
+
+def fold_accuracies(
+    counts: DataFrame,
+    key: str,
+    smoothings: Sequence[float] = (0.5, 1.0, 2.0),
+    folds: int = 3,
+    classes: Sequence[str] = CLASSES,
+    min_df: int = MIN_DF,
+) -> DataFrame:
+    """``fold, smoothing, n, hits, accuracy``: cross-validation of all settings in one pass over the counts.
+
+    ``counts`` carries ``label`` and ``fold`` as keys. Nothing is trained fold by fold: one grouping by term gives the
+    occurrences per fold and class, and what a fold's model has learned is the total less the fold's own share. Counts
+    then meet the weights of their fold for every setting in a single join. Vocabulary and idf come from all rows, as
+    where the feature stages are fitted once. Only one number per fold and class reaches the driver.
+    """
+    cells = [(f, c) for f in range(folds) for c in classes]
+    own = [F.sum(F.when((F.col("fold") == f) & (F.col("label") == c), F.col("tf")).otherwise(0)).alias(f"_{f}_{c}") for f, c in cells]
+    per_term = counts.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"), *own)
+    kept = per_term.filter(F.col("df") >= min_df)
+    weight = idf(counts, F.col("df"))
+    sums = stored(kept.select("term", weight.alias("idf"), *[(F.col(f"_{f}_{c}") * weight).alias(f"_{f}_{c}") for f, c in cells]), "fold-sums")
+    sizes = sums.agg(F.count(F.lit(1)).alias("terms"), *[F.coalesce(F.sum(f"_{f}_{c}"), F.lit(0.0)).alias(f"_{f}_{c}") for f, c in cells]).first()
+    rows = {(r.fold, r.label): r.n for r in documents(counts, "fold", "label").groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def gains(fold: int) -> Column:
+        """For every setting and class: the weight of one occurrence of the term."""
+        out = []
+        for smoothing in smoothings:
+            for c in classes:
+                others = [f for f in range(folds) if f != fold]
+                learned = sum((F.col(f"_{f}_{c}") for f in others), F.lit(0.0))
+                total = sum(sizes[f"_{f}_{c}"] for f in others) + sizes["terms"] * smoothing
+                out.append(F.col("idf") * (F.log(learned + smoothing) - math.log(total) if total else F.lit(0.0)))
+        return F.array(*out)
+
+    tables = [F.struct(F.lit(f).alias("fold"), gains(f).alias("gain")) for f in range(folds)]
+    weights = stored(sums.select("term", F.inline(F.array(*tables))), "fold-weights")
+    hits = counts.select(key, "fold", "term", "tf").join(weights, ["fold", "term"])
+    n = len(smoothings) * len(classes)
+    totals = hits.groupBy(key).agg(*[F.sum(F.col("tf") * F.col("gain")[i]).alias(f"_s{i}") for i in range(n)])
+    scored = documents(counts, key, "fold", "label").join(totals, key, "left")
+
+    def prior(fold: int, c: str, smoothing: float) -> float | None:
+        learned = {x: sum(k for (f, label), k in rows.items() if label == x and f != fold) for _, x in rows}
+        learned = {x: k for x, k in learned.items() if k}
+        if c not in learned:
+            return None
+        return math.log(learned[c] + smoothing) - math.log(sum(learned.values()) + smoothing * len(learned))
+
+    results = []
+    for s, smoothing in enumerate(smoothings):
+        classed = []
+        for i, c in enumerate(classes):
+            at = F.get(F.array(*[F.lit(prior(f, c, smoothing)).cast("double") for f in range(folds)]), F.col("fold"))
+            gained = F.coalesce(F.col(f"_s{s * len(classes) + i}"), F.lit(0.0))
+            classed.append(F.struct((at + gained).alias("s"), F.lit(-i).alias("i"), F.lit(c).alias("label")))
+        best = F.array_max(F.filter(F.array(*classed), lambda t: t["s"].isNotNull()))["label"]
+        results.append(F.struct(F.lit(float(smoothing)).alias("smoothing"), (best == F.col("label")).alias("hit")))
+    judged = scored.select("fold", F.inline(F.array(*results)))
+    found = judged.groupBy("fold", "smoothing").agg(F.count(F.lit(1)).alias("n"), F.count_if("hit").alias("hits"))
+    return found.withColumn("accuracy", F.col("hits") / F.col("n"))

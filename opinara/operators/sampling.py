@@ -93,6 +93,56 @@ def balance_sampled(df: DataFrame, key: str, label: str = "label", seed: int = S
     return kept.unionByName(cut)
 
 
+#: A row's draws have at most this mean; a row with a larger one is drawn in parts, whose draws add up.
+MEAN = 8.0
+#: Draws of a part beyond this number are less likely than the smallest step of its hash.
+MOST = 50
+
+
+def poisson_steps(mean: Column) -> Column:
+    """The chances of at most 0, 1, ... ``MOST`` draws with that mean."""
+    first = F.exp(-mean)
+    start = F.struct(first.alias("p"), F.array(first).alias("upto"))
+
+    def add(done: Column, k: Column) -> Column:
+        p = done["p"] * mean / k
+        return F.struct(p.alias("p"), F.array_append(done["upto"], F.element_at(done["upto"], -1) + p).alias("upto"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(MOST)), start, add, lambda done: done["upto"])
+
+
+def balance_hashed(df: DataFrame, key: str, label: str = "label", seed: int = SEED, cut: bool = True) -> DataFrame:
+    """Oversample the smaller classes with replacement, the same rows on every run, cluster and partitioning.
+
+    Sampling with replacement gives each row a Poisson number of copies. Here that number is the Poisson distribution
+    inverted at a hash of seed and key, so no row's draw depends on another's, and a lost task draws the same again.
+    One pass over the rows: the class sizes, one row per class, are joined to them; nothing reaches the driver.
+    ``key`` must be unique; every label found is a class, null too. ``copy`` tells rows with one key apart, and the
+    largest class is kept as it is. With ``cut`` no class gets more rows than the largest; it may get fewer.
+    """
+    sizes = df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    rate = F.max("_n").over(Window.partitionBy()) / F.col("_n")
+    parts = F.ceil(rate / MEAN)
+    rates = sizes.select("_label", (rate <= 1).alias("_whole"), F.max("_n").over(Window.partitionBy()).alias("_largest"), rate.alias("_rate"), parts.alias("_parts"))
+    rates = stored(rates.withColumn("_steps", poisson_steps(F.col("_rate") / F.col("_parts"))), "class-rates")
+    named = df.join(rates, F.col(label).eqNullSafe(F.col("_label")))
+
+    kept = named.filter("_whole").select(*df.columns, F.lit(1).cast("bigint").alias("copy"))
+    drawn = repeat_rows(named.filter("not _whole"), F.col("_parts"), key).withColumnRenamed("copy", "_part_no")
+    hashed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("_part_no").cast("string")))
+    u = F.conv(F.substring(hashed, 1, 13), 16, 10).cast("double") / float(16**13)
+    copies = F.size(F.filter("_steps", lambda c: c <= u))
+    numbers = F.explode(F.sequence(F.lit(1), copies))
+    drawn = drawn.filter(copies > 0).withColumn("_copy", numbers)
+    drawn = drawn.withColumn("copy", ((F.col("_part_no") - 1) * (MOST + 1) + F.col("_copy")).cast("bigint"))
+    if cut:
+        copy_key = F.concat_ws("#", F.col(key).cast("string"), F.col("copy").cast("string"))
+        drawn = drawn.withColumn("_copy_key", copy_key)
+        largest = F.lit(rates.agg(F.max("_largest")).first()[0] or 0)
+        drawn = first_of_group(drawn, label, "_copy_key", lambda n, _: largest)
+    return kept.unionByName(drawn.select(*kept.columns))
+
+
 def downsample(
     df: DataFrame, of: str, key: str, rows: int | None = None, share: float | None = None, label: str = "label"
 ) -> DataFrame:

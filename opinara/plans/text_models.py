@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.models import features, training
@@ -366,6 +366,55 @@ def cross_validate(spark, sf_dir):
     return rows.select("model", "setting", F.col("accuracy").between(0, 1).alias("measured"), "one_best", F.inline("folds"))
 
 
+# Each fold's model in SQL, trained on the rows of the other folds one by one.
+FOLD_SQL = "(('0x' || substr(md5(cast(doc_id as varchar)), 9, 8))::bigint % 3)::int"
+FOLD_VIEWS = {
+    **WORDS_VIEWS,
+    "rows": f"select doc_id, label, {FOLD_SQL} as fold from cleaned where {SPLIT_SQL} = 'train'",
+    "vocabulary": f"select term, count(*) as df from raw where {SPLIT_SQL} = 'train' group by term having count(*) >= 2",
+    "weights": """select doc_id, r.label, r.fold, term, tf * ln(((select count(*) from rows) + 1) / (df + 1)) as weight
+      from raw join vocabulary using (term) join rows r using (doc_id)""",
+    "folds": "select distinct fold from rows",
+    "settings": "select * from (values (0.5::double), (1.0::double), (2.0::double)) s(smoothing)",
+    "learned": "select f.fold, label, term, sum(weight) as s from weights w join folds f on w.fold <> f.fold group by all",
+    "classes": "select f.fold, label, count(*) as n from rows r join folds f on r.fold <> f.fold group by all",
+    "grid": "select fold, label, term from classes cross join vocabulary",
+    "smoothed": """select fold, label, term, smoothing, ln(coalesce(s, 0) + smoothing)
+        - ln(sum(coalesce(s, 0)) over (partition by fold, label, smoothing) + smoothing * (select count(*) from vocabulary)) as theta
+      from grid left join learned using (fold, label, term) cross join settings""",
+    "priors": """select fold, label, smoothing, ln(n + smoothing)
+        - ln(sum(n) over (partition by fold, smoothing) + smoothing * count(*) over (partition by fold, smoothing)) as prior
+      from classes cross join settings""",
+    "totals": """select r.doc_id, r.fold, r.label as truth, p.label, p.smoothing,
+        any_value(p.prior) + coalesce(sum(w.weight * m.theta), 0) as s
+      from rows r join priors p on p.fold = r.fold left join weights w on w.doc_id = r.doc_id
+      left join smoothed m on m.fold = r.fold and m.label = p.label and m.smoothing = p.smoothing and m.term = w.term
+      group by r.doc_id, r.fold, r.label, p.label, p.smoothing""",
+    "guessed": "select fold, smoothing, truth, arg_max(label, s) as label from totals group by doc_id, fold, smoothing, truth",
+}
+FOLD_VIEWS = {k: FOLD_VIEWS[k] for k in ("cleaned", "words", "raw", "rows", "vocabulary", "weights", "folds", "settings",
+                                         "learned", "classes", "grid", "smoothed", "priors", "totals", "guessed")}
+
+
+@QUERIES.add(
+    "cross_validate_nb",
+    sql(
+        """
+select fold, smoothing, n, hits, round(hits / n, 6) as accuracy, round(avg(hits / n) over (partition by smoothing), 6) as mean
+from (select fold, smoothing, count(*) as n, count(*) filter (where truth = label) as hits from guessed group by all)
+""",
+        **FOLD_VIEWS,
+    ),
+)
+def cross_validate_nb(spark, sf_dir):
+    """The accuracy of every smoothing in every fold, and its mean, which is what tuning compares."""
+    train = training.with_folds(_part(spark, sf_dir, "train").select("doc_id", "label", "cleaned_reviews"), "doc_id")
+    counts = terms.count_words(train, "doc_id", "label", "fold", column="cleaned_reviews")
+    found = bayes.fold_accuracies(counts, "doc_id")
+    mean = F.avg("accuracy").over(Window.partitionBy("smoothing"))
+    return found.select("fold", "smoothing", "n", "hits", F.round("accuracy", 6).alias("accuracy"), F.round(mean, 6).alias("mean"))
+
+
 @QUERIES.add(
     "feature_model",
     sql(

@@ -63,6 +63,32 @@ def balance_sampled(spark, sf_dir):
     )
 
 
+@QUERIES.add(
+    "balance_hashed",
+    sql(
+        """
+select label, doc_id, copy from (
+  select *, row_number() over (partition by label order by md5(doc_id || '#' || copy), doc_id || '#' || copy) as place
+  from drawn) where place <= (select max(n) from sizes)
+union all select label, doc_id, 1 as copy from reviews join sizes using (label) where n = (select max(n) from sizes)
+""",
+        sizes="select label, count(*) as n from reviews group by label",
+        rates="""select label, (select max(n) from sizes) / n::double as rate, ceil((select max(n) from sizes) / n::double / 8) as parts
+          from sizes where n < (select max(n) from sizes)""",
+        steps="""with recursive walk as (
+            select label, 0 as k, exp(-rate / parts) as p, exp(-rate / parts) as upto, rate / parts as mean from rates
+            union all select label, k + 1, p * mean / (k + 1), upto + p * mean / (k + 1), mean from walk where k < 50)
+          select label, upto from walk""",
+        hashed="""select label, doc_id, part, ('0x' || substr(md5('42:' || doc_id || ':' || part), 1, 13))::bigint / 4503599627370496::double as u
+          from (select label, doc_id, unnest(range(1, parts::bigint + 1)) as part from reviews join rates using (label))""",
+        copies="select label, doc_id, part, count(*) as n from hashed join steps using (label) where upto <= u group by all",
+        drawn="select label, doc_id, (part - 1) * 51 + unnest(range(1, n + 1)) as copy from copies",
+    ),
+)
+def balance_hashed(spark, sf_dir):
+    return sampling.balance_hashed(_labelled(spark, sf_dir), "doc_id").select("label", "doc_id", "copy")
+
+
 @QUERIES.add(
     "limit_class",
     sql(f"""

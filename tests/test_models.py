@@ -252,3 +252,28 @@ def test_documents_without_candidates_are_not_joined(spark):
     df = spark.createDataFrame([(1, ["cats", "cat"]), (2, ["none", "here"])], "id int, tokens array<string>")
     text = plan(lemma.fold_lemmas(df, "id", lemma.noun_lemmas(df), candidate=lemma.by_rule))
     assert "Union" in text and "exists(tokens" in text
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fold_accuracies_equal_the_tuner(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(240):
+        label = rng.choice([*CLASSES, "positive"])
+        words = rng.choices(WORDS[label] + rng.choice(list(WORDS.values())), k=rng.randrange(1, 9))
+        rows.append((i, label, " ".join(words)))
+    df = training.with_folds(with_cleaned(spark.createDataFrame(rows, "id int, label string, reviewText string")), "id")
+    featured = features.fit_features(df).transform(df).select("id", "fold", "features", "indexedLabel").cache()
+    models = training.classifiers()
+    tuned = training.cross_validate(featured, models["Naive Bayes"], training.grids(models)["Naive Bayes"])
+    counts = terms.count_words(df, "id", "label", "fold")
+    means = bayes.fold_accuracies(counts, "id").groupBy("smoothing").agg(F.avg("accuracy").alias("mean"))
+    assert [r["mean"] for r in means.orderBy("smoothing").collect()] == pytest.approx(tuned.avgMetrics)
+
+
+def test_fold_accuracies_of_a_class_in_one_fold_only(spark):
+    df = spark.createDataFrame([(0, "negative", "bad bad", 0), (1, "positive", "good", 1), (2, "positive", "good bad", 2), (3, "positive", "", 2)], "id int, label string, reviewText string, fold int")
+    counts = terms.count_words(df, "id", "label", "fold")
+    found = {(r.fold, r.smoothing): (r.n, r.hits) for r in bayes.fold_accuracies(counts, "id").collect()}
+    # The empty text of fold 2 fits both classes alike, so it goes to the first.
+    assert {f: v for (f, s), v in found.items() if s == 1.0} == {0: (1, 0), 1: (1, 1), 2: (2, 1)}

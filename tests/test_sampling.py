@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
 
 import pytest
@@ -144,3 +145,31 @@ def test_a_tiny_class_is_drawn_in_parts(spark, monkeypatch):
     drawn = Counter(r.label for r in out)
     assert 700 < drawn["b"] <= drawn["a"] == 1000
     assert len({(r.id, r.copy) for r in out}) == len(out)
+
+
+def test_hashed_draws_do_not_depend_on_partitions(spark):
+    df = labelled(spark, {"a": 300, "b": 40, "c": 3, None: 7})
+    first, second = (sorted(map(str, sampling.balance_hashed(df.repartition(p), "id").collect())) for p in (1, 7))
+    assert first == second
+    assert first != sorted(map(str, sampling.balance_hashed(df, "id", seed=7).collect()))
+    whole = Counter(r.label for r in sampling.balance_hashed(df, "id").collect())
+    assert whole["a"] == 300 and all(150 < whole[c] <= 300 for c in ("b", "c", None))
+    rows = sampling.balance_hashed(df, "id").collect()
+    assert len({(r.id, r.copy) for r in rows}) == len(rows)
+
+
+def test_hashed_draws_follow_the_poisson_distribution(spark):
+    df = labelled(spark, {"a": 40_000, "b": 16_000})
+    drawn = sampling.balance_hashed(df, "id", cut=False).filter("label = 'b'").groupBy("id").count().groupBy("count").count()
+    found = {r["count"]: r[1] for r in drawn.toLocalIterator()}
+    found[0] = 16_000 - sum(found.values())
+    for k in range(6):
+        share = math.exp(-2.5) * 2.5**k / math.factorial(k)
+        assert abs(found[k] - 16_000 * share) < 5 * math.sqrt(16_000 * share)
+
+
+def test_hashed_draws_of_a_tiny_class_come_in_parts(spark):
+    df = labelled(spark, {"a": 5_000, "b": 2})
+    found = Counter(r.id for r in sampling.balance_hashed(df, "id", cut=False).filter("label = 'b'").collect())
+    assert len(found) == 2 and all(2_200 < n < 2_800 for n in found.values())
+    assert sampling.balance_hashed(df.limit(0), "id").count() == 0
