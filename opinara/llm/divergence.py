@@ -28,12 +28,13 @@ rows.
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,6 +53,8 @@ BLOCK = 1 << 15
 BROADCAST = 1 << 25
 #: Different terms that a task counts before it sends them on.
 COUNTED = 1 << 20
+#: Ordinals whose counts travel in one row.
+PIECE = 1 << 12
 #: Parts that the counted terms of a block are spread over, where they travel.
 SPREAD = 32
 #: Parts that the groups of a language are spread over when they are paired.
@@ -90,42 +93,63 @@ FOUND_DDL = "lang string, term binary, n long"
 
 def _documents(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
     """``lang, term, n``: documents of a task that hold a term."""
-    counts: dict[str, Counter] = {}
+    counts: dict[str, Counter] = defaultdict(Counter)
     size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, seen in counts.items():
+            columns = [pa.repeat(lang, len(seen)), pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, schema=FOUND)
+        counts.clear()
+
     for lang, _, text in rows:
-        seen = counts.setdefault(lang, Counter())
+        seen = counts[lang]
         size -= len(seen)
         seen.update(set().union(*terms(text)))
         size += len(seen)
         if size > COUNTED:
-            yield from _flat(counts)
-            counts, size = {}, 0
-    yield from _flat(counts)
+            yield from flush()
+            size = 0
+    yield from flush()
 
 
-def _flat(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, seen in counts.items():
-        columns = [pa.repeat(lang, len(seen)), pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, schema=FOUND)
+#: By source: numbers of words, and how often each occurs.
+Counts = dict[str, tuple[np.ndarray, np.ndarray]]
 
 
-Counts = dict[tuple[str, str], Counter]
+def _counted(rows: Iterable[tuple]) -> Iterator[tuple[str, list[bytes], Counts]]:
+    """Language, words by number, and occurrences by source, some at a time."""
+    counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+    size = 0
 
+    def flush() -> Iterator[tuple[str, list[bytes], Counts]]:
+        for lang, sources in counts.items():
+            number = defaultdict(count().__next__)
+            numbered = {
+                source: (np.fromiter(map(number.__getitem__, seen), np.int64, len(seen)), np.fromiter(seen.values(), np.int64, len(seen)))
+                for source, seen in sources.items()
+            }
+            yield lang, list(number), numbered
+        counts.clear()
 
-def _counted(rows: Iterable[tuple]) -> Iterator[Counts]:
-    """Occurrences of terms by language and source, some at a time."""
-    counts: Counts = {}
-    size = 0
     for lang, source, text in rows:
-        seen = counts.setdefault((lang, source), Counter())
+        seen = counts[lang][source]
         size -= len(seen)
         for words in terms(text):
             seen.update(words)
         size += len(seen)
         if size > COUNTED:
-            yield counts
-            counts, size = {}, 0
-    yield counts
+            yield from flush()
+            size = 0
+    yield from flush()
+
+
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in ascending order, with the sum of its values."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    ends = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[ends], np.add.reduceat(values[order], ends) if len(ends) else values[:0]
 
 
 def key(lang: str, term: bytes) -> bytes:
@@ -164,71 +188,95 @@ def parts(firsts: list[bytes], keys: list[bytes]) -> Iterator[tuple[int, int, in
         at = end
 
 
+PACKED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("piece", pa.int64()), ("places", pa.binary()), ("counts", pa.binary())])
+PACKED_DDL = "lang string, source string, piece long, places binary, counts binary"
+
+
+def _packed(lang: str, source: str, ordinals: np.ndarray, n: np.ndarray) -> Iterator[tuple]:
+    """The counts of a group, a row for each ``PIECE`` ordinals."""
+    ordinals, n = _summed(ordinals[ordinals >= 0], n[ordinals >= 0])
+    piece = ordinals // PIECE
+    cuts = np.flatnonzero(np.diff(piece)) + 1
+    for at, some, counts in zip(piece[np.r_[0, cuts]] if len(piece) else (), np.split(ordinals, cuts), np.split(n, cuts), strict=False):
+        yield lang, source, int(at), (some % PIECE).astype(np.uint16).tobytes(), counts.astype(np.int64).tobytes()
+
+
+def _through(blocks: Blocks, lang: str, words: list[bytes], counts: Counts) -> Iterator[tuple]:
+    """The counts of the kept words."""
+    order = pc.sort_indices(pa.array(words, pa.binary())).to_numpy()
+    ordinals = np.empty(len(words), np.int64)
+    ordinals[order] = blocks.ordinals([key(lang, words[i]) for i in order.tolist()])
+    for source, (numbers, n) in counts.items():
+        yield from _packed(lang, source, ordinals[numbers], n)
+
+
 ORDINALS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("ordinal", pa.int64()), ("n", pa.int64())])
 ORDINALS_DDL = "lang string, source string, ordinal long, n long"
 
 
-def _through(blocks: Blocks, counts: Counts) -> Iterator[pa.RecordBatch]:
-    """``lang, source, ordinal, n`` of the kept terms."""
-    for lang, groups in groupby(sorted(counts), key=lambda g: g[0]):
-        groups = list(groups)
-        words = sorted(set().union(*(counts[g] for g in groups)))
-        place = dict(zip(words, blocks.ordinals([key(lang, w) for w in words]).tolist(), strict=True))
-        for _, source in groups:
-            seen = counts[lang, source]
-            ordinals = np.fromiter(map(place.__getitem__, seen), np.int64, len(seen))
-            n = np.fromiter(seen.values(), np.int64, len(seen))[ordinals >= 0]
-            columns = [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), pa.array(ordinals[ordinals >= 0]), pa.array(n)]
-            yield pa.RecordBatch.from_arrays(columns, schema=ORDINALS)
+def _merged(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """``lang, source, ordinal, n`` from rows of ``_packed`` in the order of group and piece."""
+    for (lang, source, piece), some in groupby(rows, key=lambda r: r[:3]):
+        total = np.zeros(PIECE, np.int64)
+        for _, _, _, places, counts in some:
+            total[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, np.int64)
+        at = np.flatnonzero(total)
+        columns = [pa.repeat(lang, len(at)), pa.repeat(source, len(at)), pa.array(at + piece * PIECE), pa.array(total[at])]
+        yield pa.RecordBatch.from_arrays(columns, schema=ORDINALS)
 
 
 def _recounted_in_place(docs: DataFrame, blocks: DataFrame) -> DataFrame:
     """Texts pass the transducers where they are read. ``blocks`` are few, as their size is checked."""
     shared = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in blocks.collect()])
 
-    def make(batches: Batches) -> Iterator[pa.RecordBatch]:
+    def make(rows: Iterable[tuple]) -> Iterator[tuple]:
         loaded = Blocks((bytes(first), base, bytes(body)) for first, base, body in shared.value)
-        for counts in _counted(_rows(batches)):
-            yield from _columns(_through(loaded, counts))
+        for lang, words, counts in _counted(rows):
+            yield from _through(loaded, lang, words, counts)
 
-    return on_workers(docs).mapInArrow(make, ORDINALS_DDL)
+    return map_rows(docs, make, PACKED, PACKED_DDL)
 
 
-PACKED = pa.schema(
+SENT = pa.schema(
     [("first", pa.binary()), ("part", pa.int32()), ("lang", pa.string()), ("source", pa.string())]
-    + [("words", pa.binary()), ("counts", pa.list_(pa.int64())), ("base", pa.int64()), ("body", pa.binary())]
+    + [("words", pa.binary()), ("counts", pa.binary()), ("base", pa.int64()), ("body", pa.binary())]
 )
-PACKED_DDL = "first binary, part int, lang string, source string, words binary, counts array<long>, base long, body binary"
+SENT_DDL = "first binary, part int, lang string, source string, words binary, counts binary, base long, body binary"
 
 
 def _recounted_at_blocks(docs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The counted terms of a task travel to the transducer of their block. Tasks know only where blocks begin."""
+    """The counted words of a task travel to the transducer of their block. Tasks know only where blocks begin."""
     firsts = docs.sparkSession.sparkContext.broadcast(sorted(bytes(r[0]) for r in blocks.select("first").collect()))
 
-    def pack(rows: Iterable[tuple]) -> Iterator[tuple]:
+    def send(rows: Iterable[tuple]) -> Iterator[tuple]:
         task = TaskContext.get().partitionId()
-        for counts in _counted(rows):
-            for (lang, source), seen in counts.items():
-                words = sorted(seen)
+        for lang, words, counts in _counted(rows):
+            order = pc.sort_indices(pa.array(words, pa.binary())).to_numpy()
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            words = [words[i] for i in order.tolist()]
+            for source, (numbers, n) in counts.items():
+                ranks, n = _summed(rank[numbers], n)
+                some = [words[i] for i in ranks.tolist()]
                 part = (task + sum(source.encode())) % SPREAD
-                for block, a, b in parts(firsts.value, [key(lang, w) for w in words]):
-                    some = words[a:b]
-                    yield firsts.value[block], part, lang, source, b"\0".join(some), [seen[w] for w in some], None, None
+                for block, a, b in parts(firsts.value, [key(lang, w) for w in some]):
+                    yield firsts.value[block], part, lang, source, b"\0".join(some[a:b]), n[a:b].astype(np.int64).tobytes(), None, None
 
-    def look_up(batches: Batches) -> Iterator[pa.RecordBatch]:
+    def look_up(rows: Iterable[tuple]) -> Iterator[tuple]:
         block = None
-        for first, _, lang, source, words, counts, base, body in _rows(batches):
+        for first, _, lang, source, words, counts, base, body in rows:
             if body is not None:  # comes first
                 block = Blocks([(first, base, body)])
                 continue
-            yield from _columns(_through(block, {(lang, source): dict(zip(words.split(b"\0"), counts, strict=True))}))
+            ordinals = block.ordinals([key(lang, w) for w in words.split(b"\0")])
+            yield from _packed(lang, source, ordinals, np.frombuffer(counts, np.int64))
 
-    packed = map_rows(docs, pack, PACKED, PACKED_DDL)
+    sent = map_rows(docs, send, SENT, SENT_DDL)
     every = F.explode(F.array(*[F.lit(i) for i in range(SPREAD)])).alias("part")
     bodies = blocks.select("first", every, "base", "body")
-    both = packed.unionByName(bodies, allowMissingColumns=True).repartition("first", "part")
-    together = both.sortWithinPartitions("first", "part", F.col("body").isNull()).select(*PACKED.names)
-    return on_workers(together).mapInArrow(look_up, ORDINALS_DDL)
+    both = sent.unionByName(bodies, allowMissingColumns=True).repartition("first", "part")
+    together = both.sortWithinPartitions("first", "part", F.col("body").isNull()).select(*SENT.names)
+    return map_rows(together, look_up, PACKED, PACKED_DDL)
 
 
 def vocabulary(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
@@ -259,7 +307,8 @@ def recount(docs: DataFrame, blocks: DataFrame, broadcast: int = BROADCAST) -> D
     """``lang, source, ordinal, n`` of all kept terms, as a written table."""
     size = blocks.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     found = (_recounted_in_place if size <= broadcast else _recounted_at_blocks)(docs, blocks)
-    return stored(found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")), "recounts")
+    found = found.repartition("lang", "source", "piece").sortWithinPartitions("lang", "source", "piece")
+    return stored(on_workers(found).mapInArrow(lambda batches: _columns(_merged(_rows(batches))), ORDINALS_DDL), "recounts")
 
 
 def share(n: Column | str, total: Column | str, kept: Column | str) -> Column:
@@ -281,14 +330,6 @@ def _gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 SHARED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("more", pa.int64())])
 
 
-def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each key once, with the sum of its values."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    ends = np.flatnonzero(np.diff(keys, prepend=-1))
-    return keys[ends], np.add.reduceat(values[order], ends)
-
-
 def shared_terms(batches: Batches) -> Iterator[pa.RecordBatch]:
     """What terms that two sources both have add to their sums, some pairs at a time.
 

@@ -87,10 +87,10 @@ def test_small_memory(spark, monkeypatch):
     monkeypatch.setattr(divergence, "COUNTED", 3)
     rows = [(lang or "", source or "", (t or "").encode()) for lang, source, t in made(4)]
     sums = Counter()
-    for counts in divergence._counted(rows):
-        for group, seen in counts.items():
-            for term, n in seen.items():
-                sums[group, term] += n
+    for lang, words, counts in divergence._counted(rows):
+        for source, (numbers, n) in counts.items():
+            for i, k in zip(numbers.tolist(), n.tolist(), strict=True):
+                sums[(lang, source), words[i]] += k
     whole = Counter()
     for lang, source, t in rows:
         for words in divergence.terms(t):
