@@ -139,25 +139,50 @@ class Codec:
         pair = list(map(self.byte_pairs.__getitem__, zip(match, match[1:], strict=False)))
         pair.append(-1)
         queue.fill(pair)
-        while queue.top:
-            rank, i = queue.pop()
+        # The queue's pop and push, written out: calls would cost more than the work.
+        buckets, words, top = queue.buckets, queue.words, queue.top
+        while top:
+            w = (top & -top).bit_length() - 1
+            word = words[w]
+            lowest = word & -word
+            rank = (w << 8) + lowest.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                word ^= lowest
+                words[w] = word
+                if not word:
+                    top &= top - 1
             if pair[i] != rank:
                 continue  # stale
             gone = after[i]
             end = after[i] = after[gone]
             pair[gone] = -1
+            found = []
             if end < n:
                 before[end] = i
                 new = pair[i] = rank_of(match[i : after[end]], -1)
                 if new >= 0:
-                    queue.push(new, i)
+                    found.append((new, i))
             else:
                 pair[i] = -1
             left = before[i]
             if left >= 0:
                 new = pair[left] = rank_of(match[left:end], -1)
                 if new >= 0:
-                    queue.push(new, left)
+                    found.append((new, left))
+            for new, position in found:
+                if new in buckets:
+                    heappush(buckets[new], position)
+                else:
+                    buckets[new] = [position]
+                    w = new >> 8
+                    words[w] |= BIT[new & 255]
+                    top |= 1 << w
+        queue.top = 0
         ranks = self.ranks
         out, i = [], 0
         while i < n:
