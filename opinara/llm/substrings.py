@@ -1,15 +1,15 @@
-"""Removal of long passages that an earlier document already holds, by relative Lempel-Ziv parsing.
+"""Removal of long passages that an earlier document already holds, by blocks and windows.
 
-Method. Every document is parsed against the documents with smaller ids, the
-reference. The reference is indexed by blocks cut by content: of the word
+Method. Joins of blocks and windows stand in for the greedy factors of a relative
+Lempel-Ziv parse: no place in the reference is carried. Every document is
+compared with the documents with smaller ids, the reference. The reference is indexed by blocks cut by content: of the word
 10-grams of every window of 50 words the one with the smallest hash is its
 anchor, and the consecutive windows that share an anchor form a block, about 70
 words long. A passage that occurs in two documents is cut into the same blocks
-in both, save at its ends. The parser walks through a document from left to
-right and makes maximal factors of adjacent blocks found in the reference. At
-the ends of factors, where a copied passage begins or stops inside a block, it
+in both, save at its ends. Adjacent blocks found in the reference form stretches.
+At the ends of stretches, where a copied passage begins or stops inside a block, it
 checks word by word: it looks up each window of the blocks in question among the
-windows of the reference's blocks with the same anchor. Factors of at least 50
+windows of the reference's blocks with the same anchor. Stretches of at least 50
 words become duplicate spans.
 
 That is exact. If a window of 50 words also starts in an earlier document, take
