@@ -14,7 +14,7 @@ from opinara.functions.ratings import helpful_votes, helpfulness_ratio, parse_he
 from opinara.functions.text import review_length
 from opinara.models import training
 from opinara.models.evaluation import METRICS, confusion, metrics
-from opinara.models.features import class_names, feature_model
+from opinara.models.features import class_names, cut_terms, feature_model
 from opinara.operators import panels, profile
 from opinara.operators.filters import recent, with_text
 from opinara.operators.projections import with_cleaned, with_sentiment
@@ -72,7 +72,8 @@ def train_models(
     """Clean, label, balance and split the reviews; train, compare and save the models.
 
     Writes the splits, the best model, its text stages, the test rows as JSON and the
-    test metrics below ``folder``, and returns the paths and accuracies.
+    test metrics below ``folder``, and returns the paths and accuracies, and how
+    many terms the fixed-width features had no room for (``cut_terms``).
     """
     ready = with_cleaned(with_text(with_sentiment(numbered(reviews))))
     splits = scan_parquet(
@@ -89,6 +90,7 @@ def train_models(
     return {
         "best": trained.best,
         "accuracy": trained.accuracy,
+        "cut_terms": cut_terms(best, train),
         "splits": f"{folder}/splits",
         "model": training.save_model(best, folder, "sentiment"),
         "features": training.save_model(feature_model(best), folder, "tfidf"),

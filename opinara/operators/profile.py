@@ -72,6 +72,27 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], relative_error: float
     return unpivoted(counts, columns, "distinct")
 
 
+#: Base-2 logarithm of a sketch's cells, and how far an estimate may be off: three standard errors of 1.04 / sqrt(cells).
+SKETCH_CELLS = 12
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_CELLS / 2)
+
+
+def distinct_sketches(df: DataFrame, columns: Sequence[str], *by: str, cells: int = SKETCH_CELLS) -> DataFrame:
+    """``by, column, sketch``: one sketch of the distinct values per group and column, of a fixed largest size.
+
+    Store them by day, say: new rows need only their own sketches, and ``merged_distinct`` counts over any of them.
+    """
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    values = df.select(*by, F.inline(F.array(*pairs)))
+    return values.groupBy(*by, "column").agg(F.hll_sketch_agg("value", F.lit(cells)).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, *by: str) -> DataFrame:
+    """``by, column, distinct``: estimates over all given sketches, within ``SKETCH_ERROR`` nearly always."""
+    merged = sketches.groupBy(*by, "column").agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select(*by, "column", F.hll_sketch_estimate("sketch").alias("distinct"))
+
+
 def rating_counts(df: DataFrame) -> DataFrame:
     return df.filter(F.col("overall").isNotNull()).groupBy("overall").agg(F.count(F.lit(1)).alias("n")).orderBy("overall")
 

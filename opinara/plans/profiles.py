@@ -12,6 +12,7 @@ from opinara.operators.filters import with_text
 from opinara.operators.projections import with_cleaned
 from opinara.operators.sampling import balance_exact
 from opinara.plans.fixtures import REVIEW_COLUMNS, predictions, reviews, sql
+from opinara.session import stored
 from opinara.plans.registry import Registry
 from opinara.plans.scalars import RATIO_SQL, WHITE_SQL
 from opinara.plans.storage import CLEAN_SQL
@@ -145,6 +146,19 @@ def distinct_counts(spark, sf_dir):
     return profile.distinct_counts(reviews(spark, sf_dir, *NAMES), NAMES)
 
 
+@QUERIES.add(
+    "distinct_sketched",
+    sql(" union all ".join(f"""select '{c}' as "column", count(distinct "{c}") as exact, true as near from reviews""" for c in NAMES)),
+)
+def distinct_sketched(spark, sf_dir):
+    """Estimates from sketches that were stored day by day and merged, against the exact counts."""
+    rows = reviews(spark, sf_dir, *dict.fromkeys(["reviewTime", *NAMES]))
+    days = stored(profile.distinct_sketches(rows, NAMES, "reviewTime"), "distinct-sketches")
+    both = profile.distinct_counts(rows, NAMES).join(profile.merged_distinct(days).withColumnRenamed("distinct", "guess"), "column")
+    near = F.abs(F.col("guess") - F.col("distinct")) <= F.col("distinct") * profile.SKETCH_ERROR
+    return both.select("column", F.col("distinct").alias("exact"), near.alias("near"))
+
+
 @QUERIES.add("rating_counts", sql("select overall, count(*) as n from reviews where overall is not null group by overall"))
 def rating_counts(spark, sf_dir):
     return profile.rating_counts(reviews(spark, sf_dir, "overall"))

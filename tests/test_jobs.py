@@ -104,3 +104,7 @@ def test_votes_as_text_are_read(spark, tmp_path):
     path = tmp_path / "r.json"
     path.write_text('{"helpful": "[1, 2]", "overall": 5.0}\n{"helpful": [3, 4], "overall": 5.0}\n{"overall": 5.0}\n')
     assert [r.helpful for r in scan_reviews(spark, str(path)).collect()] == [[1, 2], [3, 4], None]
+
+
+def test_training_tells_how_many_terms_were_cut(trained):
+    assert trained["cut_terms"] == 0

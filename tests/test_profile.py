@@ -92,3 +92,15 @@ def test_approximate_distinct_counts(spark):
 def test_null_counts(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
     assert {r["column"]: r.nulls for r in profile.null_counts(df).collect()} == {"a": 1, "b": 2}
+
+
+def test_sketches_of_days_merge(spark):
+    df = spark.range(60_000).select((F.col("id") % 5).alias("day"), (F.col("id") % 7_000).alias("n"), F.when(F.col("id") % 3 > 0, "x").alias("s"), F.lit(None).cast("string").alias("none"))
+    days = profile.distinct_sketches(df, ["n", "s", "none"], "day")
+    found = {r["column"]: r["distinct"] for r in profile.merged_distinct(days).collect()}
+    assert abs(found["n"] - 7_000) <= 7_000 * profile.SKETCH_ERROR and (found["s"], found["none"]) == (1, 0)
+    # A day that comes later needs no other rows.
+    more = profile.distinct_sketches(spark.range(7_000, 9_000).select(F.lit(9).cast("bigint").alias("day"), F.col("id").alias("n")), ["n"], "day")
+    later = {r["column"]: r["distinct"] for r in profile.merged_distinct(days.unionByName(more)).collect()}
+    assert abs(later["n"] - 9_000) <= 9_000 * profile.SKETCH_ERROR
+    assert days.groupBy("day").count().count() == 5
