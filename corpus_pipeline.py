@@ -8,12 +8,14 @@ came along.
 
 1. quality rules: documents that a rule rejects go.
 2. exact dedup: of equal texts the one with the largest id stays.
-3. near-dedup: of each group of documents whose 5-word shingles have a Jaccard
-   similarity of 0.8 or more the one with the smallest id stays.
+3. near-dedup: of each group of documents whose SimHash fingerprints of 3-word
+   shingles are linked at two or fewer differing bits the one with the smallest
+   id stays.
 4. substring dedup: passages that an earlier document holds are cut out.
 5. packing: one row per piece of a document in a training sequence.
 
-Nulls, empty texts, ties and repeated rows are treated as each operator states.
+Nulls and empty texts are treated as each operator states. Of rows that tie for
+a group, repeated rows among them, the dedup stages keep one.
 An empty table passes through all stages as an empty one.
 """
 
@@ -22,7 +24,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact, packing, rules, shingles, substrings
+from opinara.llm import exact, packing, rules, simhash, substrings
 from opinara.llm.common import stored, table
 
 
@@ -35,7 +37,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shingles.keep_first(docs)
+    return simhash.keep_first(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
