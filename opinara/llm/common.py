@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from opinara.session import stored
 
-__all__ = ["fresh", "map_rows", "numbered", "on_workers", "row_hash", "slices", "stored", "table", "text_blocks", "utf8"]
+__all__ = ["fresh", "keep_one", "map_rows", "numbered", "on_workers", "row_hash", "slices", "stored", "table", "text_blocks", "utf8"]
 
 #: The folder that holds the package.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -44,6 +44,33 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def keep_one(docs: DataFrame, found: DataFrame, group: str) -> DataFrame:
+    """The one row of ``docs`` that stays of each group, all columns kept.
+
+    ``found`` is a written table with a row for each one of ``docs``: its ``doc_id``, ``row_hash``, the group's name in
+    the column ``group``, and ``kept``, true where the row has the id that stays. Of rows with that id (or without one,
+    where a group has none) the one with the smallest hash of its text stays; of rows that repeat id and text any one.
+    Only keys are moved, and rows that repeat; those are combined before they are shuffled, so none is a hot one.
+    """
+    kept = found.filter("kept")
+    ties = kept.groupBy(group).agg(F.min("row_hash").alias("first_hash"), F.count(F.lit(1)).alias("n"))
+    ties = stored(ties.filter("n > 1").select(group, "first_hash"), "ties")
+    lost = kept.join(ties, group).filter("row_hash <> first_hash")
+    gone = found.filter("not kept").select("doc_id", "row_hash").union(lost.select("doc_id", "row_hash"))
+    again = kept.join(ties, group, "left_semi").groupBy("doc_id", "row_hash").count().filter("count > 1")
+    gone = stored(gone.select(F.col("doc_id").alias("gone_id"), F.col("row_hash").alias("gone_hash")).distinct(), "gone")
+    again = stored(again.select(F.col("doc_id").alias("gone_id"), F.col("row_hash").alias("gone_hash")), "repeated")
+
+    def met(keys: DataFrame) -> Column:
+        return docs["doc_id"].eqNullSafe(keys["gone_id"]) & (row_hash(docs["text"]) == keys["gone_hash"])
+
+    left = docs.join(gone, met(gone), "left_anti")
+    name = fresh(docs, "row_hash")
+    repeated = left.join(again, met(again), "left_semi").withColumn(name, row_hash("text"))
+    repeated = repeated.dropDuplicates(["doc_id", name]).drop(name)
+    return left.join(again, met(again), "left_anti").union(repeated)
+
+
 #: Rows that go to one output batch at most.
 ROWS = 4096
 #: Rows of an input batch that are made plain values together.

@@ -20,7 +20,9 @@ splits its hot keys.
 
 Defined results. A null text is an empty one. A null id is smaller than any
 other. Rows that repeat an id and its text are one document: all get the same
-decision, and each counts in ``group_size``. An empty table gives no rows.
+decision, and each counts in ``group_size``; ``drop_duplicates`` keeps one row
+of a group, also where rows tie for its id or none has one. An empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import map_rows, row_hash, stored, utf8
+from opinara.llm.common import keep_one, map_rows, row_hash, stored, utf8
 
 SLOTS = 4
 KICKS = 200
@@ -187,9 +189,5 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text is the live one of its group, all columns kept."""
-    dropped = exact_duplicates(docs).filter("not kept")
-    dropped = dropped.select(F.col("doc_id").alias("dropped_id"), F.col("row_hash").alias("dropped_hash"))
-    gone = stored(dropped.distinct(), "dropped")
-    same = docs["doc_id"].eqNullSafe(gone["dropped_id"]) & (row_hash(docs["text"]) == gone["dropped_hash"])
-    return docs.join(gone, same, "left_anti")
+    """The row of ``docs`` that stays of each group of equal texts, all columns kept; of tied rows one."""
+    return keep_one(docs, stored(exact_duplicates(docs), "exact-groups"), "text_sha256")

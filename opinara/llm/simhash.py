@@ -23,8 +23,9 @@ components, found by joins in the shared folder.
 
 Defined results. A null text has no words: its fingerprint is 0, linked like any
 other. A null id belongs to a component but never names one, unless all its ids
-are null. Repeated rows share fingerprint and component. An empty table gives no
-rows.
+are null. Repeated rows share fingerprint and component; ``keep_first`` keeps one
+row of a component, also where rows tie for its id or none has one. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import map_rows, row_hash, stored, text_blocks, utf8
+from opinara.llm.common import keep_one, map_rows, row_hash, stored, text_blocks, utf8
 from opinara.llm.graph import components
 
 SEED = 42
@@ -123,24 +124,25 @@ def links(prints: DataFrame, longest: int = LIST) -> DataFrame:
     return pairs.union(stars.distinct())
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int = LIST) -> DataFrame:
-    """``doc_id, fingerprint, component_id, row_hash`` for every row of ``docs``."""
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int = LIST) -> DataFrame:
+    """``doc_id, row_hash, bits, label, component_id``; ``label`` names a component even where no row has an id."""
     rows = fingerprints(docs, key, text)
     prints = stored(rows.groupBy("bits").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     labels = components(links(prints, longest))
     named = prints.join(labels, prints["bits"] == labels["node"], "left")
     named = named.select("bits", "first_id", F.coalesce("label", "bits").alias("label"))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = stored(named.join(smallest, "label").select("bits", "component_id"), "components")
-    return rows.join(named, "bits").select(
-        "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id", "row_hash"
-    )
+    named = stored(named.join(smallest, "label").select("bits", "label", "component_id"), "components")
+    return rows.join(named, "bits").select("doc_id", "row_hash", "bits", "label", "component_id")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int = LIST) -> DataFrame:
+    """``doc_id, fingerprint, component_id, row_hash`` for every row of ``docs``."""
+    fingerprint = F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint")
+    return groups(docs, key, text, longest).select("doc_id", fingerprint, "component_id", "row_hash")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their component, all columns kept."""
-    later = near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = later.select(F.col("doc_id").alias("later_id"), F.col("row_hash").alias("later_hash"))
-    gone = stored(gone.distinct(), "later-copies")
-    same = docs["doc_id"].eqNullSafe(gone["later_id"]) & (row_hash(docs["text"]) == gone["later_hash"])
-    return docs.join(gone, same, "left_anti")
+    """The row of ``docs`` that names its component, all columns kept; of tied rows one."""
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return keep_one(docs, stored(groups(docs).select("doc_id", "row_hash", "label", kept), "near-groups"), "label")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import xxhash
 from pyspark.sql import types as T
 
 #: Columns of ``documents``, and more whose names the operators use inside.
@@ -53,3 +54,30 @@ ODD = [
 def documents(spark, rows=ODD):
     filled = [(i, t, "en", None if i == 13 else f"src{(i or 0) % 3}", None if t is None else len(t), *EXTRA) for i, t in rows]
     return spark.createDataFrame(filled, DOCS)
+
+
+def one_each(rows, group, id_of):
+    """The row that stays of each group: the id ``id_of`` picks, of ties the smallest hash of the text, of equals one."""
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(group(t), []).append((i, t))
+    out = []
+    for members in groups.values():
+        ids = [i for i, _ in members if i is not None]
+        name = id_of(ids) if ids else None
+        signed = {t: xxhash.xxh64_intdigest((t or "").encode(), 42) for i, t in members if i == name}
+        signed = {t: h - (1 << 64) if h >> 63 else h for t, h in signed.items()}
+        out.append((name, min(signed, key=signed.get)))
+    return out
+
+
+#: The same row many times over, rows that tie for an id, and groups without any id.
+REPEATED = [
+    *[(400, prose(101, 90))] * 50,
+    (400, prose(101, 90).upper()),
+    *[(None, prose(102, 90))] * 9,
+    (None, prose(102, 90).upper()),
+    *[(401, prose(103, 300))] * 3,
+    (401, prose(103, 300) + " tail"),
+    (399, prose(103, 300)),
+]

@@ -4,7 +4,7 @@ import hashlib
 import random
 from collections import defaultdict
 
-from llm_cases import DOCS, ODD
+from llm_cases import DOCS, ODD, REPEATED, documents, one_each
 
 from opinara.llm import exact
 from opinara.llm.exact import CuckooIndex, drop_duplicates, exact_duplicates
@@ -40,12 +40,12 @@ def test_empty_table(none):
     assert drop_duplicates(none).count() == 0
 
 
-def test_dropping_keeps_all_columns(odd):
-    kept = drop_duplicates(odd)
+def test_dropping_keeps_one_row_of_each_group(spark):
+    rows = ODD + REPEATED
+    kept = drop_duplicates(documents(spark, rows).repartition(5))
     assert kept.schema == DOCS
-    keep = {d: k for _, k, _, _, d in expected(ODD)}
-    want = sorted(((i, t) for i, t in ODD if i == keep[digest(t)]), key=str)
-    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == want
+    want = one_each(rows, digest, max)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
 
 
 def test_index_grows_and_deletes():
