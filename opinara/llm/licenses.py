@@ -6,16 +6,21 @@ text's words. After a tag the raw text is read as a licence expression: a
 shunting-yard parser turns identifiers, parentheses and the operators ``WITH``,
 ``AND`` and ``OR`` (binding in this order) into postfix form, which is then
 evaluated: ``OR`` takes the freer side, ``AND`` the stricter one, an exception
-loosens its licence. A text's ``score`` is the freedom of the strictest thing
-found in it, from 0 to 1; 0 also where nothing is found.
+loosens its licence. A phrase inside a longer one found at the same place (the
+general in the lesser general public license) keeps its base label, but adds
+nothing else. A text's ``score`` is the freedom of the strictest thing found in
+it, from 0 to 1; 0 also where nothing is found.
 
 On Spark. One pass over the texts, no shuffle; the automaton is built once in
 each worker from a fixed list.
 
 Defined results. A null text is an empty one: no words, nothing found, places
 null. An unknown identifier has the label of its name and a freedom of 0.5. An
-expression ends where its grammar does; what stands before counts. Repeated rows
-give repeated results; an empty table gives no rows.
+expression ends where its grammar does; what stands before counts. It ends with
+its line unless a bracket is open, which goes over line ends and the comment signs
+after them. Operators in lower case are words of a sentence unless a known
+identifier follows. Very long texts are read whole, in memory in proportion to the
+text. Repeated rows give repeated results; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -75,7 +80,10 @@ UNKNOWN = 0.5
 EXCEPTION = 0.2
 TAG = "spdx license identifier"
 TAG_TEXT = re.compile(r"spdx[^0-9a-z\n]+license[^0-9a-z\n]+identifier[^0-9a-z(\n]*", re.IGNORECASE)
-TOKEN = re.compile(r"[ \t]*(?:([()])|([0-9A-Za-z][0-9A-Za-z.:+-]*))")
+TOKEN = r"(?:([()])|([0-9A-Za-z][0-9A-Za-z.:+-]*))"
+#: The next part of an expression: on its line, or, inside brackets, beyond line ends and comment signs.
+ON_LINE = re.compile(r"[ \t]*+" + TOKEN)
+BRACKETED = re.compile(r"(?:[ \t\r]|\n[ \t]*+(?:#++|\*++(?!/)|/{2,}+|;++|--)?)*+" + TOKEN)
 BINDS = {"OR": 1, "AND": 2, "WITH": 3}
 
 #: Words as they are scanned: A-Z lower-cased; everything but digits, letters and non-ASCII is a space.
@@ -94,12 +102,26 @@ def automaton():
     return found
 
 
+def joins(text: str, at: int, name: str, bracketed: bool) -> bool:
+    """Whether ``name``, which ends at ``at``, is an operator there: in capitals, or before a known identifier."""
+    if name.upper() not in BINDS or name.isupper():
+        return name.upper() in BINDS
+    while match := (BRACKETED if bracketed else ON_LINE).match(text, at):
+        bracket, following = match.groups()
+        if following:
+            return family(following) in FREEDOM or name.upper() == "WITH" and "exception" in following.lower()
+        if bracket == ")":
+            break
+        at, bracketed = match.end(), True
+    return False
+
+
 def postfix(text: str, start: int) -> list[str]:
     """The licence expression at ``start``, in postfix form, by shunting-yard."""
     out: list[str] = []
     waiting: list[str] = []
     operand, at = True, start  # whether an operand has to come next
-    while match := TOKEN.match(text, at):
+    while match := (BRACKETED if "(" in waiting else ON_LINE).match(text, at):
         bracket, name = match.groups()
         if operand and bracket == "(":
             waiting.append("(")
@@ -109,7 +131,7 @@ def postfix(text: str, start: int) -> list[str]:
         elif not operand and bracket == ")" and "(" in waiting:
             while (top := waiting.pop()) != "(":
                 out.append(top)
-        elif not operand and name and name.upper() in BINDS:
+        elif not operand and name and joins(text, match.end(), name, "(" in waiting):
             operator = name.upper()
             while waiting and waiting[-1] != "(" and BINDS[waiting[-1]] >= BINDS[operator]:
                 out.append(waiting.pop())
@@ -155,14 +177,18 @@ def scan(text: bytes) -> tuple[int, int, int | None, int | None, str, str, float
     # One character a byte keeps positions; the phrases are ASCII.
     joined = (b" " + b" ".join(words) + b" ").decode("latin-1")
     places, base_labels, labels, freedom = [], set(), set(), []
+    longest: list[tuple[int, int, str]] = []  # begin, end and label of phrases that lie in no other
     word, upto, tagged = 0, 0, False
     for end, (phrase, label) in automaton().iter(joined):
         begin = end - len(phrase) - 1
         if label is None:
             tagged = True
             continue
-        labels.add(label)
-        freedom.append(FREEDOM[label])
+        # Ends come in order: a phrase can only lie in one with the same end, or hold those before it.
+        if not longest or longest[-1][1] < end or longest[-1][0] > begin:
+            while longest and longest[-1][0] >= begin:
+                longest.pop()
+            longest.append((begin, end, label))
         if phrase in BASE:
             # Ends come in order, starts nearly so: count on from the last place, or anew.
             if begin < upto:
@@ -171,6 +197,8 @@ def scan(text: bytes) -> tuple[int, int, int | None, int | None, str, str, float
             upto = begin
             places.append(word)
             base_labels.add(label)
+    labels |= base_labels.union(label for _, _, label in longest)
+    freedom += [FREEDOM[label] for _, _, label in longest]
     if tagged:
         raw = text.decode("utf-8", "replace")
         for tag in TAG_TEXT.finditer(raw):

@@ -6,7 +6,7 @@ import re
 import pytest
 from llm_cases import ODD
 
-from opinara.llm.licenses import BASE, evaluate, license_scan, postfix, scan
+from opinara.llm.licenses import BASE, FREEDOM, NOTICES, evaluate, license_scan, postfix, scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -48,6 +48,16 @@ def test_query_form(odd, none):
         ("((MIT)", ["MIT"], 0.95, {"mit"}),
         ("Own-1.0 some words", ["Own-1.0"], 0.5, {"own-1.0"}),
         ("AND MIT", [], 1.0, set()),
+        ("MIT and see the file", ["MIT"], 0.95, {"mit"}),
+        ("Apache-2.0 or later versions", ["Apache-2.0"], 0.9, {"apache"}),
+        ("MIT or (ISC and zlib)", ["MIT", "ISC", "zlib", "AND", "OR"], 0.95, {"mit", "isc", "zlib"}),
+        ("gpl-2.0 with Classpath-exception-2.0", ["gpl-2.0", "Classpath-exception-2.0", "WITH"], 0.5, {"gpl"}),
+        ("gpl-2.0 with thanks", ["gpl-2.0"], 0.3, {"gpl"}),
+        ("(MIT OR\nApache-2.0)\nOR GPL-2.0", ["MIT", "Apache-2.0", "OR"], 0.95, {"mit", "apache"}),
+        ("(MIT OR\r\n  # Apache-2.0) AND\nISC", ["MIT", "Apache-2.0", "OR"], 0.95, {"mit", "apache"}),
+        ("(MIT or\n * apache-2.0)", ["MIT", "apache-2.0", "OR"], 0.95, {"mit", "apache"}),
+        ("MIT or", ["MIT"], 0.95, {"mit"}),
+        ("(MIT\n" + "\n" * 100_000 + "and", ["MIT"], 0.95, {"mit"}),
     ],
 )
 def test_expressions(text, items, freedom, labels):
@@ -60,3 +70,45 @@ def test_tags_and_notices_add_labels():
     found = scan(text.encode())
     assert found[4:] == ("mit", "apache,mit,proprietary", 0.05)
     assert scan(b"")[1:] == (0, None, None, "", "", 0.0)
+
+
+@pytest.mark.parametrize(
+    ("text", "base_labels", "labels", "score"),
+    [
+        (b"the lesser general public license", "gpl", "gpl,lgpl", 0.5),
+        (b"the affero general public license", "gpl", "agpl,gpl", 0.2),
+        (b"lesser general public license, general public license", "gpl", "gpl,lgpl", 0.3),
+        (b"licensed under CC BY-NC", "", "cc-by-nc", 0.1),
+        (b"licensed under CC BY", "", "cc-by", 0.85),
+        (b"mit license apache license", "apache,mit", "apache,mit", 0.9),
+        (b"SPDX-License-Identifier: MIT and see the file", "", "mit", 0.95),
+    ],
+)
+def test_the_longest_phrase_scores(text, base_labels, labels, score):
+    assert scan(text)[4:] == (base_labels, labels, score)
+
+
+def added(text):
+    """Labels and score of phrases alone, from every pair of places."""
+    words = WORD.findall(text.lower())
+    spans = []
+    for phrase, label in {**BASE, **NOTICES}.items():
+        parts = phrase.split()
+        spans += [(i, i + len(parts), label) for i in range(len(words)) if words[i : i + len(parts)] == parts]
+    kept = [
+        label
+        for begin, end, label in spans
+        if not any(b <= begin and end <= e and e - b > end - begin for b, e, _ in spans)
+    ]
+    named = set(kept).union(base(text)[4].split(",")) - {""}
+    return ",".join(sorted(named)), min((FREEDOM[label] for label in kept), default=0.0)
+
+
+def test_added_labels_in_random_texts():
+    rng = random.Random(22)
+    pool = sorted({w for phrase in {**BASE, **NOTICES} for w in phrase.split()}) + ["word"]
+    phrases = [*BASE, *NOTICES]
+    for _ in range(1000):
+        parts = [rng.choice(phrases) if rng.random() < 0.6 else rng.choice(pool) for _ in range(rng.randrange(12))]
+        text = " ".join(parts)
+        assert scan(text.encode())[5:] == added(text)
