@@ -8,17 +8,19 @@ index maps every record to its bundle, its frame and its offset within the
 frame's text. Of records with equal payloads the one with the smallest id is a
 response; the others are revisits that refer to it and carry its headers only.
 
-On Spark. Digests are grouped in the JVM with partial sums; only groups of two
-and more meet the pages again, in a join by digest whose hot keys adaptive
-execution splits. Tasks stream their rows into bundles in the shared folder and
+On Spark. Payloads count as equal by their SHA-256, as different ones with the
+SHA-1 that the format asks for are public. These keys are grouped in the JVM with
+partial sums; only groups of two and more meet the pages again, in a join by key
+whose hot keys adaptive execution splits. Tasks stream their rows into bundles in the shared folder and
 hold one frame at a time. A bundle's name has its task attempt's number: what a
 lost attempt leaves is in no index, so it is never read. The shared folder must
 be one that Arrow's file systems open (a mounted path, HDFS, S3, GCS).
 
 Defined results. A null html is an empty payload; a null url leaves out its
 header. Null ids never name a group; a null id in a group that another row names
-is a revisit. Rows that repeat the smallest id of a group are all responses. An
-empty table makes no bundles.
+is a revisit. Rows that repeat the smallest id of a group are all responses. A
+very long payload ends its frame, which its task holds whole. An empty table makes
+no bundles.
 """
 
 from __future__ import annotations
@@ -207,11 +209,11 @@ def write_archives(
     """Write a record per row into bundles below ``folder``; the index of records, as a written table."""
     folder = folder or work_folder(pages.sparkSession, "warc")
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), utf8(html).alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload"))
+    rows = rows.withColumn("content", F.sha2("payload", 256))
     large = F.octet_length("payload") >= least
-    groups = rows.filter(large).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    several = stored(groups.filter("n > 1 and first_id is not null").select("digest", "first_id"), "payloads")
-    judged = rows.join(several, "digest", "left")
+    groups = rows.filter(large).groupBy("content").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    several = stored(groups.filter("n > 1 and first_id is not null").select("content", "first_id"), "payloads")
+    judged = rows.join(several, "content", "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     judged = judged.select("page_id", "url", "payload", "first_id", revisit)
     return stored(map_rows(judged, _writer(folder, frame_size, bundle_size), INDEX, INDEX_DDL), "record-index")
