@@ -12,8 +12,8 @@ On Spark. One pass over the texts, no shuffle; a worker loads the vocabulary
 once and remembers words up to a bound.
 
 Defined results. A null text is an empty one: no ids, and the digests of the
-empty string. Special tokens' strings are ordinary text. Repeated rows give
-repeated results; an empty table gives no rows.
+empty string. Special tokens' strings are ordinary text. A very long text is
+encoded whole. Repeated rows give repeated results; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -21,8 +21,8 @@ splits its hot keys.
 Defined results. A null text is an empty one. A null id is smaller than any
 other. Rows that repeat an id and its text are one document: all get the same
 decision, and each counts in ``group_size``; ``drop_duplicates`` keeps one row
-of a group, also where rows tie for its id or none has one. An empty table gives
-no rows.
+of a group, also where rows tie for its id or none has one. A very long text is
+digested whole. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ the other queues, at most 257 and the named ones, reach the driver.
 
 Defined results. A null text is an empty one: a document of one token, the end
 token. A null source is a source of its own. Rows that repeat an id are packed
-each. An empty table gives no rows. The order in a queue is that of the files.
+each. A very long text is encoded whole and cut into as many pieces as it needs.
+An empty table gives no rows. The order in a queue is that of the files.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ figures of the text alone.
 Defined results. A null text is an empty one; it is scored like any other.
 Without labels every score is 0.5; with labels of one class only the score is
 near that class. A null id is not held out and never used for training; repeated
-rows are scored each. An empty table gives no rows.
+rows are scored each. A very long text is measured whole; its task holds all its
+words at once. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@ short-circuits; ``quality_report`` also gives the counts, so there the rules
 find most of their work done.
 
 Defined results. Null and empty texts have no words and fail. Rows are judged
-each on its own, so ties and repeated rows change nothing; an empty table gives
-no rows. Other columns are passed on untouched, whatever their names.
+each on its own, so ties and repeated rows change nothing. A very long text is
+judged whole; its task holds all its words at once. An empty table gives no rows.
+Other columns are passed on untouched, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ differing bytes leave two pairs whole, so every link meets in one of the six
 sets. For each pair that meets, the shared positional bytes are tallied, pairs
 with fewer than six are dropped, and the rest are verified bit by bit. Lists of
 one byte position would hold 1/256 of the corpus each; four bytes keep them
-short at any size.
+short at any size. So these keys find the pairs in place of a count over lists of
+single bytes, and the test for six shared bytes only repeats what the bits imply.
 
 On Spark. Texts are read once; from then on only distinct fingerprints travel,
 so exact copies cost nothing. A list of at most ``LIST`` fingerprints is joined

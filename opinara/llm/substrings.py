@@ -27,7 +27,8 @@ block and add no windows, however many there are.
 Defined results. A null text has no words. A document with a null id is neither
 changed nor part of the reference. Rows that repeat an id do not remove from
 each other; each is parsed on its own. Fewer than 50 words: nothing is removed.
-An empty table gives no rows.
+A very long text is judged whole; its task holds all its words at once. An empty
+table gives no rows.
 """
 
 from __future__ import annotations

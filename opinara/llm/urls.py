@@ -19,7 +19,8 @@ Defined results. The models see host and path only; urls that differ only after
 ``?`` or ``#`` have equal verdicts. A null url, or one without ``://``, has an empty host and path
 and is scored as an empty text. Equal urls have equal verdicts. If no url or only
 one kind is taught, the threshold is 0, which allows a score of 0. Of rules of
-equal length the first in alphabetical order wins. An empty table gives no rows.
+equal length the first in alphabetical order wins. A very long url is scored whole, with
+a row per character. An empty table gives no rows.
 """
 
 from __future__ import annotations
