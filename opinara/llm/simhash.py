@@ -25,8 +25,8 @@ components, found by joins in the shared folder.
 Defined results. A null text has no words: its fingerprint is 0, linked like any
 other. A null id belongs to a component but never names one, unless all its ids
 are null. Repeated rows share fingerprint and component; ``keep_first`` keeps one
-row of a component, also where rows tie for its id or none has one. An empty
-table gives no rows.
+row of a component, also where rows tie for its id or none has one. A very long
+text is hashed whole, in blocks of bounded size. An empty table gives no rows.
 """
 
 from __future__ import annotations
