@@ -277,3 +277,18 @@ def test_fold_accuracies_of_a_class_in_one_fold_only(spark):
     found = {(r.fold, r.smoothing): (r.n, r.hits) for r in bayes.fold_accuracies(counts, "id").collect()}
     # The empty text of fold 2 fits both classes alike, so it goes to the first.
     assert {f: v for (f, s), v in found.items() if s == 1.0} == {0: (1, 0), 1: (1, 1), 2: (2, 1)}
+
+
+def test_naive_bayes_keeps_more_terms_than_the_fixed_width(spark, small, tmp_path):
+    """The model that the scoring queries share has no bound on its terms, as their SQL has none."""
+    from opinara.plans import text_models
+
+    n = features.VOCABULARY + 500
+    letters = F.translate(F.conv(F.col("id") + 1, 10, 26), "0123456789ABCDEFGHIJKLMNOP", "abcdefghijklmnopqrstuvwxyz")
+    words = spark.range(n).agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit("zq"), letters))), " ").alias("text"))
+    docs = spark.range(12).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("web").alias("source"))
+    docs.crossJoin(words).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "customer"):
+        spark.read.parquet(f"{small}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    model = text_models.fitted(spark, str(tmp_path), "Naive Bayes")
+    assert len(model.stages[2].vocabulary) == n

@@ -103,3 +103,12 @@ def test_length_bins(spark, chars, name, no):
 
 def test_snippet(spark):
     assert values(frame(spark, ["x" * 120, "ab", None]), text.snippet(F.col("t"))) == ["x" * 100 + "...", "ab...", "..."]
+
+
+def test_train_tokens_are_the_tokens_of_the_cleaned_text(spark):
+    from opinara.functions.text import clean_train, ml_tokens, train_tokens
+
+    texts = ["", " ", "\n", " \n ", ".\n.", "\tA b", " .A  b\t c\n\n", "1 a", "é x", "\x0b\x0cq\r", "a.", "K k", None, "\n\n a\tb", "..", "a b"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in df.select("text", ml_tokens(clean_train(F.col("text"))).alias("a"), train_tokens(F.col("text")).alias("b")).collect():
+        assert row.a == row.b, row.text
