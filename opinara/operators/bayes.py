@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.operators.terms import MIN_DF, documents, idf, vocabulary
+from opinara.operators.terms import MIN_DF, documents, hashed, idf, vocabulary
 from opinara.schema import CLASSES
 from opinara.session import stored
 
@@ -58,7 +58,7 @@ def score(
     class that comes first in ``classes``.
     """
     gains = weights.select("term", *[(F.col("idf") * F.col(c)).alias(c) for c in classes])
-    hits = counts.select(key, "term", "tf").join(stored(gains, "class-weights"), "term")
+    hits = counts.select(key, "term", "tf").join(hashed(stored(gains, "class-weights")), "term")
     sums = hits.groupBy(key).agg(*[F.sum(F.col("tf") * F.col(c)).alias(c) for c in classes])
     base = priors.agg(F.map_from_entries(F.collect_list(F.struct("label", "prior")))).scalar()
     scored = documents(counts, key).join(sums, key, "left").withColumn("_prior", base)
@@ -113,7 +113,7 @@ def fold_accuracies(
 
     tables = [F.struct(F.lit(f).alias("fold"), gains(f).alias("gain")) for f in range(folds)]
     weights = stored(sums.select("term", F.inline(F.array(*tables))), "fold-weights")
-    hits = counts.select(key, "fold", "term", "tf").join(weights, ["fold", "term"])
+    hits = counts.select(key, "fold", "term", "tf").join(hashed(weights), ["fold", "term"])
     n = len(smoothings) * len(classes)
     totals = hits.groupBy(key).agg(*[F.sum(F.col("tf") * F.col("gain")[i]).alias(f"_s{i}") for i in range(n)])
     scored = documents(counts, key, "fold", "label").join(totals, key, "left")
