@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from opinara.session import stored
+from opinara.session import on_workers, stored
 
 __all__ = ["fresh", "keep_one", "map_rows", "numbered", "on_workers", "row_hash", "slices", "stored", "table", "text_blocks", "utf8"]
 
-#: The folder that holds the package.
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 #: The space characters of ``[^\x20\x09-\x0D]+``; ``bytes.split`` cuts at the same ones.
 SPACES = b" \t\n\r\x0b\x0c"
 #: Texts are worked through in pieces of about this many bytes, so that a very long one needs no more memory.
@@ -104,16 +100,6 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     return (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE))
 
 
-def on_workers(df: DataFrame) -> DataFrame:
-    """``df``, with this package's place known to Python workers on the same machine.
-
-    On a cluster the package is deployed to the executors, as any other; this covers sessions that were started
-    without it on their Python path.
-    """
-    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-    return df
-
-
 def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
