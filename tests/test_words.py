@@ -6,10 +6,13 @@ import random
 
 import pytest
 from plan_text import plan
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from opinara.functions.text import STOP_WORDS, train_tokens
+from opinara.models import features
 from opinara.operators import terms, words
+from opinara.operators.projections import with_cleaned
 
 ODD = ["", None, " ", "\n", " \n ", "\n a", "a\n", "the", "the ", "é", "..", ".\n.", "cable  the cable"]
 PARTS = [*"aBz \t\n\x0b\f\r\x1c\x85é日😀ſKİ.,0", "the", "and ", "cable", " "]
@@ -50,3 +53,14 @@ def test_pieces_of_a_batch_make_the_whole(odd, monkeypatch):
     pieces = list(words._pieces(iter([batch]), "_text"))
     assert len(pieces) > 10
     assert sum(len(p) for p in pieces) == len({r[0] for r in whole})
+
+
+def test_fitted_features_equal_the_stages(odd):
+    """The training rows' vectors, made beside the stages, are those that the fitted stages give."""
+    train = with_cleaned(odd.filter(F.col("reviewText").isNotNull())).withColumn("label", F.when(F.col("id") % 3 == 0, "a").otherwise("b"))
+    model, featured = features.fit_featured(train, "id")
+    theirs = {r.id: r.features for r in PipelineModel(stages=model.stages[:4]).transform(train).select("id", "features").collect()}
+    assert {r.id: r.features for r in featured.collect()} == theirs
+    found = terms.vocabulary(terms.count_words(odd, "id"))
+    assert sorted(model.stages[2].vocabulary) == sorted(r.term for r in found.collect())
+    assert model.stages[2].getMinDF() == features.MIN_DF
