@@ -13,6 +13,7 @@ from opinara.functions.text import STOP_WORDS, train_tokens
 from opinara.models import features
 from opinara.operators import terms, words
 from opinara.operators.projections import with_cleaned
+from opinara.streaming.scoring import dead_letters
 
 ODD = ["", None, " ", "\n", " \n ", "\n a", "a\n", "the", "the ", "é", "..", ".\n.", "cable  the cable"]
 PARTS = [*"aBz \t\n\x0b\f\r\x1c\x85é日😀ſKİ.,0", "the", "and ", "cable", " "]
@@ -64,3 +65,10 @@ def test_fitted_features_equal_the_stages(odd):
     found = terms.vocabulary(terms.count_words(odd, "id"))
     assert sorted(model.stages[2].vocabulary) == sorted(r.term for r in found.collect())
     assert model.stages[2].getMinDF() == features.MIN_DF
+
+
+def test_a_message_is_parsed_once(spark, tmp_path):
+    """A filter on what was read is not moved below the parser, where it would parse again."""
+    spark.createDataFrame([("{}",)], "value string").write.text(f"{tmp_path}/messages")
+    text = dead_letters(spark.read.text(f"{tmp_path}/messages"))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(StructField(asin") == 1
