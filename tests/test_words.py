@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from opinara.functions.text import STOP_WORDS, train_tokens
-from opinara.models import features
+from opinara.models import features, training
 from opinara.operators import terms, words
 from opinara.operators.projections import with_cleaned
 from opinara.streaming.scoring import dead_letters
@@ -72,3 +72,9 @@ def test_a_message_is_parsed_once(spark, tmp_path):
     spark.createDataFrame([("{}",)], "value string").write.text(f"{tmp_path}/messages")
     text = dead_letters(spark.read.text(f"{tmp_path}/messages"))._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json(StructField(asin") == 1
+
+
+def test_regression_works_on_large_blocks():
+    """At the default block size most of an iteration fills matrices of one number per term and class."""
+    for settings in (training.classifiers, training.quick_classifiers):
+        assert settings()["Logistic Regression"].getMaxBlockSizeInMB() == training.BLOCK
