@@ -74,7 +74,15 @@ def test_a_message_is_parsed_once(spark, tmp_path):
     assert text.count("from_json(StructField(asin") == 1
 
 
-def test_regression_works_on_large_blocks():
+def test_regression_works_on_large_blocks(spark):
     """At the default block size most of an iteration fills matrices of one number per term and class."""
     for settings in (training.classifiers, training.quick_classifiers):
         assert settings()["Logistic Regression"].getMaxBlockSizeInMB() == training.BLOCK
+
+
+def test_batch_scores_need_no_terms_on_the_driver(spark, small, monkeypatch):
+    """They come from class sums in long form, whole counts times the term's idf, as in the SQL."""
+    from opinara.plans import text_models
+
+    monkeypatch.setattr(text_models, "fitted", lambda *_: pytest.fail("fitted a model"))
+    assert text_models.score_batch(spark, small).count() > 0
