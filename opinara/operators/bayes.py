@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.operators.terms import MIN_DF, documents, hashed, idf, vocabulary
+from opinara.operators.terms import MIN_DF, count_words, documents, hashed, idf, vocabulary
+from opinara.operators.words import count_pieces, piece_sums
 from opinara.schema import CLASSES
 from opinara.session import stored
 
@@ -31,10 +32,18 @@ def class_weights(
     frequency and occurrences per class; the idf is the same for all rows of a
     term, so it is multiplied afterwards, and no row is joined for it.
     """
-    terms = vocabulary(counts, min_df, "label", classes)
-    weight = idf(counts, F.col("df"))
+    return _smoothed(vocabulary(counts, min_df, "label", classes), idf(counts, F.col("df")), smoothing, classes)
+
+
+#: Sums of weights are exact in it, and so the same in any order of the terms.
+EXACT = "decimal(38,18)"
+
+
+def _smoothed(terms: DataFrame, weight: Column, smoothing: float, classes: Sequence[str]) -> DataFrame:
+    """``class_weights`` from ``term, df`` and the occurrences per class; ``weight`` is a term's idf."""
     sums = stored(terms.select("term", weight.alias("idf"), *[(F.col(c) * weight).alias(c) for c in classes]), "class-sums")
-    sizes = sums.agg(F.struct(F.count(F.lit(1)).alias("terms"), *[F.sum(c).alias(c) for c in classes])).scalar()
+    whole = [F.sum(F.col(c).cast(EXACT)).cast("double").alias(c) for c in classes]
+    sizes = sums.agg(F.struct(F.count(F.lit(1)).alias("terms"), *whole)).scalar()
     sized = sums.withColumn("s", sizes)
     theta = [
         (F.log(F.col(c) + smoothing) - F.log(F.col(f"s.{c}") + F.col("s.terms") * smoothing)).alias(c) for c in classes
@@ -60,8 +69,46 @@ def score(
     gains = weights.select("term", *[(F.col("idf") * F.col(c)).alias(c) for c in classes])
     hits = counts.select(key, "term", "tf").join(hashed(stored(gains, "class-weights")), "term")
     sums = hits.groupBy(key).agg(*[F.sum(F.col("tf") * F.col(c)).alias(c) for c in classes])
+    return _likeliest(documents(counts, key).join(sums, key, "left"), priors, key, classes)
+
+
+def score_texts(
+    df: DataFrame,
+    key: str,
+    column: str = "reviewText",
+    smoothing: float = 1.0,
+    classes: Sequence[str] = CLASSES,
+    min_df: int = MIN_DF,
+) -> DataFrame:
+    """``key, label, confidence`` of the rows with ``scored``, by a model of the rows with ``train``; both are flags.
+
+    The numbers are those of ``score`` and ``class_weights`` over ``count_words``, which is also the way taken where rows
+    share a key. Counts stay packed by piece of text, and only the different terms of a piece are shuffled, once to be
+    added up and once to meet their weights.
+    """
+    rows = df.select(key, "label", "train", "scored", column)
+    pieces = count_pieces(rows, "label", "train", classes, column)
+    docs = pieces.filter(F.col("code").isNull()).select(key, "label", "train", "scored")
+    if not docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).isEmpty():
+        counts = count_words(rows, key, "label", "train", "scored", column=column)
+        train = counts.filter("train")
+        priors = class_priors(documents(train, "label"), smoothing)
+        return score(counts.filter("scored"), class_weights(train, smoothing, classes, min_df), priors, key, classes)
+    learned = pieces.filter(F.col("code").isNotNull()).groupBy("term")
+    per_term = learned.agg(F.sum("df").alias("df"), *[F.sum(f"n{i}").alias(c) for i, c in enumerate(classes)])
+    terms = stored(per_term.filter(F.col("df") >= min_df), "terms")
+    train = docs.filter("train")
+    size = train.agg(F.count(F.lit(1))).scalar()
+    weights = _smoothed(terms, F.log((size + 1) / (F.col("df") + 1)), smoothing, classes)
+    gains = stored(weights.select("term", *[(F.col("idf") * F.col(c)).alias(c) for c in classes]), "class-weights")
+    sums = piece_sums(pieces.filter(F.col("code").isNotNull() | F.col("scored")), gains, key, classes)
+    return _likeliest(sums, class_priors(train.select("label"), smoothing), key, classes)
+
+
+def _likeliest(sums: DataFrame, priors: DataFrame, key: str, classes: Sequence[str]) -> DataFrame:
+    """``key, label, confidence`` from a document's sum for each class, null where it has no known term."""
     base = priors.agg(F.map_from_entries(F.collect_list(F.struct("label", "prior")))).scalar()
-    scored = documents(counts, key).join(sums, key, "left").withColumn("_prior", base)
+    scored = sums.withColumn("_prior", base)
     totals = [
         F.struct(
             (F.coalesce(F.col(c), F.lit(0.0)) + F.try_element_at("_prior", F.lit(c))).alias("s"),

@@ -11,6 +11,7 @@ from string import ascii_lowercase, ascii_uppercase
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,6 +99,93 @@ def count_rows(df: DataFrame, *keys: str, column: str) -> DataFrame:
     return _on_pieces(df, keys, column, make, "term string, tf bigint")
 
 
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """For each row its values, as 32-bit numbers in one run of bytes."""
+    data = np.ascontiguousarray(values, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(data)])
+
+
+def count_pieces(df: DataFrame, label: str, train: str, classes: Sequence[str], column: str) -> DataFrame:
+    """Counts in a packed form, as a written table of two kinds of rows, so that few rows are left to be shuffled.
+
+    A task numbers the words of some rows at a time, a ``piece``. Rows without ``code`` are the documents: the ``codes`` and
+    numbers ``tfs`` of a document's words, 32 bits each. The others name each ``code`` of a piece: its ``term``, in how many
+    documents with ``train`` it is (``df``), and how often in those of each of ``classes`` (``n0``, ``n1``, ...).
+    """
+    keys = [c for c in df.columns if c != column]
+    sums = [f"n{i}" for i in range(len(classes))]
+    told = ["piece", "codes", "tfs", "code", "term", "df", *sums]
+
+    def make(piece: pa.RecordBatch, number: int) -> pa.RecordBatch:
+        rows, codes, names = cut(piece.column("_text"))
+        # Only words that are kept have a code.
+        found = np.flatnonzero(np.bincount(codes, minlength=len(names)))
+        fresh = np.zeros(len(names), np.int64)
+        fresh[found] = np.arange(len(found))
+        codes = fresh[codes]
+        at, code, n = tallied(rows, codes, max(1, len(found)))
+        ends = np.searchsorted(at, np.arange(len(piece) + 1))
+        trained = np.asarray(pc.fill_null(piece.column(train), False))
+        labels = np.asarray(pc.fill_null(pc.index_in(piece.column(label), pa.array(classes, pa.string())), -1))
+        own = trained[at]
+        learned = [np.bincount(code[own], minlength=len(found))]
+        learned += [np.bincount(code[m], n[m], len(found)) for m in (own & (labels[at] == i) for i in range(len(classes)))]
+        docs, terms = len(piece), len(found)
+
+        def column_of(kind: pa.DataType, of_docs: pa.Array | None, of_terms: pa.Array | None) -> pa.Array:
+            parts = [pa.nulls(n, kind) if a is None else a for a, n in ((of_docs, docs), (of_terms, terms))]
+            return pa.concat_arrays(parts)
+
+        made = [column_of(piece.schema.field(k).type, piece.column(k), None) for k in keys]
+        made.append(pa.array(np.full(docs + terms, number, np.int64)))
+        made += [column_of(pa.binary(), _packed(x, ends), None) for x in (code, n)]
+        made.append(column_of(pa.int32(), None, pa.array(np.arange(terms, dtype=np.int32))))
+        made.append(column_of(pa.string(), None, names.take(pa.array(found))))
+        made += [column_of(pa.int64(), None, pa.array(x.astype(np.int64))) for x in learned]
+        return pa.RecordBatch.from_arrays(made, keys + told)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        for number, piece in enumerate(_pieces(batches, "_text")):
+            yield make(piece, first + number)
+
+    texts = on_workers(df.withColumnRenamed(column, "_text"))
+    added = "piece bigint, codes binary, tfs binary, code int, term string, df bigint"
+    fields = T.StructType.fromDDL(", ".join([added, *[f"{s} bigint" for s in sums]])).fields
+    kept = [T.StructField(k, df.schema[k].dataType) for k in keys]
+    return stored(texts.mapInArrow(run, T.StructType([*kept, *fields])), "piece-counts")
+
+
+def piece_sums(pieces: DataFrame, gains: DataFrame, key: str, classes: Sequence[str]) -> DataFrame:
+    """``key`` and for each class the sum of a document's counts times its terms' ``gains``, a row of numbers per term.
+
+    Each term of a piece meets its gains once, however many documents hold it; then a piece is added up in one task, where
+    it holds as much as ``PIECE`` bytes of text do.
+    """
+    names = pieces.filter(F.col("code").isNotNull()).select("piece", "code", "term")
+    known = names.join(gains.hint("shuffle_hash"), "term").select("piece", "code", *classes)
+    docs = pieces.filter(F.col("code").isNull()).select(F.col("piece").alias("_piece"), key, "codes", "tfs")
+    schema = T.StructType([pieces.schema[key], *[T.StructField(c, T.DoubleType()) for c in classes]])
+
+    def add(of_docs: pa.Table, of_terms: pa.Table) -> pa.Table:
+        codes, tfs = (np.frombuffer(b"".join(of_docs[c].to_pylist()), np.int32) for c in ("codes", "tfs"))
+        ends = np.cumsum(np.asarray(pc.binary_length(of_docs["codes"]), dtype=np.int64)) // 4
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        some = starts[: len(ends)] < ends
+        places = np.asarray(of_terms["code"])
+        out = []
+        for c in classes:
+            gain = np.zeros(max(codes.max(initial=0), places.max(initial=0)) + 1)
+            gain[places] = np.asarray(of_terms[c])
+            total = np.zeros(len(ends))
+            if some.any():
+                total[some] = np.add.reduceat((tfs * gain[codes]).astype(np.longdouble), starts[: len(ends)][some])
+            out.append(pa.array(total))
+        return pa.Table.from_arrays([of_docs[key], *out], [key, *classes])
+
+    return docs.groupBy("_piece").cogroup(known.groupBy("piece")).applyInArrow(add, schema)
+
+
 def term_totals(df: DataFrame, column: str) -> DataFrame:
     """``term, df, total`` of all rows: a task adds up its rows piece by piece, Spark the pieces."""
 

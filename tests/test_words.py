@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from opinara.functions.text import STOP_WORDS, train_tokens
 from opinara.models import features, training
-from opinara.operators import terms, words
+from opinara.operators import bayes, terms, words
 from opinara.operators.projections import with_cleaned
+from opinara.schema import CLASSES
 from opinara.streaming.scoring import dead_letters
 
 ODD = ["", None, " ", "\n", " \n ", "\n a", "a\n", "the", "the ", "é", "..", ".\n.", "cable  the cable"]
@@ -86,3 +87,40 @@ def test_batch_scores_need_no_terms_on_the_driver(spark, small, monkeypatch):
 
     monkeypatch.setattr(text_models, "fitted", lambda *_: pytest.fail("fitted a model"))
     assert text_models.score_batch(spark, small).count() > 0
+
+
+def flagged(df):
+    return df.withColumns({"label": F.element_at(F.array(*map(F.lit, CLASSES)), (F.col("id") % 3 + 1).cast("int")),
+                           "train": F.col("id") % 5 > 0, "scored": F.col("reviewText") != ""})
+
+
+def scores(df):
+    return {r.id: (r.label, r.confidence) for r in df.collect()}
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_packed_scores_equal_the_long_form(odd, shared, monkeypatch):
+    """Also where several rows share a key and are one document."""
+    monkeypatch.setattr(words, "PIECE", 1 << 12)
+    df = flagged(odd.filter("reviewText is not null"))
+    if shared:
+        df = df.union(df.filter("id % 7 = 0"))
+    counts = terms.count_words(df, "id", "label", "train", "scored")
+    train = counts.filter("train")
+    priors = bayes.class_priors(terms.documents(train, "label"))
+    theirs = scores(bayes.score(counts.filter("scored"), bayes.class_weights(train), priors, "id"))
+    ours = scores(bayes.score_texts(df, "id"))
+    assert {i: x[0] for i, x in ours.items()} == {i: x[0] for i, x in theirs.items()}
+    assert {i: x[1] for i, x in ours.items()} == pytest.approx({i: x[1] for i, x in theirs.items()}, abs=1e-12)
+
+
+def test_scores_do_not_depend_on_the_order_of_sums(spark, small, monkeypatch):
+    """Unrounded, over rows dealt in two ways."""
+    from opinara.plans import text_models
+
+    texts, found = text_models._texts, []
+    monkeypatch.setattr(F, "round", lambda c, _: F.col(c))
+    for parts in (1, 7):
+        monkeypatch.setattr(text_models, "_texts", lambda *a, n=parts: texts(*a).repartition(n, F.hash("doc_id")))
+        found.append({r.doc_id: (r.label, r.confidence) for r in text_models.score_batch(spark, small).collect()})
+    assert found[0] == found[1]
