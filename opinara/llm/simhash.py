@@ -18,7 +18,7 @@ so exact copies cost nothing. A list of at most ``LIST`` fingerprints is joined
 with itself. Fingerprints of longer lists take a way that needs no pairs: each
 gives itself and its 64 neighbours at one bit; fingerprints that give the same
 value are at most two bits apart, and any two that far apart give a common one.
-Such a group has at most 65 members and is linked as a star. Both ways are
+Such a group has at most 65 members and is linked as a star from its smallest. Both ways are
 exact, so the result does not depend on ``LIST``. Groups are connected
 components, found by joins in the shared folder.
 
@@ -119,9 +119,11 @@ def links(prints: DataFrame, longest: int = LIST) -> DataFrame:
     flips = [F.lit((1 << i) - (1 << 64) if i == 63 else 1 << i).cast("long") for i in range(64)]
     near_values = F.array("bits", *[F.col("bits").bitwiseXOR(f) for f in flips])
     met = crowded.select("bits", F.explode(near_values).alias("value"))
-    stars = met.groupBy("value").agg(F.collect_list("bits").alias("members")).filter(F.size("members") > 1)
-    first = F.array_min("members").alias("a")
-    stars = stars.select(first, F.explode("members").alias("b")).filter("a <> b")
+    # Most values have one or two members, and those are their smallest and largest; no list of members is made.
+    ends = [F.min("bits").alias("a"), F.max("bits").alias("b"), F.count(F.lit(1)).alias("n")]
+    stars = stored(met.groupBy("value").agg(*ends).filter("n > 1"), "stars")
+    inner = met.join(stars.filter("n > 2"), "value").filter("bits <> a and bits <> b").select("a", F.col("bits").alias("b"))
+    stars = stars.select("a", "b").union(inner)
     return pairs.union(stars.distinct())
 
 

@@ -95,3 +95,14 @@ def test_keeping_one_row_of_each_component(spark):
     kept = keep_first(documents(spark, rows).repartition(5))
     assert kept.schema == DOCS
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(one_of_each_component(rows), key=str)
+
+
+def test_members_of_a_long_list_are_not_collected(spark):
+    """Stars come from smallest and largest members; a third one is joined."""
+    values = [0, 1, 2, 4, 8, 3 << 40, 1 << 50]
+    prints = spark.createDataFrame([(v,) for v in values], "bits long")
+    found = links(prints, longest=0)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    linked = {(r.a, r.b) for r in found.collect()}
+    assert all((a ^ b).bit_count() <= 2 for a, b in linked)
+    assert {b for a, b in linked if a == 0} == set(values[1:])
