@@ -124,3 +124,17 @@ def test_scores_do_not_depend_on_the_order_of_sums(spark, small, monkeypatch):
         monkeypatch.setattr(text_models, "_texts", lambda *a, n=parts: texts(*a).repartition(n, F.hash("doc_id")))
         found.append({r.doc_id: (r.label, r.confidence) for r in text_models.score_batch(spark, small).collect()})
     assert found[0] == found[1]
+
+
+def test_counted_scores_equal_the_stages(odd, monkeypatch):
+    """A batch is scored from counts made in Arrow batches; the text stages of the model are not run."""
+    from opinara.models import scoring
+
+    train = with_cleaned(flagged(odd.filter("reviewText is not null")))
+    text, featured = features.fit_featured(train, "id")
+    model = features.with_classifier(text, training.quick_classifiers()["Logistic Regression"].fit(featured))
+    theirs = scores(scoring.score_reviews(odd, model))
+    monkeypatch.setattr(type(model.stages[0]), "transform", lambda *_: pytest.fail("cut words in a stage"))
+    ours = scores(scoring.score_counted(odd, model, "id"))
+    assert {i: x[0] for i, x in ours.items()} == {i: x[0] for i, x in theirs.items()} and len(ours) > 1000
+    assert {i: x[1] for i, x in ours.items()} == pytest.approx({i: x[1] for i, x in theirs.items()}, abs=1e-12)
