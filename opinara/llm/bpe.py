@@ -126,7 +126,7 @@ class Codec:
         self.split = regex.compile(pattern)
         self.queue = RankQueue(len(self.tokens))
         self.known = Matches(self)
-        self.pieces = PieceEncoder(lambda texts: [self.pack(t) for t in texts], self.pack)
+        self.pieces = PieceEncoder(self.pack, self.pack)
 
     def merged(self, match: bytes) -> list[int]:
         """The ids of one match of the pattern."""

@@ -34,8 +34,8 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -55,8 +55,12 @@ QUEUES = 256
 #: Stretches of the shared queue whose blocks are put in order together.
 STRETCHES = 1 << 16
 END = 1
-#: How byte-level vocabularies write a space.
-SPACE = "\u0120"
+#: How byte-level vocabularies write each byte: as the character of its number where that is visible.
+VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in VISIBLE)}
+SPACE = chr(BYTES[32])
+#: Letters below it are letters in every version of Unicode.
+LATIN_END = "\u0250"
 
 
 @cache
@@ -76,16 +80,18 @@ def piece_encoder(path: str) -> PieceEncoder:
 
     def one(text: str) -> bytes:
         """A piece without white space but for one leading space."""
-        if text.isascii() and (text.isalpha() or text[1:].isalpha() and text[0] == " "):
+        letters = text.isalpha() or text[1:].isalpha() and text[0] == " "
+        if letters and text.isascii():
             matches = [text.replace(" ", SPACE)]  # letters are one match, and stand for themselves
+        elif letters and max(text) < LATIN_END:
+            matches = [text.encode().decode("latin-1").translate(BYTES)]
         else:
             matches = [match for match, _ in split(text)]
-        ids = [token.id for match in matches for token in model(match)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", [token.id for match in matches for token in model(match)]).tobytes()
 
     # The split and the model know nothing of added tokens.
     apart = re.compile("|".join(map(re.escape, added))) if added else None
-    return PieceEncoder(lambda texts: list(map(one, texts)), whole, apart)
+    return PieceEncoder(one, whole, apart)
 
 
 TOKENS = pa.schema(

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import string
+import weakref
 from collections.abc import Callable, Iterable, Iterator
 
 #: All white space of any of the libraries, and what only some of them take for it.
@@ -28,87 +29,84 @@ MARKS = string.punctuation.replace("'", "")
 BATCH_CHARS = 1 << 20
 
 
-class Memory:
-    """What was worked out lately: two generations, of which the older one goes when the younger is full."""
+class Memory(dict[str, bytes]):
+    """What was worked out lately: two generations, of which the older one goes when the younger is full.
 
-    def __init__(self, size: int = REMEMBERED) -> None:
-        self.size = size
-        self.young: dict[str, bytes] = {}
+    A key that is not known is made when it is first asked for.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], size: int = REMEMBERED) -> None:
+        super().__init__()
+        self.make, self.size = make, size
         self.old: dict[str, bytes] = {}
 
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
+        return found
+
     def age(self) -> None:
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
-
-    def unknown(self, keys: set[str]) -> list[str]:
-        """Those not known; all others are in ``young`` afterwards."""
-        young, old = self.young, self.old
-        out = []
-        for key in keys.difference(young):
-            if key in old:
-                young[key] = old[key]
-            else:
-                out.append(key)
-        return out
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+
+
+#: The encoders of this worker.
+_LOADED: weakref.WeakSet[PieceEncoder] = weakref.WeakSet()
+
+
+def forget_pieces() -> None:
+    """Give a worker's remembered pieces back, where it goes on with something else: they would only take memory from that."""
+    for encoder in _LOADED:
+        for memory in (encoder.words, encoder.signs, encoder.loose):
+            memory.clear()
+            memory.old = {}
 
 
 class PieceEncoder:
     """Packed ids of texts, 4 bytes each, little-endian.
 
-    ``spell`` gives the packed ids of each string of a list; ``whole`` those of
-    any text. A text in which ``apart`` is found is always encoded whole.
+    ``spell`` gives the packed ids of a piece; ``whole`` those of any text. A
+    text in which ``apart`` is found is always encoded whole.
     """
 
-    def __init__(self, spell: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], apart: re.Pattern | None = None) -> None:
+    def __init__(self, spell: Callable[[str], bytes], whole: Callable[[str], bytes], apart: re.Pattern | None = None) -> None:
         self.spell, self.whole, self.apart = spell, whole, apart
-        self.after_space, self.at_start = Memory(), Memory()
-        self.signs = Memory()
-        self.loose = Memory()  # parts of texts with white space of any form
-        (self.line_feed,) = spell(["\n"])
-
-    def learn(self, memory: Memory, pieces: set[str], before: str) -> None:
-        """Make all ``pieces`` known that hold no white space; each is spelled with ``before`` in front.
-
-        Of a piece with signs after its letters, the word becomes known as well.
-        """
-        words, signed = set(), []
-        for piece in memory.unknown(pieces):
-            if piece.isalpha():
-                words.add(piece)
-            elif (word := piece.rstrip(MARKS)).isalpha():
-                signed.append((piece, word, piece[len(word) :]))
-            elif piece and not SPACE.search(piece):
-                words.add(piece)
-        words.update(memory.unknown({word for _, word, _ in signed}))
-        known, spelled = memory.young, self.signs.young
-        known.update(zip(words, self.spell([before + word for word in words]), strict=True))
-        signs = self.signs.unknown({signs for _, _, signs in signed})
-        spelled.update(zip(signs, self.spell(signs), strict=True))
-        for piece, word, signs in signed:
-            known[piece] = known[word] + spelled[signs]
+        self.words = Memory(self.word)  # a line feed in front stands for the start of a line, nothing for a space
+        self.signs = Memory(spell)
+        self.loose = Memory(spell)  # parts of texts with white space of any form
+        self.line_feed = spell("\n")
+        _LOADED.add(self)
+
+    def word(self, piece: str) -> bytes:
+        """A word with the space or line feed before it; of one with signs after its letters, the word becomes known as well."""
+        first = piece[:1] == "\n"
+        own = piece[1:] if first else piece
+        if not own.isalpha():
+            word = own.rstrip(MARKS)
+            if word.isalpha():
+                signs = own[len(word) :]
+                return self.words[piece[: -len(signs)]] + self.signs[signs]
+            if not own or SPACE.search(own):
+                raise KeyError(piece)
+        return self.line_feed + self.spell(own) if first else self.spell(" " + own)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for memory in (self.after_space, self.at_start, self.signs, self.loose):
+        for memory in (self.words, self.signs, self.loose):
             memory.age()
-        cut = [[line.split(" ") for line in text.split("\n")] for text in texts]
-        starts, rest = set(), set()
-        for lines in cut:
-            for line in lines:
-                starts.add(line[0])
-                rest.update(line[1:])
-        self.learn(self.at_start, starts, "")
-        self.learn(self.after_space, rest, " ")
-        out, at_start, after_space = [], self.at_start.young, self.after_space.young.__getitem__
-        for text, lines in zip(texts, cut, strict=True):
+        out, known, before = [], self.words.__getitem__, len(self.line_feed)
+        for text in texts:
             if not text:
                 out.append(b"")
                 continue
             if self.apart and self.apart.search(text):
                 out.append(self.whole(text))
                 continue
+            cut = f"\n{text}".replace("\n", " \n").split(" ")
             try:
-                done = [at_start[line[0]] + b"".join(map(after_space, line[1:])) for line in lines]
-                out.append(self.line_feed.join(done))
+                out.append(b"".join(map(known, cut[1:]))[before:])
             except KeyError:  # white space of another form
                 out.append(self.parts(text))
         return out
@@ -117,11 +115,7 @@ class PieceEncoder:
         """The ids of a text with any white space."""
         if UNSURE.search(text):
             return self.whole(text)
-        cut = AROUND_SPACE.findall(text)
-        new = self.loose.unknown(set(cut))
-        known = self.loose.young
-        known.update(zip(new, self.spell(new), strict=True))
-        return b"".join(map(known.__getitem__, cut))
+        return b"".join(map(self.loose.__getitem__, AROUND_SPACE.findall(text)))
 
 
 def encoded(rows: Iterable[tuple], encoder: PieceEncoder) -> Iterator[tuple]:

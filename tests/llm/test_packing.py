@@ -11,6 +11,7 @@ from llm_cases import ODD, documents, prose
 from tokenizers import Tokenizer
 
 from opinara.llm.packing import Deal, pack, piece_encoder, sequences
+from opinara.llm.pieces import PieceEncoder, forget_pieces
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -33,6 +34,38 @@ def test_pieces_spell_as_the_library(tokenizer):
         assert np.frombuffer(packed, "<u4").tolist() == ids_of(tokenizer, text)[:-1]
 
 
+def test_words_of_latin_letters_spell_as_the_library(tokenizer):
+    letters = [chr(c) for c in range(0x41, 0x251) if chr(c).isalpha()]
+    rng = random.Random(32)
+    texts = letters + [" ".join("".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(30)) + ".\n" for _ in range(200)]
+    for text, packed in zip(texts, piece_encoder(PATH).encode(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == ids_of(tokenizer, text)[:-1]
+
+
+def test_a_piece_is_spelled_once():
+    asked = Counter()
+
+    def spell(text):
+        asked[text] += 1
+        return text.encode()
+
+    encoder = PieceEncoder(spell, str.encode)
+    texts = ["one two, two", "two one\none, two. two"]
+    assert encoder.encode(texts) == [t.encode() for t in texts]
+    assert encoder.encode(texts * 2) == [t.encode() for t in texts * 2]
+    assert max(asked.values()) == 1
+    assert {"one", " two", "two", " one", ",", "."} <= set(asked)
+
+
+def test_a_worker_forgets_its_pieces():
+    encoder = piece_encoder(PATH)
+    texts = ["some words, more words\n", "others"]
+    before = encoder.encode(texts)
+    forget_pieces()
+    assert not any((*m, *m.old) for m in (encoder.words, encoder.signs, encoder.loose))
+    assert encoder.encode(texts) == before
+
+
 @pytest.mark.parametrize("targets", [None, {"src0": 1, "src1": 7, "src2": 2}])
 def test_every_id_in_exactly_one_place(spark, tokenizer, targets):
     rows = [(i, prose(i, 30 + 37 * (i % 23))) for i in range(150)] + [(1000, prose(50, 9000)), (1001, ""), (1002, None)]
