@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import fresh, map_rows, on_workers, slices, utf8
+from opinara.llm.common import map_rows, on_workers, slices, utf8
+from opinara.llm.pieces import forget_pieces
 
 #: Texts of each partition on which all rules are timed.
 SAMPLE = 64
@@ -224,15 +225,19 @@ def quality_report(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, all columns kept."""
-    schema, extra = docs.schema, fresh(docs, "utf8")
+    schema = docs.schema
+    place = [c.lower() for c in docs.columns].index(text.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_pieces()
         cascade = Cascade(rules)
         for batch in (part for whole in batches for part in slices(whole)):
-            kept = [cascade.keeps(Text(t)) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(kept, pa.bool_()))
+            # A view of the text's own bytes: a copy beside it would double the batch.
+            texts = batch.column(place)
+            texts = texts.cast(pa.binary() if pa.types.is_string(texts.type) else pa.large_binary())
+            yield batch.filter(pa.array([cascade.keeps(Text(t or b"")) for t in texts.to_pylist()], pa.bool_()))
 
-    return on_workers(docs.withColumn(extra, utf8(text))).mapInArrow(run, schema)
+    return on_workers(docs).mapInArrow(run, schema)
 
 
 # The window sums compare whole windows as strings; words have no line feed or space in them.

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 from llm_cases import DOCS, ODD
+from plan_text import plan
 
 from opinara.llm import rules
 from opinara.llm.rules import Cascade, Text, quality_filter, quality_report, repeated_words
@@ -84,3 +85,8 @@ def test_filter_keeps_all_columns(odd, none):
     want = [(i, t) for i, t in ODD if not any(rule(Text((t or "").encode())) for rule in rules.RULES)]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
     assert quality_filter(none).count() == quality_report(none).count() == 0
+
+
+def test_filter_sends_each_text_once(odd):
+    assert "coalesce(" not in plan(quality_filter(odd))
+    assert quality_filter(odd.withColumnRenamed("text", "Body"), "body").count() == quality_filter(odd).count()
