@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions.text import clean_train
 from opinara.models.features import COUNTS, class_names
+from opinara.operators.bayes import TermModel
 from opinara.operators.filters import coalesce_text
 from opinara.operators.projections import without_model_columns
 from opinara.operators.words import vectors
@@ -31,11 +32,14 @@ def score_reviews(
     return _named(model.transform(ready), model).drop("cleaned_reviews", "indexedLabel")
 
 
-def score_counted(df: DataFrame, model: PipelineModel, *keys: str) -> DataFrame:
+def score_counted(df: DataFrame, model: PipelineModel | TermModel, *keys: str) -> DataFrame:
     """The keys, ``label`` and ``confidence`` of every row that has text, equal to those of ``score_reviews``.
 
     For batches: words are cleaned, cut and counted in Arrow batches, and only the model's stages after its counts are run.
+    Of a naive Bayes model in tables no term is on the driver.
     """
+    if isinstance(model, TermModel):
+        return model.score(coalesce_text(df), *keys)
     at = next(i for i, stage in enumerate(model.stages) if isinstance(stage, CountVectorizerModel))
     counts = vectors(coalesce_text(df), *keys, column="reviewText", vocabulary=model.stages[at].vocabulary, name=COUNTS)
     return _named(PipelineModel(stages=model.stages[at + 1 :]).transform(counts), model).select(*keys, "label", "confidence")

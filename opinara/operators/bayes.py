@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.operators.terms import MIN_DF, count_words, documents, hashed, idf, vocabulary
@@ -94,17 +96,82 @@ def score_texts(
         train = counts.filter("train")
         priors = class_priors(documents(train, "label"), smoothing)
         return score(counts.filter("scored"), class_weights(train, smoothing, classes, min_df), priors, key, classes)
-    learned = pieces.filter(F.col("code").isNotNull()).groupBy("term")
-    per_term = learned.agg(F.sum("df").alias("df"), *[F.sum(f"n{i}").alias(c) for i, c in enumerate(classes)])
-    terms = stored(per_term.filter(F.col("df") >= min_df), "terms")
     train = docs.filter("train")
-    size = train.agg(F.count(F.lit(1))).scalar()
-    weights = _smoothed(terms, F.log((size + 1) / (F.col("df") + 1)), smoothing, classes)
+    weights = _piece_weights(pieces, train, smoothing, classes, min_df)
     gains = stored(weights.select("term", *[(F.col("idf") * F.col(c)).alias(c) for c in classes]), "class-weights")
     sums = piece_sums(pieces.filter(F.col("code").isNotNull() | F.col("scored")), gains, key, classes)
     return _likeliest(sums, class_priors(train.select("label"), smoothing), key, classes)
 
 
+def _piece_weights(pieces: DataFrame, train: DataFrame, smoothing: float, classes: Sequence[str], min_df: int) -> DataFrame:
+    """``class_weights`` from ``count_pieces``; ``train`` has a row for every document learned from."""
+    learned = pieces.filter(F.col("code").isNotNull()).groupBy("term")
+    per_term = learned.agg(F.sum("df").alias("df"), *[F.sum(f"n{i}").alias(c) for i, c in enumerate(classes)])
+    terms = stored(per_term.filter(F.col("df") >= min_df), "terms")
+    size = train.agg(F.count(F.lit(1))).scalar()
+    return _smoothed(terms, F.log((size + 1) / (F.col("df") + 1)), smoothing, classes)
+
+
+@dataclass(frozen=True)
+class TermModel:
+    """A fitted model as two tables, so that no term is on the driver, in training, saving, loading or scoring.
+
+    ``weights`` are those of ``class_weights``, ``priors`` those of ``class_priors``. Every row is a document of its own, as
+    for Spark ML's estimator, whose numbers these are; ties go to the class that comes first in ``classes``.
+    """
+
+    weights: DataFrame
+    priors: DataFrame
+    classes: tuple[str, ...] = tuple(CLASSES)
+
+    @classmethod
+    def fit(
+        cls,
+        df: DataFrame,
+        column: str = "reviewText",
+        label: str = "label",
+        smoothing: float = 1.0,
+        classes: Sequence[str] = CLASSES,
+        min_df: int = MIN_DF,
+    ) -> TermModel:
+        """Learned from the rows with a text."""
+        rows = df.select(F.col(label).alias("label"), F.lit(True).alias("train"), column)
+        pieces = count_pieces(rows, "label", "train", classes, column)
+        train = pieces.filter(F.col("code").isNull()).select("label")
+        weights = stored(_piece_weights(pieces, train, smoothing, classes, min_df), "class-weights")
+        return cls(weights, stored(class_priors(train, smoothing), "class-priors"), tuple(classes))
+
+    def save(self, path: str) -> None:
+        """The tables, and a description that ``is_at`` knows, which comes last."""
+        spark = self.weights.sparkSession
+        self.weights.write.parquet(f"{path}/weights")
+        self.priors.write.parquet(f"{path}/priors")
+        said = json.dumps({"class": _MODEL, "classes": self.classes})
+        spark.createDataFrame([(said,)], "value string").coalesce(1).write.text(f"{path}/metadata")
+
+    @staticmethod
+    def is_at(spark: SparkSession, path: str) -> bool:
+        """Whether the model stored there is one of these."""
+        return json.loads(spark.read.text(f"{path}/metadata").first().value)["class"] == _MODEL
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TermModel:
+        said = json.loads(spark.read.text(f"{path}/metadata").first().value)
+        return cls(spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/priors"), tuple(said["classes"]))
+
+    def score(self, df: DataFrame, *keys: str, column: str = "reviewText") -> DataFrame:
+        """The keys, ``label`` and ``confidence`` of every row with a text, by way of ``count_pieces`` and ``piece_sums``."""
+        none = F.lit(None).cast("string").alias("label")
+        rows = df.select(F.struct(*keys).alias("_keys"), none, F.lit(False).alias("train"), column)
+        pieces = count_pieces(rows, "label", "train", (), column)
+        gains = self.weights.select("term", *[(F.col("idf") * F.col(c)).alias(c) for c in self.classes])
+        sums = piece_sums(pieces, gains, "_keys", self.classes)
+        return _likeliest(sums, self.priors, "_keys", self.classes).select("_keys.*", "label", "confidence")
+
+
+_MODEL = f"{TermModel.__module__}.{TermModel.__qualname__}"
+
+
 def _likeliest(sums: DataFrame, priors: DataFrame, key: str, classes: Sequence[str]) -> DataFrame:
     """``key, label, confidence`` from a document's sum for each class, null where it has no known term."""
     base = priors.agg(F.map_from_entries(F.collect_list(F.struct("label", "prior")))).scalar()
